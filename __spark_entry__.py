@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ByteType, DateType, IntegerType, ShortType, TimestampType
 
 from custbehav import oracle
-from custbehav.config import PipelineConfig
+from custbehav.config import CLUSTERING_FEATURES, PipelineConfig
 from custbehav.operators import (
     churn, cleaning, features, marts, monitoring, profiles, quality, recommend, segments,
 )
@@ -235,9 +235,8 @@ def segment_personas(spark, folder):
     )
 
 
-def _trained_segments(spark, folder):
-    users = cut_lineage(features.serving_features(_orders(spark, folder), ORDERS))
-    return users, segments.train_segments(users, ORDERS)
+def _users(spark, folder):
+    return cut_lineage(features.serving_features(_orders(spark, folder), ORDERS))
 
 
 def _trained_churn(spark, folder):
@@ -245,19 +244,26 @@ def _trained_churn(spark, folder):
     return churn.train_churn(held_out, ORDERS)
 
 
-def _churn_risks(users, model):
-    scored = churn.score_churn(users, model.pipeline, "days_active", "purchase_rate", "events_per_day")
-    return profiles.churn_report(scored)
+def _segmented(training, users):
+    model = segments.train_segments(training, ORDERS)
+    return segments.assign_segments(users, model.pipeline, model.personas)
+
+
+def _risky(spark, folder, users):
+    return profiles.churn_report(churn.score_churn(users, _trained_churn(spark, folder).pipeline))
 
 
 def user_segments(spark, folder):
-    users, model = _trained_segments(spark, folder)
-    return segments.assign_segments(users, model.pipeline, model.personas)
+    users = _users(spark, folder)
+    return _segmented(users, users.select("user_id", *CLUSTERING_FEATURES)).drop(*CLUSTERING_FEATURES)
 
 
 def churn_scores(spark, folder):
-    users = features.serving_features(_orders(spark, folder), ORDERS)
-    return _churn_risks(users, _trained_churn(spark, folder)).withColumn("risk_drivers", F.concat_ws("; ", "risk_drivers"))
+    risky = _risky(spark, folder, features.serving_features(_orders(spark, folder), ORDERS))
+    return risky.select(
+        "user_id", "is_churn", "churn_probability", "risk_level", "suggested_action",
+        F.concat_ws("; ", "risk_drivers").alias("risk_drivers"),
+    )
 
 
 def feature_importance(spark, folder):
@@ -265,30 +271,22 @@ def feature_importance(spark, folder):
 
 
 def campaign_scores(spark, folder):
-    users, model = _trained_segments(spark, folder)
+    users = _users(spark, folder)
     wanted = _requests(spark, folder).filter(profiles.valid_request(F.col("requested_id")))
     chosen = users.join(wanted.select(F.col("requested_id").cast("bigint").alias("user_id")), "user_id", "left_semi")
-    return profiles.campaign_scores(
-        chosen,
-        segments.assign_segments(chosen, model.pipeline, model.personas),
-        _churn_risks(chosen, _trained_churn(spark, folder)),
-    )
+    return profiles.campaign_scores(_risky(spark, folder, _segmented(users, chosen)))
 
 
 def high_risk_users(spark, folder):
-    users = features.serving_features(_orders(spark, folder), ORDERS)
-    return profiles.high_risk(_churn_risks(users, _trained_churn(spark, folder))).drop("risk_drivers")
+    risky = _risky(spark, folder, features.serving_features(_orders(spark, folder), ORDERS))
+    return profiles.high_risk(risky).select("user_id", "churn_probability", "suggested_action")
 
 
 def customer_360(spark, folder):
-    users, model = _trained_segments(spark, folder)
+    users = _users(spark, folder)
     catalogue = recommend.top_products(_orders(spark, folder), ORDERS)
-    table = profiles.customer_360(
-        users,
-        segments.assign_segments(users, model.pipeline, model.personas),
-        _churn_risks(users, _trained_churn(spark, folder)),
-        recommend.user_recommendations(users.select("user_id", "favorite_category"), catalogue, ORDERS),
-    )
+    risky = _risky(spark, folder, _segmented(users, users))
+    table = profiles.customer_360(recommend.user_recommendations(risky, catalogue, ORDERS))
     return table.select("user_id", *[F.to_json(c).alias(c) for c in table.columns if c != "user_id"])
 
 

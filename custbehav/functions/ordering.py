@@ -26,7 +26,7 @@ def unit_bucket(value: Column) -> Column:
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join in which a null key meets a null key; the key columns of ``left`` are kept."""
     renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
-    on = [left[key].eqNullSafe(renamed[f"_right_{key}"]) for key in keys]
+    on = [F.col(key).eqNullSafe(F.col(f"_right_{key}")) for key in keys]
     return left.join(renamed, on, how).drop(*[f"_right_{key}" for key in keys])
 
 
@@ -42,11 +42,14 @@ def bucket_offsets(rows: DataFrame, keys: list[str], measures: list[str], descen
 
 
 def running_totals(
-    rows: DataFrame, keys: list[str], value: str, bucket: Column, measures: list[str], descending: bool = False
+    rows: DataFrame, keys: list[str], value: str, bucket: Column, measures: list[str], descending: bool = False,
+    few_buckets: bool = False,
 ) -> DataFrame:
     """Add ``<measure>_before``: the sum over all rows of the key that come before this one.
 
-    ``value`` must be distinct within a key, and ``bucket`` must not decrease as it grows.
+    ``value`` must be distinct within a key, and ``bucket`` must not decrease as it grows. State
+    ``few_buckets`` where keys and buckets are bounded, whatever the data: the totals per bucket are then
+    broadcast, otherwise the optimizer decides by their size.
     """
     order = F.col(value).desc() if descending else F.col(value).asc()
     bucketed = rows.withColumn("_bucket", bucket)
@@ -54,7 +57,7 @@ def running_totals(
     inside = (
         Window.partitionBy(*keys, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
-    joined = join_null_safe(bucketed, offsets, [*keys, "_bucket"])
+    joined = join_null_safe(bucketed, F.broadcast(offsets) if few_buckets else offsets, [*keys, "_bucket"])
     return joined.select(
         *rows.columns,
         *[
@@ -71,11 +74,13 @@ def values_at_ranks(
     count: str,
     bucket: Column,
     ranks: dict[str, Callable[[Column], Column]],
+    few_keys: bool = False,
 ) -> DataFrame:
     """Per key: the number of rows ``n`` and the value at each 0-based rank.
 
     ``counts`` has one row per key and distinct value with its number of copies. ``ranks`` maps an
-    output name to a function from ``n`` to the rank.
+    output name to a function from ``n`` to the rank. One row per key and rank says where to look; it is
+    broadcast when there is no key, or when ``few_keys`` states that their number is bounded.
     """
     bucketed = counts.withColumn("_bucket", bucket)
     offsets = bucket_offsets(bucketed, keys, [count])
@@ -87,6 +92,8 @@ def values_at_ranks(
     for rank in ranks.values():
         holds_a_rank = holds_a_rank | ((start <= rank(n)) & (rank(n) < start + size))
     hit = offsets.filter(holds_a_rank).drop(f"_sum_{count}")
+    if few_keys or not keys:
+        hit = F.broadcast(hit)
 
     inside = (
         Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -52,6 +52,7 @@ def stratified_split(features: DataFrame, share: float, seed: int) -> DataFrame:
         "rows",
         F.shiftright(F.col("key.hash"), 48),
         {"last_test": lambda n: F.floor(n.cast("double") * F.lit(share) + F.lit(0.5e0)) - 1},
+        few_keys=True,
     ).drop("n")
     return (
         features.join(F.broadcast(last), "churned", "left")
@@ -99,7 +100,7 @@ def ranking_metrics(scored: DataFrame) -> DataFrame:
     by_score = scored.groupBy("score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
-    ranked = running_totals(by_score, [], "score", unit_bucket(F.col("score")), ["pos", "neg"], descending=True)
+    ranked = running_totals(by_score, [], "score", unit_bucket(F.col("score")), ["pos", "neg"], True, few_buckets=True)
     pos, neg = F.col("pos"), F.col("neg")
     hits = F.col("pos_before") + pos
     precision = ratio(hits, hits + F.col("neg_before") + neg)
@@ -136,10 +137,10 @@ def majority_baseline(split: DataFrame) -> DataFrame:
     )
 
 
-def score_churn(users: DataFrame, pipeline: PipelineModel, *keep: str) -> DataFrame:
-    """Probability of churn per user."""
-    probability = vector_to_array("probability")[1]
-    return pipeline.transform(users).select("user_id", *keep, probability.alias("score"))
+def score_churn(users: DataFrame, pipeline: PipelineModel) -> DataFrame:
+    """Add ``score``, the probability of churn, without moving any row."""
+    scored = pipeline.transform(users.fillna(0, subset=list(CHURN_FEATURES)))
+    return scored.select(*users.columns, vector_to_array("probability")[1].alias("score"))
 
 
 def feature_importance(spark, pipeline: PipelineModel) -> DataFrame:
@@ -172,7 +173,7 @@ def _fit_and_measure(split: DataFrame, cfg: PipelineConfig) -> ChurnModel:
     weighted = train.withColumn("weight", class_weight(training))
     pipeline = PipelineModel([assembler, forest.fit(assembler.transform(weighted))])
 
-    scored = score_churn(test, pipeline, "churned").select(
+    scored = score_churn(test, pipeline).select(
         F.col("churned").alias("label"), "score", (F.col("score") >= 0.5).cast("int").alias("prediction")
     )
     labelled = split.select("is_test", F.col("churned").alias("label"))

@@ -39,45 +39,46 @@ def risk_drivers() -> Column:
 
 
 def churn_report(scored: DataFrame) -> DataFrame:
-    """Risk fields per user from ``score`` and the user's features."""
+    """Add the risk fields to users with their features and ``score``."""
     level = risk_level(F.col("score"))
-    return scored.select(
-        "user_id",
-        (F.col("score") >= 0.5).cast("int").alias("is_churn"),
-        round_half_up(F.col("score"), 4).alias("churn_probability"),
-        level.alias("risk_level"),
-        suggested_action(level).alias("suggested_action"),
-        risk_drivers().alias("risk_drivers"),
+    return scored.withColumns(
+        {
+            "is_churn": (F.col("score") >= 0.5).cast("int"),
+            "churn_probability": round_half_up(F.col("score"), 4),
+            "risk_level": level,
+            "suggested_action": suggested_action(level),
+            "risk_drivers": risk_drivers(),
+        }
     )
 
 
-def user_profiles(users: DataFrame) -> DataFrame:
-    """The model-free part of the profile."""
-    return users.select(
-        "user_id",
-        "first_interaction",
-        "last_interaction",
-        "days_active",
-        "total_events",
-        "total_purchases",
+def profile_columns() -> list[Column]:
+    return [
+        *[
+            F.col(name)
+            for name in ("user_id", "first_interaction", "last_interaction", "days_active", "total_events", "total_purchases")
+        ],
         round_half_up(F.col("total_spent"), 2).alias("total_spent_usd"),
         format_percent(F.col("purchase_rate")).alias("purchase_rate"),
-        "favorite_category",
-    )
+        F.col("favorite_category"),
+    ]
 
 
-def customer_360(users: DataFrame, segments: DataFrame, risks: DataFrame, recommendations: DataFrame) -> DataFrame:
-    """One nested row per user. All inputs have one row per user and join on it."""
-    profile = user_profiles(users)
-    nested = lambda df, name: df.select(
-        "user_id", F.struct(*[F.col(c) for c in df.columns if c != "user_id"]).alias(name)
-    )
-    segment = segments.join(users.select("user_id", "total_spent", "total_events"), "user_id")
-    return (
-        profile.select("user_id", F.struct(*profile.columns).alias("user_profile"))
-        .join(nested(segment, "customer_segmentation"), "user_id", "left")
-        .join(nested(risks, "churn_prediction"), "user_id", "left")
-        .join(recommendations.select("user_id", "recommended_products"), "user_id", "left")
+def user_profiles(users: DataFrame) -> DataFrame:
+    """The model-free part of the profile."""
+    return users.select(*profile_columns())
+
+
+def customer_360(scored: DataFrame) -> DataFrame:
+    """One nested row per user, from users with all scoring columns: a projection."""
+    segment = ("cluster_id", "persona_name", "marketing_strategy", "total_spent", "total_events")
+    risk = ("is_churn", "churn_probability", "risk_level", "suggested_action", "risk_drivers")
+    return scored.select(
+        "user_id",
+        F.struct(*profile_columns()).alias("user_profile"),
+        F.struct(*segment).alias("customer_segmentation"),
+        F.struct(*risk).alias("churn_prediction"),
+        "recommended_products",
     )
 
 
@@ -115,14 +116,12 @@ def not_found(requests: DataFrame, profiles: DataFrame) -> DataFrame:
     return valid.join(profiles.select("user_id"), "user_id", "left_anti").select("position", "user_id")
 
 
-def campaign_scores(users: DataFrame, segments: DataFrame, risks: DataFrame) -> DataFrame:
+def campaign_scores(scored: DataFrame) -> DataFrame:
     """One flat row per user for campaign targeting."""
-    return (
-        users.select("user_id", "days_active", "total_spent")
-        .join(segments.select("user_id", F.col("persona_name").alias("persona")), "user_id", "left")
-        .join(risks.select("user_id", F.col("churn_probability").alias("churn_prob"), "risk_level"), "user_id", "left")
-        .fillna({"persona": "Unknown", "churn_prob": 0.0, "risk_level": "UNKNOWN"})
-    )
+    return scored.select(
+        "user_id", "days_active", "total_spent", F.col("persona_name").alias("persona"),
+        F.col("churn_probability").alias("churn_prob"), "risk_level",
+    ).fillna({"persona": "Unknown", "churn_prob": 0.0, "risk_level": "UNKNOWN"})
 
 
 def high_risk(scores: DataFrame) -> DataFrame:

@@ -51,7 +51,7 @@ def _item() -> F.Column:
 
 
 def user_recommendations(users: DataFrame, catalogue: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """``user_id, favorite_category`` with an array of recommended items.
+    """Add an array of recommended items to users with their ``favorite_category``.
 
     The favourite's best items come first and other categories' best items fill up. Both lists are
     built per category and once overall, bounded by the list length, so the users are only joined with
@@ -74,8 +74,7 @@ def user_recommendations(users: DataFrame, catalogue: DataFrame, cfg: PipelineCo
     known = F.coalesce(F.col("_own"), F.array().cast(catalogue.select(F.array(_item())).schema[0].dataType))
     items = F.slice(F.concat(known, strangers), 1, n)
     return users.join(own, "favorite_category", "left").withColumn("_overall", overall).select(
-        "user_id",
-        "favorite_category",
+        *users.columns,
         F.transform(
             items,
             lambda item, position: F.struct(

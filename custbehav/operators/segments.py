@@ -147,13 +147,11 @@ def train_segments(features: DataFrame, cfg: PipelineConfig) -> SegmentModel:
 
 
 def assign_segments(users: DataFrame, pipeline: PipelineModel, known: DataFrame) -> DataFrame:
-    """Cluster, persona and strategy per user; ``known`` has one row per cluster."""
-    scored = pipeline.transform(users.select("user_id", "total_spent", "total_events", *[
-        c for c in CLUSTERING_FEATURES if c not in ("total_spent", "total_events")
-    ]))
+    """Add cluster, persona and strategy; ``known`` has one row per cluster, so no user is moved."""
     labels = known.select("cluster", "persona_name", "marketing_strategy")
-    return scored.join(F.broadcast(labels), "cluster", "left").select(
-        "user_id",
+    assigned = pipeline.transform(users).join(F.broadcast(labels), "cluster", "left")
+    return assigned.select(
+        *users.columns,
         F.col("cluster").alias("cluster_id"),
         F.coalesce("persona_name", F.format_string("Segment %d", "cluster")).alias("persona_name"),
         F.coalesce("marketing_strategy", F.lit(FALLBACK_STRATEGY)).alias("marketing_strategy"),

@@ -39,24 +39,18 @@ def run_ml(store: EventStore, cfg: PipelineConfig, sample_users: int | None = 50
     return {"segmentation": {"silhouette_score": segmentation.silhouette}, "churn": trained.metrics}
 
 
-def score_users(users: DataFrame, store: EventStore, cfg: PipelineConfig) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Segments, churn risks and recommendations of the given serving features."""
+def score_users(users: DataFrame, store: EventStore, cfg: PipelineConfig) -> DataFrame:
+    """Serving features with segment, churn risk and recommendations added; no join moves a user."""
     pipeline, personas = models.load_segments(store, cfg)
-    scored = churn.score_churn(
-        users, models.load_churn(store, cfg), "days_active", "purchase_rate", "events_per_day"
-    )
-    catalogue = store.table("product_recommendations")
-    return (
-        segments.assign_segments(users, pipeline, personas),
-        profiles.churn_report(scored),
-        recommend.user_recommendations(users.select("user_id", "favorite_category"), catalogue, cfg),
-    )
+    segmented = segments.assign_segments(users, pipeline, personas)
+    risky = profiles.churn_report(churn.score_churn(segmented, models.load_churn(store, cfg)))
+    return recommend.user_recommendations(risky, store.table("product_recommendations"), cfg)
 
 
 def run_scoring(store: EventStore, cfg: PipelineConfig) -> DataFrame:
     """Customer-360 table of all users, ranged by user so that one profile is found in one file."""
     users = store.replace_table("serving_features", features.serving_features(store.events(), cfg))
-    table = profiles.customer_360(users, *score_users(users, store, cfg))
+    table = profiles.customer_360(score_users(users, store, cfg))
     return store.replace_table("customer_360", table.repartitionByRange("user_id").sortWithinPartitions("user_id"))
 
 
@@ -67,8 +61,7 @@ def run_campaign(store: EventStore, requests: DataFrame, cfg: PipelineConfig) ->
         "position", F.col("requested_id").cast("bigint").alias("user_id")
     )
     chosen = users.join(wanted, "user_id", "left_semi")
-    segmented, risks, _ = score_users(chosen, store, cfg)
-    rows = wanted.join(profiles.campaign_scores(chosen, segmented, risks), "user_id")
+    rows = wanted.join(profiles.campaign_scores(score_users(chosen, store, cfg)), "user_id")
     return rows, profiles.not_found(requests, users)
 
 

@@ -6,8 +6,11 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Timestamps are UTC throughout; ANSI makes a malformed cast fail instead of turning into null.
+# Timestamps are UTC throughout; ANSI makes a malformed cast fail instead of turning into null. The
+# query context would record a Python stack for every column expression, which takes longer than
+# planning a report; errors name the expression without it.
 REQUIRED = {
+    "spark.sql.dataFrameQueryContext.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",

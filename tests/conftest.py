@@ -14,7 +14,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[8]")
         .appName("custbehav-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")

@@ -91,8 +91,10 @@ def test_requests_keep_order_and_repeats(spark):
 
 
 def test_campaign_defaults(spark):
-    users = spark.createDataFrame([(1, 3, 5.0)], "user_id long, days_active long, total_spent double")
-    none = spark.createDataFrame([], "user_id long, persona_name string")
-    risks = spark.createDataFrame([(1, 0.9, "HIGH")], "user_id long, churn_probability double, risk_level string")
-    row = profiles.campaign_scores(users, none, risks)
-    assert row.first()["persona"] == "Unknown" and profiles.high_risk(row).count() == 1
+    scored = spark.createDataFrame(
+        [(1, 3, 5.0, None, 0.9, "HIGH"), (2, 3, 5.0, "p", None, None)],
+        "user_id long, days_active long, total_spent double, persona_name string, churn_probability double, risk_level string",
+    )
+    rows = {r["user_id"]: r for r in profiles.campaign_scores(scored).collect()}
+    assert rows[1]["persona"] == "Unknown" and (rows[2]["churn_prob"], rows[2]["risk_level"]) == (0.0, "UNKNOWN")
+    assert [r["user_id"] for r in profiles.high_risk(profiles.campaign_scores(scored)).collect()] == [1]
