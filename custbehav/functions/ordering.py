@@ -78,6 +78,7 @@ def values_at_ranks(
 ) -> DataFrame:
     """Per key: the number of rows ``n`` and the value at each 0-based rank.
 
+    Beside each value, ``<name>_before`` and ``<name>_upto`` count the rows below it and up to it.
     ``counts`` has one row per key and distinct value with its number of copies. ``ranks`` maps an
     output name to a function from ``n`` to the rank. One row per key and rank says where to look; it is
     broadcast when there is no key, or when ``few_keys`` states that their number is bounded.
@@ -101,17 +102,20 @@ def values_at_ranks(
     ranked = join_null_safe(bucketed, hit, [*keys, "_bucket"]).withColumn(
         "_end", F.col(f"_start_{count}") + F.sum(count).over(inside)
     )
-    return ranked.groupBy(*keys).agg(
-        F.max("n").alias("n"),
-        *[
-            F.max(F.when((F.col("_end") - F.col(count) <= rank(n)) & (rank(n) < F.col("_end")), F.col(value))).alias(name)
-            for name, rank in ranks.items()
-        ],
-    )
+    upto, before = F.col("_end"), F.col("_end") - F.col(count)
+    wanted = []
+    for name, rank in ranks.items():
+        here = (before <= rank(n)) & (rank(n) < upto)
+        for output, column in ((name, F.col(value)), (f"{name}_before", before), (f"{name}_upto", upto)):
+            wanted.append(F.max(F.when(here, column)).alias(output))
+    return ranked.groupBy(*keys).agg(F.max("n").alias("n"), *wanted)
 
 
 def grouped_quantiles(counts: DataFrame, keys: list[str], value: str, count: str, quantiles: dict[str, float]) -> DataFrame:
-    """Exact, linearly interpolated quantiles of amounts per key. Nulls and NaN must be filtered before."""
+    """Exact, linearly interpolated quantiles of amounts per key, and ``<name>_above``: the rows beyond them.
+
+    Nulls and NaN must be filtered before.
+    """
 
     def position(q: float) -> Callable[[Column], Column]:
         return lambda n: (n - 1).cast("double") * F.lit(q)
@@ -127,4 +131,13 @@ def grouped_quantiles(counts: DataFrame, keys: list[str], value: str, count: str
         low, high, at = F.col(f"_{name}_low"), F.col(f"_{name}_high"), position(q)(F.col("n"))
         return F.when(low == high, low).otherwise(low + (high - low) * (at - F.floor(at)))
 
-    return found.select(*keys, "n", *[interpolated(name, q).alias(name) for name, q in quantiles.items()])
+    def above(name: str) -> Column:
+        """Rows strictly above the quantile, which lies between two neighbouring values."""
+        low, high, at = F.col(f"_{name}_low"), F.col(f"_{name}_high"), F.col(name)
+        return F.col("n") - F.when(at >= high, F.col(f"_{name}_high_upto")).when(
+            at > low, F.col(f"_{name}_high_before")
+        ).otherwise(F.col(f"_{name}_low_upto"))
+
+    return found.withColumns({name: interpolated(name, q) for name, q in quantiles.items()}).select(
+        *keys, "n", *quantiles, *[above(name).alias(f"{name}_above") for name in quantiles]
+    )

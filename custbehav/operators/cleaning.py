@@ -65,22 +65,25 @@ def _text(name: str) -> Column:
     return F.when(cleaned == "", "unknown").otherwise(cleaned)
 
 
-def normalise(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Valid rows with the nine identity columns in their stored form; other columns pass through."""
+def normal_columns(df: DataFrame) -> list[Column]:
+    """The nine identity columns of valid rows in their stored form."""
     category_id = F.regexp_replace(F.col("category_id").cast("string"), r"\.0$", "")
-    extra = [c for c in df.columns if c not in RAW.names]
-    return valid_rows(df, cfg).select(
+    return [
         F.date_trunc("second", parsed_time(df)).alias("event_time"),
-        "event_type",
+        F.col("event_type"),
         F.col("product_id").cast("bigint").alias("product_id"),
         F.when(category_id.isNull() | category_id.isin(*NO_CATEGORY), "0").otherwise(category_id).alias("category_id"),
         _text("category_code").alias("category_code"),
         _text("brand").alias("brand"),
         numeric_price(df).alias("price"),
         F.col("user_id").cast("bigint").alias("user_id"),
-        "user_session",
-        *extra,
-    )
+        F.col("user_session"),
+    ]
+
+
+def normalise(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """Valid rows in their stored form; columns beside the raw ones pass through."""
+    return valid_rows(df, cfg).select(*normal_columns(df), *[c for c in df.columns if c not in RAW.names])
 
 
 def drop_copies(df: DataFrame) -> DataFrame:

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from custbehav.config import CRITICAL_COLUMNS, PipelineConfig
 from custbehav.functions.columns import is_number, ratio, round_half_up
 from custbehav.functions.ordering import grouped_quantiles, join_null_safe
-from custbehav.operators.cleaning import normalise, numeric_price, parsed_time, reject_reason
-from custbehav.schema import IDENTITY, RAW
+from custbehav.operators.cleaning import normal_columns, numeric_price, parsed_time, reject_reason
+from custbehav.schema import RAW
 
 RATES = (
     "completeness_score", *[f"null_rate_{c}" for c in CRITICAL_COLUMNS], "valid_event_types_rate",
@@ -61,19 +61,20 @@ def _validity(df: DataFrame, cfg: PipelineConfig) -> dict[str, Column]:
 
 
 def _outliers(rows: DataFrame, keys: list[str], cfg: PipelineConfig) -> DataFrame:
-    """Per group: how many rows lie strictly above the interpolated price quantile."""
+    """Per group: how many rows lie strictly above the interpolated price quantile.
+
+    Prices that are no numbers are dropped by their count, not by a filter on the price: the optimizer
+    would move such a filter in front of the reduction to distinct rows and run that twice.
+    """
+    price = numeric_price(rows)
     prices = (
-        rows.withColumn("_price", numeric_price(rows))
-        .filter(is_number(F.col("_price")))
+        rows.withColumn("_price", price)
         .groupBy(*keys, "_price")
-        .agg(F.sum("copies").alias("copies"))
-    )
-    limits = grouped_quantiles(prices, keys, "_price", "copies", {"_limit": cfg.outlier_quantile}).drop("n")
-    return (
-        join_null_safe(prices, limits, keys)
-        .groupBy(*keys)
-        .agg(F.sum(F.when(F.col("_price") > F.col("_limit"), F.col("copies")).otherwise(0)).alias("_outliers"))
+        .agg(F.sum(F.when(is_number(price), F.col("copies"))).alias("copies"))
+        .filter(F.col("copies") > 0)
     )
+    limits = grouped_quantiles(prices, keys, "_price", "copies", {"_limit": cfg.outlier_quantile})
+    return limits.select(*keys, F.col("_limit_above").alias("_outliers"))
 
 
 def evaluate(
@@ -115,12 +116,13 @@ def _sums(rows: DataFrame, keys: list[str], cfg: PipelineConfig, weight: Column,
     )
 
 
-def _report(sums: DataFrame, keys: list[str], cfg: PipelineConfig) -> DataFrame:
+def _report(sums: DataFrame, keys: list[str], cfg: PipelineConfig, keep: tuple[str, ...] = ()) -> DataFrame:
     total = F.col("total_records")
     rate = lambda name: ratio(F.col(name), total)
     nulls = [F.col(f"null_rate_{c}") for c in CRITICAL_COLUMNS]
     exact = sums.select(
         *keys,
+        *keep,
         F.coalesce(total, F.lit(0)).alias("total_records"),
         F.coalesce(F.col("duplicate_count"), F.lit(0)).alias("duplicate_count"),
         *[rate(f"_null_rate_{c}").alias(f"null_rate_{c}") for c in CRITICAL_COLUMNS],
@@ -143,6 +145,7 @@ def _report(sums: DataFrame, keys: list[str], cfg: PipelineConfig) -> DataFrame:
     )
     return judged.select(
         *keys,
+        *keep,
         "total_records",
         "passed_gate",
         *[round_half_up(F.col(name), 4).alias(name) for name in RATES],
@@ -167,9 +170,11 @@ def load_log(df: DataFrame, keys: list[str], cfg: PipelineConfig) -> DataFrame:
         judged, keys, cfg, F.col("copies"), F.sum(F.when(F.col("_valid"), F.col("copies")).otherwise(0)).alias("_valid_rows")
     )
     read = read.withColumns({"duplicate_count": F.lit(None).cast("bigint"), "_outliers": F.lit(None).cast("bigint")})
-    passed = _report(read, keys, cfg).select(*keys, "passed_gate", "completeness_score", "session_valid_rate")
-    kept = normalise(rows, cfg).select(*keys, *IDENTITY).distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("_kept"))
-    log = join_null_safe(join_null_safe(read, passed, keys), kept, keys, "left")
+    reports = _report(read, keys, cfg, keep=("_valid_rows",))
+    # The count decides, so that the optimizer cannot move the rules in front of the shared reduction.
+    valid = judged.filter(F.when(F.col("_valid"), F.col("copies")) > 0)
+    kept = valid.select(*keys, *normal_columns(valid)).distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("_kept"))
+    log = join_null_safe(reports, kept, keys, "left")
     inserted = F.coalesce(F.col("_kept"), F.lit(0))
     return log.select(
         *keys,

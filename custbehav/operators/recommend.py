@@ -59,9 +59,9 @@ def user_recommendations(users: DataFrame, catalogue: DataFrame, cfg: PipelineCo
     and otherwise splits favourite categories that many users share.
     """
     n = cfg.recommended_items
+    # All ranks are listed here, so that both uses of the catalogue are the same plan and run once.
     own = (
-        catalogue.filter(F.col("rank") <= n)
-        .groupBy("category_level1")
+        catalogue.groupBy("category_level1")
         .agg(F.sort_array(F.collect_list(_item())).alias("_own"))
         .withColumnRenamed("category_level1", "favorite_category")
     )
