@@ -32,12 +32,19 @@ def numeric_price(df: DataFrame) -> Column:
     return price.try_cast("double") if isinstance(df.schema["price"].dataType, StringType) else price.cast("double")
 
 
+def in_window(time: Column, cfg: PipelineConfig) -> Column:
+    """True from the first second of the first day to the last second of the last day, both included.
+
+    A range test that mentions ``time`` once: a filter would parse the text for each comparison.
+    """
+    first = F.unix_micros(F.lit(cfg.min_event_date).cast("timestamp"))
+    last = F.unix_micros(F.lit(f"{cfg.max_event_date} 23:59:59").cast("timestamp"))
+    return F.floor((F.unix_micros(time) - first) / (last - first + 1)) == 0
+
+
 def row_rules(df: DataFrame, cfg: PipelineConfig) -> list[tuple[str, Column]]:
     """The rules a row must meet, in the order in which they reject."""
     price, time = numeric_price(df), parsed_time(df)
-    in_window = time.between(
-        F.lit(cfg.min_event_date).cast("timestamp"), F.lit(f"{cfg.max_event_date} 23:59:59").cast("timestamp")
-    )
     present = reduce(
         lambda a, b: a & b, [F.col(c).isNotNull() for c in ("event_time", "event_type", "user_id", "product_id")]
     )
@@ -47,7 +54,7 @@ def row_rules(df: DataFrame, cfg: PipelineConfig) -> list[tuple[str, Column]]:
         ("mandatory_key", present),
         ("session", F.length("user_session") >= cfg.min_session_length),
         ("unparsable_time", time.isNotNull()),
-        ("outside_window", in_window),
+        ("outside_window", in_window(time, cfg)),
     ]
 
 
@@ -57,22 +64,24 @@ def reject_reason(df: DataFrame, cfg: PipelineConfig) -> Column:
 
 
 def valid_rows(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    return df.filter(reduce(lambda a, b: a & b, [ok for _, ok in row_rules(df, cfg)]))
+    # A time in the window was parsed, so that rule need not be tested again.
+    rules = [ok for name, ok in row_rules(df, cfg) if name != "unparsable_time"]
+    return df.filter(reduce(lambda a, b: a & b, rules))
 
 
 def _text(name: str) -> Column:
-    cleaned = strip(F.lower(F.coalesce(F.col(name), F.lit("unknown"))))
-    return F.when(cleaned == "", "unknown").otherwise(cleaned)
+    return F.coalesce(F.nullif(strip(F.lower(F.col(name))), F.lit("")), F.lit("unknown"))
 
 
 def normal_columns(df: DataFrame) -> list[Column]:
     """The nine identity columns of valid rows in their stored form."""
-    category_id = F.regexp_replace(F.col("category_id").cast("string"), r"\.0$", "")
+    written = F.col("category_id").cast("string")
+    category_id = F.when(written.endswith(".0"), F.left(written, F.length(written) - 2)).otherwise(written)
     return [
         F.date_trunc("second", parsed_time(df)).alias("event_time"),
         F.col("event_type"),
         F.col("product_id").cast("bigint").alias("product_id"),
-        F.when(category_id.isNull() | category_id.isin(*NO_CATEGORY), "0").otherwise(category_id).alias("category_id"),
+        F.when(written.isNull() | category_id.isin(*NO_CATEGORY), "0").otherwise(category_id).alias("category_id"),
         _text("category_code").alias("category_code"),
         _text("brand").alias("brand"),
         numeric_price(df).alias("price"),
