@@ -57,7 +57,7 @@ def _best_kmeans(scaled: DataFrame, cfg: PipelineConfig):
         model = estimator.fit(scaled, start)
         return model.summary.trainingCost, start[estimator.seed], model
 
-    with ThreadPool(min(4, cfg.n_init)) as pool:
+    with ThreadPool(min(8, cfg.n_init)) as pool:
         fitted = pool.map(inheritable_thread_target(scaled.sparkSession)(fit), starts)
     return min(fitted, key=lambda one: one[:2])[2]
 
