@@ -21,6 +21,14 @@ from custbehav.session import configure, cut_lineage
 from custbehav.schema import EVENTS, REGISTRY
 from custbehav.sources import adapters
 
+try:
+    import corpus_pipeline
+    from custbehav.llm import oracle as llm_oracle, queries as llm_queries
+except ModuleNotFoundError as missing:  # the training-data operators are an optional part
+    if missing.name not in ("corpus_pipeline", "custbehav.llm"):
+        raise
+    corpus_pipeline = llm_queries = llm_oracle = None
+
 BEHAVIOR = PipelineConfig(min_event_date="2024-01-01", max_event_date="2024-01-30", inactive_days=1)
 ORDERS = PipelineConfig(min_event_date="1995-01-01", max_event_date="2001-08-01", inactive_days=180)
 # The hourly batches have many invalid event types; this limit lets some of them pass.
@@ -396,8 +404,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def ready(query):
         return lambda spark, folder: _plain(query(configure(spark), folder))
 
-    return {query.__name__: ready(query) for query in QUERIES}
+    found = {query.__name__: ready(query) for query in QUERIES}
+    if llm_queries:
+        found |= {
+            name: (lambda spark, folder, query=query: query(configure(spark), folder))
+            for name, query in {**llm_queries.queries(), "pipeline": corpus_pipeline.run}.items()
+        }
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    found = oracle.statements()
+    if llm_oracle:
+        found |= llm_oracle.statements() | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return found

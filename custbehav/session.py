@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Timestamps are UTC throughout; ANSI makes a malformed cast fail instead of turning into null. The
@@ -26,15 +24,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so that a lost executor does not replay everything before it.
-
-    The folder is the shared one the cluster names; only local sessions get one of their own.
-    """
-    context = df.sparkSession.sparkContext
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder of ``spark.checkpoint.dir``; a folder of the warehouse for local sessions without one."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
         if folder is None and not context.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="custbehav-checkpoint-"))
+        context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint, so that a lost executor does not replay everything before it."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
