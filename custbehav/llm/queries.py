@@ -2,21 +2,44 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame
 
-from custbehav.llm import quality, simhash
+from custbehav.llm import bpe, lm, mixing, packing, quality, secrets, simhash
 from custbehav.llm.common import read, ship
 
 
+def op1_packing(spark, folder) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(read(spark, folder, "documents"), vocabulary, end_id=2, window=4096, with_ids=False)
+
+
+def op2_lm_scores(spark, folder) -> DataFrame:
+    return lm.score_documents(read(spark, folder, "documents"))
+
+
 def op3_simhash(spark, folder) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents"), shingle=3, max_bits=3)
 
 
+def op4_secrets(spark, folder) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return secrets.scan(docs, secrets.train(secrets.training_samples(docs)))
+
+
+def op5_mixing(spark, folder) -> DataFrame:
+    return mixing.mix(read(spark, folder, "documents"))
+
+
 def op8_quality(spark, folder) -> DataFrame:
     return quality.quality_report(read(spark, folder, "documents"))
 
 
-QUERIES = [op3_simhash, op8_quality]
+def op9_token_counts(spark, folder) -> DataFrame:
+    return bpe.token_counts(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+QUERIES = [op1_packing, op2_lm_scores, op3_simhash, op4_secrets, op5_mixing, op8_quality, op9_token_counts]
 
 
 def queries():
