@@ -92,7 +92,10 @@ def _repeat_words(word_list: Column) -> Column:
         distinct = F.size(F.array_distinct(hashes)) == F.size(hashes)
         return F.when(distinct, F.lit(0)).otherwise(_let(F.array_sort(indexed), counted))
 
-    return F.when(F.size(word_list) <= WINDOW, F.lit(0)).otherwise(_let(windows(word_list), of_windows))
+    def of_words(ws: Column) -> Column:
+        return F.when(F.size(ws) <= WINDOW, F.lit(0)).otherwise(_let(windows(ws), of_windows))
+
+    return _let(word_list, of_words)
 
 
 def judged(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from custbehav.llm import bpe, lm, mixing, packing, quality, secrets, simhash
+from custbehav.llm import bpe, html, lm, mixing, packing, passages, quality, secrets, simhash, vectors
 from custbehav.llm.common import read, ship
 
 
@@ -31,6 +31,14 @@ def op5_mixing(spark, folder) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"))
 
 
+def op6_html(spark, folder) -> DataFrame:
+    return html.main_text(read(spark, folder, "pages"))
+
+
+def op7_passages(spark, folder) -> DataFrame:
+    return passages.repeated_passages(read(spark, folder, "documents"))
+
+
 def op8_quality(spark, folder) -> DataFrame:
     return quality.quality_report(read(spark, folder, "documents"))
 
@@ -39,7 +47,14 @@ def op9_token_counts(spark, folder) -> DataFrame:
     return bpe.token_counts(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
-QUERIES = [op1_packing, op2_lm_scores, op3_simhash, op4_secrets, op5_mixing, op8_quality, op9_token_counts]
+def op10_vectors(spark, folder) -> DataFrame:
+    return vectors.near_duplicates(read(spark, folder, "embeddings"), threshold=0.9)
+
+
+QUERIES = [
+    op1_packing, op2_lm_scores, op3_simhash, op4_secrets, op5_mixing, op6_html, op7_passages, op8_quality,
+    op9_token_counts, op10_vectors,
+]
 
 
 def queries():

@@ -56,16 +56,23 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(votes * 2 > total, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id`` and ``fingerprint`` (its 64 bits as a long) of every row."""
+def _fingerprinted(rows: DataFrame, shingle: int) -> DataFrame:
+    """``rows``, long columns and then the text, with the fingerprint in the text's place."""
+    names = [*rows.columns[:-1], "fingerprint"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks.view(np.int64))], ["doc_id", "fingerprint"])
+            *kept, texts = batch.columns
+            marks = np.array([fingerprint(t, shingle) for t in texts.to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(marks.view(np.int64))], names)
+
+    return rows.mapInArrow(task, ", ".join(f"{name} long" for name in names))
+
 
+def fingerprints(docs: DataFrame, shingle: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``doc_id`` and ``fingerprint`` (its 64 bits as a long) of every row."""
     rows = columns(docs, doc_id=id_column, text=text_column).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(task, "doc_id long, fingerprint long")
+    return _fingerprinted(rows, shingle)
 
 
 def _syndromes(words: np.ndarray) -> np.ndarray:
@@ -175,6 +182,12 @@ def links(marks: DataFrame, max_bits: int = 3) -> DataFrame:
     return found.join(sought, (found["key"] == sought["key"]) & close).select("a", "b").distinct()
 
 
+def _components(classes: DataFrame, max_bits: int) -> DataFrame:
+    """``fingerprint`` and ``root`` of the fingerprints with a link to another one."""
+    stars = components(links(classes.select("fingerprint"), max_bits), "a", "b")
+    return stored(stars.select(F.col("node").alias("fingerprint"), "root"))
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -187,8 +200,7 @@ def near_duplicates(
     """
     rows = stored(fingerprints(docs, shingle, id_column, text_column))
     classes = stored(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
-    stars = stored(components(links(classes.select("fingerprint"), max_bits), "a", "b"))
-    linked = classes.join(stars, classes["fingerprint"] == stars["node"]).select("fingerprint", "root", "least")
+    linked = classes.join(_components(classes, max_bits), "fingerprint")
     smallest = linked.groupBy("root").agg(F.min("least").alias("component_least"))
     linked = linked.join(smallest, "root").select("fingerprint", "component_least")
     named = classes.join(linked, "fingerprint", "left").select(
@@ -197,3 +209,26 @@ def near_duplicates(
     return rows.join(named, "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def deduplicated(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """``docs`` (doc_id, text and any other columns) with one document of every component.
+
+    The one with the least id stays, a null id last; of rows that repeat the id, the one whose columns have the
+    least hash; of rows alike in all columns, one.
+    """
+    mark = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark.alias("mark"), "text")
+    rows = stored(_fingerprinted(rows, shingle))
+    classes = stored(rows.select("fingerprint").distinct())
+    grouped = rows.join(_components(classes, max_bits), "fingerprint", "left").select(
+        F.coalesce("root", "fingerprint").alias("root"), "doc_id", "mark"
+    )
+    last = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    alike = grouped.groupBy("root", "doc_id", "mark").agg((F.count(F.lit(1)) > 1).alias("repeated"))
+    first = alike.groupBy("root").agg(F.min_by("mark", last).alias("mark"), F.min_by("repeated", last).alias("repeated"))
+    first = stored(first.select(F.col("mark").alias("_mark"), "repeated"))
+    marked = docs.withColumn("_mark", mark)
+    single = marked.join(first.filter("not repeated").select("_mark"), "_mark", "left_semi").drop("_mark")
+    repeated = marked.join(first.filter("repeated").select("_mark"), "_mark", "left_semi").drop("_mark")
+    return single.unionByName(repeated.distinct())
