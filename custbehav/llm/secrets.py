@@ -24,6 +24,7 @@ ASSIGN = r"""((?i)password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 ASSIGN_VALUE = 12
+LEAST_VARIETY = 8
 
 ALPHABET = string.ascii_letters + string.digits + "+/_=-"
 _CLASS = "[A-Za-z0-9+/_=-]"
@@ -67,7 +68,8 @@ def base_spans(text: Column) -> Column:
 def training_samples(docs: DataFrame, max_documents: int = 20_000) -> DataFrame:
     """Labelled strings (``value``, ``label``) of at most about ``max_documents`` documents.
 
-    Values of the patterns are labelled random, the other words ordinary. The documents are those with
+    Values of the patterns are labelled random if they have ``LEAST_VARIETY`` different characters (a row of
+    equal digits is not random), the other words ordinary. The documents are those with
     the smallest hashes of their text, so the sample is the same in every run.
     """
     rows = columns(docs, text="text").filter("text is not null")
@@ -76,7 +78,8 @@ def training_samples(docs: DataFrame, max_documents: int = 20_000) -> DataFrame:
     steps = 1 << 30
     sample = rows.filter(F.pmod(F.xxhash64("text"), F.lit(steps)) < int(share * steps))
     text = F.col("text")
-    secrets = F.transform(base_spans(text), lambda span: span["value"])
+    varied = F.filter(base_spans(text), lambda span: F.size(F.array_distinct(F.split(span["value"], ""))) >= LEAST_VARIETY)
+    secrets = F.transform(varied, lambda span: span["value"])
     plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, ASSIGN, " "), ACCESS, " "), HEX, " ")
     ordinary = F.regexp_extract_all(plain, F.lit(ORDINARY), F.lit(0))
     labelled = F.concat(
@@ -91,11 +94,12 @@ def _codes(value: Column) -> Column:
     return F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
 
 
-def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
+def train(samples: DataFrame, backoff: float = 5.0, priors: tuple[float, float] = (0.5, 20.0)) -> list[float]:
     """Log ratio of the transition probabilities (random over ordinary) of every pair of characters.
 
-    A pair no sample of a class has counts ``smoothing``, so a character that a class never shows is
-    followed by any other alike; without samples all ratios are zero and nothing is called random.
+    A pair is smoothed towards its second character, with ``backoff`` counts, and a character towards all
+    alike, with the class's prior counts (ordinary, random): a random string may hold any character, whatever
+    the alphabet of the samples. Without samples of both classes all ratios are zero and nothing is called random.
     """
     size = len(ALPHABET)
     pairs = samples.select("label", _codes(F.regexp_replace("value", "[^A-Za-z0-9+/_=-]", "")).alias("codes"))
@@ -107,17 +111,19 @@ def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
             )
         ).alias("pair"),
     )
-    counts = [[0.0] * (size * size) for _ in range(2)]
+    counts = [[0] * (size * size) for _ in range(2)]
     for row in pairs.groupBy("label", "pair").count().collect():  # at most two rows per pair of characters
-        counts[row["label"]][row["pair"]] = float(row["count"])
+        counts[row["label"]][row["pair"]] = row["count"]
     if not all(map(sum, counts)):
         return [0.0] * (size * size)
 
-    def log_probabilities(own: list[float]) -> list[float]:
-        totals = [sum(own[a * size : (a + 1) * size]) + smoothing * size for a in range(size)]
-        return [math.log((n + smoothing) / totals[i // size]) for i, n in enumerate(own)]
+    def log_probabilities(own: list[int], prior: float) -> list[float]:
+        after = [sum(own[b::size]) + prior for b in range(size)]
+        single = [n / sum(after) for n in after]
+        before = [sum(own[a * size : (a + 1) * size]) for a in range(size)]
+        return [math.log((n + backoff * single[i % size]) / (before[i // size] + backoff)) for i, n in enumerate(own)]
 
-    ordinary, random = map(log_probabilities, counts)
+    ordinary, random = map(log_probabilities, counts, priors)
     return [round(r - o, 6) for r, o in zip(random, ordinary)]
 
 
