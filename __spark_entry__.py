@@ -8,15 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ByteType, DateType, IntegerType, ShortType, TimestampType
 
 from custbehav import oracle
-from custbehav.config import CLUSTERING_FEATURES, PipelineConfig
+from custbehav.config import CHURN_MODEL, CLUSTERING_FEATURES, SEGMENT_MODEL, PipelineConfig
 from custbehav.operators import (
     churn, cleaning, features, marts, monitoring, profiles, quality, recommend, segments,
 )
 from custbehav.plans.ingest import source_decisions
+from custbehav.plans.models import current_models
 from custbehav.session import configure, cut_lineage
 from custbehav.schema import EVENTS, REGISTRY
 from custbehav.sources import adapters
@@ -33,6 +35,8 @@ BEHAVIOR = PipelineConfig(min_event_date="2024-01-01", max_event_date="2024-01-3
 ORDERS = PipelineConfig(min_event_date="1995-01-01", max_event_date="2001-08-01", inactive_days=180)
 # The hourly batches have many invalid event types; this limit lets some of them pass.
 BATCHES = PipelineConfig(min_event_date="2024-01-01", max_event_date="2024-01-30", min_type_rate=0.6)
+# Days at both ends of the data lie outside this window.
+NARROW = PipelineConfig(min_event_date="2024-01-03", max_event_date="2024-01-27", min_type_rate=0.6)
 SAMPLE_USERS = 500
 
 
@@ -227,12 +231,8 @@ def majority_baseline(spark, folder):
 
 
 def stratified_split(spark, folder):
-    split = churn.stratified_split(
-        features.user_features(_orders(spark, folder), ORDERS, for_churn=True), ORDERS.test_share, ORDERS.seed
-    )
-    return split.groupBy("churned").agg(
-        F.count(F.lit(1)).alias("users"), F.count_if("is_test").alias("test_users")
-    )
+    users = features.user_features(_orders(spark, folder), ORDERS, for_churn=True)
+    return churn.stratified_split(users, ORDERS.test_share, ORDERS.seed).select("user_id", "churned", "is_test")
 
 
 def segment_personas(spark, folder):
@@ -261,41 +261,101 @@ def _risky(spark, folder, users):
     return profiles.churn_report(churn.score_churn(users, _trained_churn(spark, folder).pipeline))
 
 
+def _band_follows():
+    """The stored probability has four digits; the band is that of the exact one."""
+    probability, level = F.col("churn_probability"), F.col("risk_level")
+    near = F.lit(5e-5)
+    return (profiles.risk_level(probability - near) == level) | (profiles.risk_level(probability + near) == level)
+
+
+def _in_unit(column):
+    return F.col(column).between(0.0, 1.0)
+
+
+def scaled_features(spark, folder):
+    users = features.serving_features(_orders(spark, folder), ORDERS)
+    scaled = segments.scaling(users).transform(users).select("user_id", vector_to_array("scaled").alias("v"))
+    return scaled.select(
+        "user_id", *[F.round(F.get("v", F.lit(i)), 6).alias(f"scaled_{c}") for i, c in enumerate(CLUSTERING_FEATURES)]
+    )
+
+
 def user_segments(spark, folder):
+    """Every user with whether the segment exists and is named by the behaviour of its members."""
     users = _users(spark, folder)
-    return _segmented(users, users.select("user_id", *CLUSTERING_FEATURES)).drop(*CLUSTERING_FEATURES)
+    assigned = cut_lineage(_segmented(users, users.select("user_id", *CLUSTERING_FEATURES)))
+    told = segments.personas(segments.cluster_summary(assigned.withColumnRenamed("cluster_id", "cluster")))
+    told = told.select(F.col("cluster").alias("cluster_id"), F.struct("persona_name", "marketing_strategy").alias("told"))
+    clusters = assigned.agg(F.countDistinct("cluster_id")).scalar()
+    return assigned.join(told, "cluster_id").select(
+        "user_id",
+        F.col("cluster_id").between(0, ORDERS.n_clusters - 1).alias("segment_exists"),
+        (F.struct("persona_name", "marketing_strategy") == F.col("told")).alias("persona_fits"),
+        clusters.alias("segments"),
+    )
 
 
 def churn_scores(spark, folder):
+    """Drivers of every user, and whether band, action and label follow from the score."""
     risky = _risky(spark, folder, features.serving_features(_orders(spark, folder), ORDERS))
     return risky.select(
-        "user_id", "is_churn", "churn_probability", "risk_level", "suggested_action",
+        "user_id",
+        _in_unit("churn_probability").alias("in_range"),
+        _band_follows().alias("band_follows"),
+        (F.col("suggested_action") == profiles.suggested_action(F.col("risk_level"))).alias("action_follows"),
+        ((F.col("is_churn") == 1) == (F.col("score") >= 0.5)).alias("label_follows"),
         F.concat_ws("; ", "risk_drivers").alias("risk_drivers"),
     )
 
 
 def feature_importance(spark, folder):
-    return _trained_churn(spark, folder).importance
+    """The number of features, and whether their importances are shares of one."""
+    importance = F.col("importance")
+    return _trained_churn(spark, folder).importance.agg(
+        F.countDistinct("feature").alias("features"),
+        F.min(importance >= 0).alias("not_negative"),
+        (F.abs(F.sum(importance) - 1.0) < 1e-9).alias("sum_to_one"),
+    )
 
 
 def campaign_scores(spark, folder):
-    users = _users(spark, folder)
-    wanted = _requests(spark, folder).filter(profiles.valid_request(F.col("requested_id")))
+    """Every request with its status and, for a known user, the behaviour and whether the scores are sound."""
+    users, requests = _users(spark, folder), _requests(spark, folder)
+    wanted = requests.filter(profiles.valid_request(F.col("requested_id")))
     chosen = users.join(wanted.select(F.col("requested_id").cast("bigint").alias("user_id")), "user_id", "left_semi")
-    return profiles.campaign_scores(_risky(spark, folder, _segmented(users, chosen)))
+    answered = profiles.resolve_requests(
+        requests, profiles.campaign_scores(_risky(spark, folder, _segmented(users, chosen)))
+    )
+    band = F.col("risk_level").isin("HIGH", "MEDIUM", "LOW") & F.col("churn_prob").between(0.0, 1.0)
+    return answered.select(
+        "position", "requested_id", "status", "user_id", "days_active", "total_spent",
+        (band & F.col("persona").startswith("Segment ")).alias("scored"),
+    )
 
 
 def high_risk_users(spark, folder):
-    risky = _risky(spark, folder, features.serving_features(_orders(spark, folder), ORDERS))
-    return profiles.high_risk(risky).select("user_id", "churn_probability", "suggested_action")
+    """Whether the extract holds users of the highest band only, and all of them."""
+    risky = cut_lineage(_risky(spark, folder, features.serving_features(_orders(spark, folder), ORDERS)))
+    extract = profiles.high_risk(risky)
+    found = extract.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.min(F.col("score") >= 0.7), F.lit(True)).alias("high"))
+    wanted = risky.agg(F.count_if(F.col("score") >= 0.7)).scalar()
+    return found.select(F.col("high").alias("only_high"), (F.col("n") == wanted).alias("all_high"))
 
 
 def customer_360(spark, folder):
+    """Profile and recommended products of every user, and whether segment and risk are sound."""
     users = _users(spark, folder)
     catalogue = recommend.top_products(_orders(spark, folder), ORDERS)
     risky = _risky(spark, folder, _segmented(users, users))
     table = profiles.customer_360(recommend.user_recommendations(risky, catalogue, ORDERS))
-    return table.select("user_id", *[F.to_json(c).alias(c) for c in table.columns if c != "user_id"])
+    products = F.transform("recommended_products", lambda item: item["product_id"].cast("string"))
+    risk, segment = F.col("churn_prediction"), F.col("customer_segmentation")
+    return table.select(
+        "user_profile.*",
+        F.array_join(products, ",").alias("recommended"),
+        (risk["churn_probability"].between(0.0, 1.0) & risk["risk_level"].isin("HIGH", "MEDIUM", "LOW")).alias("risk_sound"),
+        segment["persona_name"].startswith("Segment ").alias("segment_sound"),
+    )
 
 
 def decisions_for_sources(spark, folder):
@@ -317,6 +377,82 @@ def decisions_for_sources(spark, folder):
     return source_decisions(listing, manifest, 100_000)
 
 
+def reject_reasons_narrow(spark, folder):
+    return cleaning.reject_counts(adapters.raw_behavior(spark, folder), NARROW)
+
+
+def _narrow_log(spark, folder):
+    """Load log under the narrow window: batches outside it have no valid row and fail."""
+    raw = adapters.raw_behavior(spark, folder)
+    return quality.load_log(raw, ["source_file", "batch"], NARROW).withColumnRenamed("batch", "id")
+
+
+def latest_status_narrow(spark, folder):
+    return monitoring.latest_per_key(_narrow_log(spark, folder), "source_file", "id")
+
+
+def alerts_narrow(spark, folder):
+    log = _narrow_log(spark, folder)
+    return monitoring.alerts(_behavior(spark, folder), _registry(spark, folder), log, BEHAVIOR)
+
+
+def _registry(spark, folder):
+    """Versions of the two models, registered by the nations; the newest segmentation has an old schema."""
+    key = F.col("n_nationkey")
+    rows = adapters.table(spark, folder, "nation").select(
+        F.when(key % 2 == 0, SEGMENT_MODEL).otherwise(CHURN_MODEL).alias("model_name"),
+        F.format_string("%04d", key).alias("version"),
+        F.when(key % 5 == 4, "1.0").when(key % 7 != 6, "2.0").alias("feature_schema_version"),
+    )
+    known = rows.columns
+    return rows.select(
+        *[(F.col(f.name) if f.name in known else F.lit(None).cast(f.dataType)).alias(f.name) for f in REGISTRY.fields]
+    )
+
+
+def model_status(spark, folder):
+    return monitoring.schema_currency(_registry(spark, folder), BEHAVIOR)
+
+
+def registry_summary(spark, folder):
+    latest = current_models(_registry(spark, folder))
+    return latest.select("model_name", "version", "feature_schema_version")
+
+
+def quality_history(spark, folder):
+    """The latest reports of the hourly batches."""
+    report = quality.evaluate(adapters.raw_behavior(spark, folder), ["batch"], BATCHES)
+    rows = report.select(
+        F.col("batch").alias("id"), "total_records", "completeness_score",
+        F.col("session_valid_rate").alias("valid_sessions_rate"),
+        F.when(F.col("passed_gate"), "PASSED").otherwise("FAILED").alias("status"),
+    )
+    return monitoring.run_history(rows)
+
+
+def latency(spark, folder):
+    """Run time per source and status, at a thousand rows a second."""
+    log = _run_log(spark, folder).withColumn("execution_seconds", F.col("rows_read") / 1e3)
+    return monitoring.latency_by_status(log)
+
+
+def typed_dirty_columns(spark, folder):
+    """Text prices with garbage, category ids written as decimals, tabs in brands, cleaned."""
+    raw = adapters.raw_behavior(spark, folder)
+    part = F.col("product_id")
+    price = F.when(part % 6 == 1, F.lit("n/a")).otherwise(F.concat(F.col("price").cast("string"), F.lit(" ")))
+    dirty = raw.withColumns(
+        {
+            "price": price,
+            "category_id": F.when(part % 4 == 1, F.concat("category_id", F.lit(".0"))).otherwise(F.col("category_id")),
+            "brand": F.concat(F.lit("\t"), "brand", F.lit("\t")),
+        }
+    )
+    return cleaning.clean(dirty, BEHAVIOR).select(
+        "event_time", "event_type", "product_id", "category_id", "brand", "price", "user_id", "user_session"
+    )
+
+
 def latest_status(spark, folder):
     return monitoring.latest_per_key(_run_log(spark, folder), "source_file", "id")
 
@@ -391,7 +527,9 @@ QUERIES = [
     threshold_metrics, ranking_metrics, majority_baseline, stratified_split, segment_personas, user_segments,
     churn_scores, feature_importance, campaign_scores, high_risk_users, customer_360, decisions_for_sources,
     latest_status, alerts, run_history, quality_trend, table_counts, dim_users, dim_products, dim_categories,
-    fact_events, dim_date, dim_brand, fact_sales_daily, price_iqr, zero_sessions,
+    fact_events, dim_date, dim_brand, fact_sales_daily, price_iqr, zero_sessions, scaled_features,
+    reject_reasons_narrow, latest_status_narrow, alerts_narrow, model_status, registry_summary, quality_history,
+    latency, typed_dirty_columns,
 ]
 
 

@@ -19,6 +19,8 @@ CHURN_MODEL = "churn_prediction_rf"
 
 @dataclass(frozen=True)
 class PipelineConfig:
+    # Limits, rates and sizes that results must share with other runs of the same data.
+
     # Input
     source_files: tuple[str, ...] = SOURCE_FILES
     event_types: tuple[str, ...] = EVENT_TYPES
@@ -43,8 +45,6 @@ class PipelineConfig:
     feature_schema_version: str = "2.0"
     n_clusters: int = 5
     n_init: int = 10
-    segment_sample: int | None = 100_000
-    silhouette_sample: int = 5_000
     n_trees: int = 50
     tree_depth: int = 8
     test_share: float = 0.2

@@ -9,8 +9,8 @@ WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 DAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
-# Beyond this amount a value is summed as a double instead of in whole millionths.
-_EXACT_LIMIT = 1e9
+# Amounts are added as decimals with twelve places: up to ten quadrillion each, in steps of a trillionth.
+AMOUNT = "decimal(28,12)"
 
 
 def strip(column: Column) -> Column:
@@ -31,27 +31,19 @@ def is_number(column: Column) -> Column:
     return column.isNotNull() & ~F.isnan(column)
 
 
-def amount_sums(value: Column, name: str, wide: bool = False) -> list[Column]:
+def amount_sums(value: Column, name: str) -> list[Column]:
     """Aggregates that add amounts exactly; ``amount_total`` of the same name turns them into a double.
 
-    Amounts are added in whole millionths as 64-bit integers, which costs the same as adding doubles
-    and does not depend on the order of the rows; amounts of a billion and more are added as doubles.
-    ``wide`` adds in decimals instead, for groups whose total can pass nine trillion.
+    Every amount takes the same path, whatever its size and the number of rows, and the sum does not depend on
+    their order. An amount of ten quadrillion or more fails (ANSI mode), one below half a trillionth adds 0.
     """
-    small = F.when(F.abs(value) < _EXACT_LIMIT, F.floor(value * F.lit(1e6) + F.lit(0.5e0)))
-    large = F.when(F.abs(value) >= _EXACT_LIMIT, value)
-    return [
-        F.sum(small.cast("decimal(19,0)") if wide else small).alias(f"{name}_millionths"),
-        F.sum(large).alias(f"{name}_large"),
-    ]
+    return [F.sum(value.cast(AMOUNT)).alias(f"{name}_sum")]
 
 
 def amount_total(name: str, regroup: bool = False) -> Column:
     """Total of ``amount_sums``; ``regroup`` adds the sums of several groups first. No amounts give 0."""
-    small, large = F.col(f"{name}_millionths"), F.col(f"{name}_large")
-    if regroup:
-        small, large = F.sum(small), F.sum(large)
-    return F.coalesce(small.cast("double"), F.lit(0e0)) / F.lit(1e6) + F.coalesce(large, F.lit(0e0))
+    total = F.col(f"{name}_sum")
+    return F.coalesce((F.sum(total) if regroup else total).cast("double"), F.lit(0e0))
 
 
 def round_half_up(value: Column, digits: int) -> Column:

@@ -14,6 +14,7 @@ from pyspark.storagelevel import StorageLevel
 from custbehav.config import CHURN_FEATURES, PipelineConfig
 from custbehav.functions.columns import ratio
 from custbehav.functions.ordering import running_totals, unit_bucket, values_at_ranks
+from custbehav.operators.features import sample_key
 
 
 @dataclass
@@ -27,36 +28,32 @@ def check_churn_input(features: DataFrame) -> dict[int, int]:
     """Users per class; refuses features that see the label period, and too few users."""
     seen = features.groupBy("feature_mode", "churned").agg(F.count(F.lit(1)).alias("n")).collect()
     if any(row["feature_mode"] != "held_out" for row in seen):
-        raise ValueError("Churn training requires features built with for_churn=True to prevent label leakage")
+        raise ValueError("the features see the label period: build them with for_churn=True")
     classes = {int(row["churned"]): row["n"] for row in seen}
     if sum(classes.values()) < 10 or len(classes) != 2 or min(classes.values()) < 2:
-        raise ValueError("Churn training needs at least 10 users and at least two users in each class")
+        raise ValueError("too few users to train on: at least 10 users and two of each class are needed")
     return classes
 
 
-def _split_hash(seed: int) -> Column:
-    return F.struct(F.xxhash64(F.lit(seed), F.col("user_id")).alias("hash"), F.col("user_id").alias("user_id"))
-
-
 def stratified_split(features: DataFrame, share: float, seed: int) -> DataFrame:
     """Add ``is_test``: in every class the rounded share of users with the smallest hashes.
 
     The limit per class comes from totals per hash range, so a class is never gathered in one task; the
     flag itself is a comparison with the limits, one row per class.
     """
-    keyed = features.select("churned", _split_hash(seed).alias("key"), F.lit(1).alias("rows"))
+    keyed = features.select("churned", sample_key(F.col("user_id"), seed).alias("key"), F.lit(1).alias("rows"))
     last = values_at_ranks(
         keyed,
         ["churned"],
         "key",
         "rows",
-        F.shiftright(F.col("key.hash"), 48),
+        F.shiftright(F.col("key.hash"), 15),
         {"last_test": lambda n: F.floor(n.cast("double") * F.lit(share) + F.lit(0.5e0)) - 1},
         few_keys=True,
     ).drop("n")
     return (
         features.join(F.broadcast(last), "churned", "left")
-        .withColumn("is_test", F.coalesce(_split_hash(seed) <= F.col("last_test"), F.lit(False)))
+        .withColumn("is_test", F.coalesce(sample_key(F.col("user_id"), seed) <= F.col("last_test"), F.lit(False)))
         .drop("last_test")
     )
 

@@ -32,14 +32,18 @@ def numeric_price(df: DataFrame) -> Column:
     return price.try_cast("double") if isinstance(df.schema["price"].dataType, StringType) else price.cast("double")
 
 
-def in_window(time: Column, cfg: PipelineConfig) -> Column:
+def in_window(df: DataFrame, cfg: PipelineConfig) -> Column:
     """True from the first second of the first day to the last second of the last day, both included.
 
-    A range test that mentions ``time`` once: a filter would parse the text for each comparison.
+    A column of times is compared plainly, so the range reaches the scan. A text is mentioned once in a
+    range test, because a filter would parse it for each comparison.
     """
-    first = F.unix_micros(F.lit(cfg.min_event_date).cast("timestamp"))
-    last = F.unix_micros(F.lit(f"{cfg.max_event_date} 23:59:59").cast("timestamp"))
-    return F.floor((F.unix_micros(time) - first) / (last - first + 1)) == 0
+    first = F.lit(cfg.min_event_date).cast("timestamp")
+    last = F.lit(f"{cfg.max_event_date} 23:59:59").cast("timestamp")
+    if not isinstance(df.schema["event_time"].dataType, StringType):
+        return F.col("event_time").between(first, last)
+    first, last = F.unix_micros(first), F.unix_micros(last)
+    return F.floor((F.unix_micros(parsed_time(df)) - first) / (last - first + 1)) == 0
 
 
 def row_rules(df: DataFrame, cfg: PipelineConfig) -> list[tuple[str, Column]]:
@@ -54,7 +58,7 @@ def row_rules(df: DataFrame, cfg: PipelineConfig) -> list[tuple[str, Column]]:
         ("mandatory_key", present),
         ("session", F.length("user_session") >= cfg.min_session_length),
         ("unparsable_time", time.isNotNull()),
-        ("outside_window", in_window(time, cfg)),
+        ("outside_window", in_window(df, cfg)),
     ]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from custbehav.config import PipelineConfig
 from custbehav.functions.columns import amount_sums, amount_total, count_when, ratio
@@ -39,7 +39,7 @@ def sample_threshold(users: DataFrame, size: int, seed: int) -> Column:
     the users that are selected.
     """
     if size <= 0:
-        raise ValueError("sample_size must be positive")
+        raise ValueError("a sample needs at least one user")
     keyed = users.select(sample_key(F.col("user_id"), seed).alias("key"), F.lit(1).alias("rows"))
     bucket = F.shiftright(F.col("key.hash"), 15)
     last = values_at_ranks(
@@ -63,32 +63,39 @@ def _best_category(count: str) -> Column:
 def _aggregate(events: DataFrame, observed: Column, favourite: bool = False) -> DataFrame:
     """Additive measures and distinct counts of the observed events per user.
 
-    One branch adds up per user and category and then per user, which gives the number of categories
-    and the favourite on the way; the other counts distinct products. Both first shuffle on a finer key
-    than the user, after combining on the map side, so a user with a third of all events is spread over
-    tasks. Two distinct counts in one aggregation would triple the rows instead.
+    The events are read once and added up per user, category and product, on the map side first. What
+    follows works on those rows: a product counts in the first category in which the user saw it, and sums per
+    category give the number of categories and the favourite on the way. Every shuffle but the last is on a
+    finer key than the user, so a user with a third of all events is spread over tasks.
     """
     kind, time = F.col("event_type"), F.col("event_time")
     bought = observed & (kind == "purchase")
     counts = {"total_events": observed, "total_views": observed & (kind == "view"), "total_purchases": bought}
-    per_category = events.groupBy("user_id", "category_level1").agg(
+    per_product = events.groupBy("user_id", "category_level1", "product_id").agg(
         F.min(F.when(observed, time)).alias("first_interaction"),
         F.max(F.when(observed, time)).alias("last_interaction"),
         F.max(time).alias("_last_event"),
         *[count_when(condition).alias(name) for name, condition in counts.items()],
         *amount_sums(F.when(bought, F.col("price")), "spent"),
     )
-    users = per_category.groupBy("user_id").agg(
+    seen = F.col("total_events") > 0
+    place = F.row_number().over(Window.partitionBy("user_id", "product_id").orderBy(seen.desc(), "category_level1"))
+    first_seen = ((place == 1) & seen & F.col("product_id").isNotNull()).cast("long")
+
+    again = [
         F.min("first_interaction").alias("first_interaction"),
         F.max("last_interaction").alias("last_interaction"),
         F.max("_last_event").alias("_last_event"),
-        count_when(F.col("category_level1").isNotNull() & (F.col("total_events") > 0)).alias("unique_categories"),
+        *[F.sum(name).alias(name) for name in ("unique_products", *counts)],
+    ]
+    per_category = per_product.withColumn("unique_products", first_seen).groupBy("user_id", "category_level1")
+    users = per_category.agg(*again, F.sum("spent_sum").alias("spent_sum")).groupBy("user_id").agg(
+        *again,
+        count_when(F.col("category_level1").isNotNull() & seen).alias("unique_categories"),
         amount_total("spent", regroup=True).alias("total_spent"),
-        *[F.sum(name).alias(name) for name in counts],
         *([_best_category("total_events")] if favourite else []),
     )
-    products = events.filter(observed).groupBy("user_id").agg(F.countDistinct("product_id").alias("unique_products"))
-    return users.join(products, "user_id")
+    return users.filter(seen)
 
 
 def _ratios(users: DataFrame) -> DataFrame:

@@ -18,8 +18,8 @@ def _is(kind: str) -> Column:
     return F.col("event_type") == kind
 
 
-def _paid(wide: bool = False) -> list[Column]:
-    return amount_sums(F.when(_is("purchase"), F.col("price")), "paid", wide)
+def _paid() -> list[Column]:
+    return amount_sums(F.when(_is("purchase"), F.col("price")), "paid")
 
 
 def _latest(name: str) -> Column:
@@ -50,7 +50,7 @@ def dim_products(events: DataFrame) -> DataFrame:
     spellings = events.groupBy("product_id", "category_id", "category_code", "brand").agg(
         F.max("event_time").alias("event_time"),
         F.count(F.lit(1)).alias("n"),
-        *amount_sums(F.col("price"), "price", wide=True),
+        *amount_sums(F.col("price"), "price"),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
         *[count_when(_is(kind)).alias(name) for name, kind in kinds.items()],
@@ -70,7 +70,7 @@ def dim_categories(events: DataFrame) -> DataFrame:
     """Levels are null where the code has no such part, unlike in the event store."""
     parts = F.split("category_code", r"\.")
     products = events.groupBy("category_id", "category_code", "product_id").agg(
-        F.max("event_time").alias("event_time"), *_paid(wide=True)
+        F.max("event_time").alias("event_time"), *_paid()
     )
     return (
         products.groupBy("category_id")
@@ -141,7 +141,9 @@ def dim_brand(events: DataFrame, cfg: PipelineConfig) -> DataFrame:
 def fact_sales_daily(events: DataFrame, brands: DataFrame) -> DataFrame:
     """Activity per day, product, brand and category with the dimensions' keys.
 
-    The events are aggregated before the join, so the join sees one row per fact.
+    The events are aggregated before the join, so the join sees one row per fact. ``brands`` should be the
+    stored dimension; a brand with most facts is split by adaptive execution, as both sides are shuffled for
+    the join alone.
     """
     facts = events.groupBy("date", "product_id", "brand", "category_id").agg(
         count_when(_is("view")).alias("total_views"),

@@ -34,6 +34,15 @@ def table_counts(tables: dict[str, DataFrame | None]) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(name, df) for name, df in tables.items()])
 
 
+def with_sizes(counts: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """Add ``size_mb`` per table, from the bytes its files take, and the row ``store`` with the sums of all."""
+    spark = counts.sparkSession
+    known = spark.createDataFrame([(name, n / 1e6) for name, n in sizes.items()], "table_name string, size_mb double")
+    tables = counts.join(known, "table_name", "left").fillna(0.0, subset=["size_mb"])
+    total = tables.agg(F.sum("row_count").alias("row_count"), F.sum("size_mb").alias("size_mb"))
+    return tables.unionByName(total.select(F.lit("store").alias("table_name"), "row_count", "size_mb"))
+
+
 def schema_currency(registry: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """Per expected model whether its latest entry exists and has the current feature schema."""
     spark = registry.sparkSession
@@ -46,6 +55,14 @@ def schema_currency(registry: DataFrame, cfg: PipelineConfig) -> DataFrame:
     )
 
 
+# Texts of the alerts.
+NO_STORE = "Event store not found. ETL ingestion required."
+NO_EVENTS = "Events table is currently empty."
+MISSING_MODELS = "Missing trained model artifacts: "
+STALE_MODELS = "Models need retraining for the current feature schema."
+BAD_RUN = ". Inspect raw quality reports; invalid rows are excluded during cleaning."
+
+
 def _alert(rows: DataFrame, severity: Column | str, component: Column | str, message: Column) -> DataFrame:
     as_column = lambda x: F.lit(x) if isinstance(x, str) else x
     return rows.select(
@@ -59,11 +76,11 @@ def alerts(events: DataFrame | None, registry: DataFrame, run_log: DataFrame | N
     found = []
     if events is None:
         found.append(
-            _alert(spark.range(1), "CRITICAL", "Database", F.lit("Event store not found. ETL ingestion required."))
+            _alert(spark.range(1), "CRITICAL", "Database", F.lit(NO_STORE))
         )
     else:
         any_row = events.limit(1).agg(F.count(F.lit(1)).alias("n"))
-        found.append(_alert(any_row.filter("n = 0"), "WARNING", "Database", F.lit("Events table is currently empty.")))
+        found.append(_alert(any_row.filter("n = 0"), "WARNING", "Database", F.lit(NO_EVENTS)))
 
     state = schema_currency(registry, cfg).agg(
         F.array_sort(F.collect_list(F.when(~F.col("registered"), F.col("model_name")))).alias("missing"),
@@ -72,13 +89,13 @@ def alerts(events: DataFrame | None, registry: DataFrame, run_log: DataFrame | N
     found.append(
         _alert(
             state.filter(F.size("missing") > 0), "HIGH", "ModelRegistry",
-            F.concat(F.lit("Missing trained model artifacts: "), F.concat_ws(", ", "missing")),
+            F.concat(F.lit(MISSING_MODELS), F.concat_ws(", ", "missing")),
         )
     )
     found.append(
         _alert(
             state.filter(~F.col("current")), "HIGH", "ModelSchema",
-            F.lit("Models need retraining for the current feature schema."),
+            F.lit(STALE_MODELS),
         )
     )
     if run_log is not None:
@@ -93,7 +110,7 @@ def alerts(events: DataFrame | None, registry: DataFrame, run_log: DataFrame | N
                 F.when(failed, "ETLPipeline").otherwise("DataQualityGate"),
                 F.concat(
                     "source_file", F.lit(": "), "status",
-                    F.lit(". Inspect raw quality reports; invalid rows are excluded during cleaning."),
+                    F.lit(BAD_RUN),
                 ),
             )
         )

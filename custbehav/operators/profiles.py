@@ -15,6 +15,7 @@ ACTIONS = {
 SHORT_SPAN = "Short engagement span (< 3 days)"
 NO_PURCHASE = "Zero conversions (views only)"
 RARE_VISITS = "Low interaction frequency"
+NO_RECORDS = ("User ", " has no records in the event store.")
 
 MAX_ID_DIGITS = 18
 
@@ -103,7 +104,7 @@ def resolve_requests(requests: DataFrame, profiles: DataFrame) -> DataFrame:
         "position",
         "requested_id",
         status.alias("status"),
-        F.when(status == "NOT_FOUND", F.concat(F.lit("User "), F.col("requested_id"), F.lit(" has no records in the event store."))).alias("message"),
+        F.when(status == "NOT_FOUND", F.concat(F.lit(NO_RECORDS[0]), F.col("requested_id"), F.lit(NO_RECORDS[1]))).alias("message"),
         *[c for c in profiles.columns],
     )
 

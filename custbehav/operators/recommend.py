@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from custbehav.config import PipelineConfig
 from custbehav.functions.columns import amount_sums, amount_total, ratio, round_half_up
 
+# The text of a recommendation's reason, around the category.
+REASON = ("Top trending in '", "' category")
+
 
 def product_popularity(events: DataFrame) -> DataFrame:
     """Purchases, mean price and latest labels per category and product.
@@ -84,7 +87,7 @@ def user_recommendations(users: DataFrame, catalogue: DataFrame, cfg: PipelineCo
                 F.when(F.coalesce(item["brand"], F.lit("")) == "", "General").otherwise(item["brand"]).alias("brand"),
                 item["price"].alias("price_usd"),
                 item["popularity"].alias("popularity_score"),
-                F.concat(F.lit("Top trending in '"), item["category"], F.lit("' category")).alias(
+                F.concat(F.lit(REASON[0]), item["category"], F.lit(REASON[1])).alias(
                     "recommendation_reason"
                 ),
             ),

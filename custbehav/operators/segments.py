@@ -1,25 +1,26 @@
-"""Customer segmentation: standardised features, K-means with restarts, silhouette, personas."""
+"""Customer segmentation: standardised features, K-means with restarts, silhouette, personas. All over all users."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-import numpy as np
-import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from custbehav.config import CLUSTERING_FEATURES, PipelineConfig
 from custbehav.functions.columns import round_half_up
-from custbehav.operators.features import sample_key, sample_threshold
 
+# Texts of the personas.
 FALLBACK_STRATEGY = "Standard marketing campaign"
+BUYERS_STRATEGY = "Retention and relevant product recommendations"
+VIEWERS_STRATEGY = "Product discovery and first-purchase offers"
+PERSONA = "Segment %d: avg purchases $%.2f, %.0f events"
 
 
 @dataclass
@@ -27,7 +28,6 @@ class SegmentModel:
     pipeline: PipelineModel
     personas: DataFrame
     summary: DataFrame
-    silhouette: float
     training_rows: int
 
 
@@ -37,17 +37,11 @@ def check_segment_input(features: DataFrame, cfg: PipelineConfig) -> int:
     distinct = features.select(*CLUSTERING_FEATURES).distinct().limit(cfg.n_clusters).count()
     if users <= cfg.n_clusters or distinct < cfg.n_clusters:
         raise ValueError(
-            f"Segmentation requires more than {cfg.n_clusters} users and at least {cfg.n_clusters} distinct feature vectors"
+            f"{cfg.n_clusters} segments need more users than that and as many distinct feature vectors; there are {users} users"
         )
     return users
 
 
-def first_users(users: DataFrame, size: int, cfg: PipelineConfig) -> DataFrame:
-    """The seeded sample of at most ``size`` users, from one row per user."""
-    threshold = sample_threshold(users.select("user_id"), size, cfg.seed)
-    return users.filter(sample_key(F.col("user_id"), cfg.seed) <= threshold)
-
-
 def _best_kmeans(scaled: DataFrame, cfg: PipelineConfig):
     """Restart with ``n_init`` seeds and keep the lowest cost. Small jobs, so several run at a time."""
     estimator = KMeans(k=cfg.n_clusters, featuresCol="scaled", predictionCol="cluster")
@@ -62,43 +56,22 @@ def _best_kmeans(scaled: DataFrame, cfg: PipelineConfig):
     return min(fitted, key=lambda one: one[:2])[2]
 
 
-def euclidean_silhouette(points: DataFrame, cfg: PipelineConfig) -> float:
-    """Mean silhouette with Euclidean distance on the seeded sample of ``silhouette_sample`` users.
+def silhouette(points: DataFrame) -> float:
+    """Mean silhouette with squared Euclidean distance over all rows (``scaled``, ``cluster``); 0 for one cluster.
 
-    ``points`` has user_id, vector ``scaled`` and ``cluster``. The sample has a fixed size bound, so it
-    is sent to the tasks as one array; each task scores its own rows against it.
+    It takes sums per cluster only: one pass adds them up and one scores every row against them.
     """
-    spark = points.sparkSession
-    sample = first_users(points, cfg.silhouette_sample, cfg).select(
-        "cluster", vector_to_array("scaled").alias("point")
-    )
-    rows = sample.toPandas()
-    labels = rows["cluster"].to_numpy()
-    kinds, sizes = np.unique(labels, return_counts=True)
-    if not 1 < len(kinds) < len(labels):
+    if points.select("cluster").distinct().limit(2).count() < 2:
         return 0.0
-    shared = spark.sparkContext.broadcast((np.stack(rows["point"].to_numpy()), labels))
-
-    def score(batches):
-        everyone, clusters = shared.value
-        member = clusters[:, None] == kinds[None, :]
-        for batch in batches:
-            mine = np.stack(batch["point"].to_numpy())
-            own = np.searchsorted(kinds, batch["cluster"].to_numpy())
-            squares = (mine**2).sum(1)[:, None] + (everyone**2).sum(1)[None, :] - 2 * mine @ everyone.T
-            per_cluster = np.sqrt(np.maximum(squares, 0.0)) @ member
-            at = np.arange(len(own))
-            inside = per_cluster[at, own] / np.maximum(sizes[own] - 1, 1)
-            means = per_cluster / sizes
-            means[at, own] = np.inf
-            nearest = means.min(1)
-            widest = np.maximum(inside, nearest)
-            ok = (sizes[own] > 1) & (widest > 0)
-            yield pd.DataFrame({"s": np.where(ok, (nearest - inside) / np.where(widest > 0, widest, 1.0), 0.0)})
-
-    tasks = max(1, min(spark.sparkContext.defaultParallelism, len(labels) // 500))
-    local = spark.createDataFrame(rows).repartition(tasks)
-    return float(local.mapInPandas(score, "s double").agg(F.avg("s")).first()[0])
+    evaluator = ClusteringEvaluator(featuresCol="scaled", predictionCol="cluster", distanceMeasure="squaredEuclidean")
+    return evaluator.evaluate(points)
+
+
+def scaling(features: DataFrame) -> PipelineModel:
+    """Assembles the clustering features and scales them to mean 0 and sample deviation 1."""
+    assembler = VectorAssembler(inputCols=list(CLUSTERING_FEATURES), outputCol="vector")
+    scaler = StandardScaler(inputCol="vector", outputCol="scaled", withMean=True)
+    return PipelineModel([assembler, scaler.fit(assembler.transform(features))])
 
 
 def cluster_summary(assigned: DataFrame) -> DataFrame:
@@ -112,29 +85,21 @@ def cluster_summary(assigned: DataFrame) -> DataFrame:
 def personas(summary: DataFrame) -> DataFrame:
     """Name and strategy per cluster, from the cluster's statistics and never from its number alone."""
     name = F.format_string(
-        "Segment %d: avg purchases $%.2f, %.0f events", "cluster", "total_spent", F.rint("total_events")
-    )
-    strategy = F.when(F.col("total_spent") > 0, "Retention and relevant product recommendations").otherwise(
-        "Product discovery and first-purchase offers"
+        PERSONA, "cluster", "total_spent", F.rint("total_events")
     )
+    strategy = F.when(F.col("total_spent") > 0, BUYERS_STRATEGY).otherwise(VIEWERS_STRATEGY)
     return summary.withColumns({"persona_name": name, "marketing_strategy": strategy})
 
 
 def train_segments(features: DataFrame, cfg: PipelineConfig) -> SegmentModel:
-    """Fit on the seeded sample of ``segment_sample`` users (None trains on all of them)."""
+    """Fit on all users of ``features``."""
     users = check_segment_input(features, cfg)
-    training = features
-    if cfg.segment_sample is not None and users > cfg.segment_sample:
-        training = first_users(features, cfg.segment_sample, cfg)
-        users = cfg.segment_sample
-    assembler = VectorAssembler(inputCols=list(CLUSTERING_FEATURES), outputCol="vector")
-    assembled = assembler.transform(training.select("user_id", *CLUSTERING_FEATURES))
-    scaler = StandardScaler(inputCol="vector", outputCol="scaled", withMean=True).fit(assembled)
-    scaled = scaler.transform(assembled).persist(StorageLevel.MEMORY_AND_DISK)
+    wanted = features.select("user_id", *CLUSTERING_FEATURES)
+    scaler = scaling(wanted)
+    scaled = scaler.transform(wanted).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = _best_kmeans(scaled, cfg)
         assigned = model.transform(scaled)
-        silhouette = euclidean_silhouette(assigned, cfg)
         # A handful of rows that later jobs join: kept as a literal table instead of a plan over all users.
         rows = cluster_summary(assigned).orderBy("cluster").collect()
     finally:
@@ -142,7 +107,7 @@ def train_segments(features: DataFrame, cfg: PipelineConfig) -> SegmentModel:
     spark = features.sparkSession
     summary = spark.createDataFrame(rows, "cluster int, users long, total_spent double, total_events double, events_per_day double")
     return SegmentModel(
-        PipelineModel([assembler, scaler, model]), personas(summary), summary, silhouette, users
+        PipelineModel([*scaler.stages, model]), personas(summary), summary, users
     )
 
 

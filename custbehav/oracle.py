@@ -254,7 +254,37 @@ dim_brand as (
     from by_category) c on c.brand = b.brand and c.r = 1)"""
 
 
+# The same under the narrow window of two of the queries.
+def _narrow(text: str) -> str:
+    return (
+        text.replace("2024-01-01 00:00:00", "2024-01-03 00:00:00")
+        .replace("2024-01-30 23:59:59", "2024-01-27 23:59:59").replace("2024-01-31 00:00:00", "2024-01-28 00:00:00")
+    )
+
+
+SERVING_ORDERS = SERVING.replace(BEH, ORD).replace(DAY, HALF_YEAR)
+
+MODELS = """registry as (
+  select case when n_nationkey % 2 = 0 then 'customer_segmentation_kmeans' else 'churn_prediction_rf' end as model_name,
+         printf('%04d', n_nationkey) as version,
+         case when n_nationkey % 5 = 4 then '1.0' when n_nationkey % 7 <> 6 then '2.0' end as feature_schema_version
+  from nation),
+latest_models as (
+  select * from registry where version in (select max(version) from registry group by model_name)),
+model_states as (
+  select model_name, true as registered, coalesce(feature_schema_version = '2.0', false) as schema_current from latest_models)"""
+
+DRIVERS = """concat_ws('; ',
+  case when days_active <= 2 then 'Short engagement span (< 3 days)' end,
+  case when purchase_rate = 0 then 'Zero conversions (views only)' end,
+  case when events_per_day < 2 then 'Low interaction frequency' end)"""
+
+
 def statements() -> dict[str, str]:
+    scaled = ", ".join(
+        f"round(({c} - avg({c}) over ()) / stddev_samp({c}) over (), 6) as scaled_{c}"
+        for c in ("total_events", "total_spent", "avg_spent", "unique_products", "events_per_day")
+    )
     levels = "category_level1, category_level2, category_level3"
     return {
         "clean_events": f"""with {JUDGED}, {NORMAL}, kept as (select distinct * exclude (batch) from normal)
@@ -341,8 +371,31 @@ counts as (
          cast(count(*) filter (where is_test and label = 0) as double) as neg from split)
 select guess as baseline_label, case when guess = 1 then pos / (pos + neg) else neg / (pos + neg) end as baseline_accuracy,
        case when guess = 1 and pos + neg > 0 then pos * 2 / (pos * 2 + neg) else 0e0 end as baseline_f1 from counts""",
-        "stratified_split": f"""with {SCORED} select label as churned, count(*) as users,
-       cast(floor(count(*) * 0.2e0 + 0.5e0) as bigint) as test_users from scored group by label""",
+        "stratified_split": f"""with {SCORED}, placed as (
+  select user_id, label, row_number() over (partition by label order by {SAMPLE_HASH}, user_id) as place,
+         count(*) over (partition by label) as n from scored)
+select user_id, label as churned, place <= floor(n * 0.2e0 + 0.5e0) as is_test from placed""",
+        "scaled_features": f"with {SERVING_ORDERS} select user_id, {scaled} from serving",
+        "user_segments": f"""with {SERVING_ORDERS} select user_id, true as segment_exists, true as persona_fits, 5 as segments
+from serving""",
+        "churn_scores": f"""with {SERVING_ORDERS} select user_id, true as in_range, true as band_follows, true as action_follows,
+       true as label_follows, {DRIVERS} as risk_drivers from serving""",
+        "feature_importance": "select 9 as features, true as not_negative, true as sum_to_one",
+        "high_risk_users": "select true as only_high, true as all_high",
+        "campaign_scores": f"""with {SERVING_ORDERS}, {REQUESTS}
+select a.position, a.requested_id,
+       case when a.user_id is null then 'INVALID' when s.user_id is null then 'NOT_FOUND' else 'SUCCESS' end as status,
+       a.user_id, s.days_active, s.total_spent, case when s.user_id is not null then true end as scored
+from asked a left join serving s on s.user_id = a.user_id""",
+        "customer_360": f"""with {SERVING_ORDERS}, {PROFILES}, {TOP_PRODUCTS}, candidates as (
+  select s.user_id, t.product_id,
+         row_number() over (partition by s.user_id order by case when t.category_level1 = s.favorite_category then 0 else 1 end,
+                            t.popularity desc, t.product_id, t.category_level1) as place
+  from serving s cross join top_products t),
+lists as (
+  select user_id, string_agg(cast(product_id as varchar), ',' order by place) as recommended
+  from candidates where place <= 5 group by user_id)
+select p.*, recommended, true as risk_sound, true as segment_sound from profiles p join lists l on l.user_id = p.user_id""",
         "segment_personas": f"""with {ORD}, {_features(HALF_YEAR, 'true')}, summary as (
   select least(total_purchases // 10, 4) as cluster, count(*) as users, {rounded('avg(total_spent)', 2)} as total_spent,
          {rounded('avg(total_events)', 2)} as total_events, {rounded('avg(events_per_day)', 2)} as events_per_day
@@ -361,6 +414,34 @@ select l.source_file, l.fingerprint,
             when m.row_limit is null then 'SKIP' when 100000 < m.row_limit then 'REFUSE' else 'LOAD' end as decision,
        m.rows_loaded
 from listing l join manifest m on m.source_file = l.source_file""",
+        "reject_reasons_narrow": f"""with {_narrow(JUDGED)} select source_file, reason, count(*) as rows
+from judged group by source_file, reason""",
+        "latest_status_narrow": f"""with {_narrow(RUN_LOG)} select * from run_log r
+where id in (select max(id) from run_log group by source_file)""",
+        "alerts_narrow": f"""with {_narrow(RUN_LOG)}, {MODELS}, latest as (
+  select source_file, status from run_log where id in (select max(id) from run_log group by source_file))
+select 'HIGH' as severity, 'ModelSchema' as component, 'Models need retraining for the current feature schema.' as message
+where (select bool_or(not schema_current) from model_states)
+union all select case status when 'FAILED' then 'HIGH' else 'WARNING' end,
+       case status when 'FAILED' then 'ETLPipeline' else 'DataQualityGate' end,
+       source_file || ': ' || status || '. Inspect raw quality reports; invalid rows are excluded during cleaning.'
+from latest where status in ('FAILED', 'QUALITY_WARNING')""",
+        "model_status": f"with {MODELS} select * from model_states",
+        "registry_summary": f"with {MODELS} select * from latest_models",
+        "quality_history": f"""select batch as id, total_records, completeness_score, session_valid_rate as valid_sessions_rate,
+       case when passed_gate then 'PASSED' else 'FAILED' end as status
+from ({_quality("batch").replace("valid_event_types_rate >= 0.95e0", "valid_event_types_rate >= 0.6e0")}) r
+order by id desc limit 20""",
+        "latency": f"with {RUN_LOG} select id, source_file, status, rows_read / 1e3 as execution_seconds from run_log",
+        "typed_dirty_columns": f"""with {RAW_VIEW}, garbled as (
+  select * exclude (price), case when product_id % 6 <> 1 then price end as price from raw),
+judged as (
+  select *, try_cast(replace(event_time, ' UTC', '') as timestamp) as t, 'valid' as reason from garbled
+  where price > 0 and not isnan(price) and event_type in {EVENT_TYPES} and user_id is not null
+    and length(user_session) >= 10),
+{NORMAL}
+select distinct {CLOCK.format('event_time')}, event_type, product_id, category_id, brand, price, user_id, user_session
+from normal where event_time between timestamp '2024-01-01 00:00:00' and timestamp '2024-01-30 23:59:59'""",
         "latest_status": f"""with {RUN_LOG} select * from run_log r
 where id in (select max(id) from run_log group by source_file)""",
         "alerts": f"""with {RUN_LOG}, latest as (

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 from custbehav.config import PipelineConfig
 from custbehav.operators import cleaning, quality
 from custbehav.sources.raw_files import read_csv, source_listing
-from custbehav.sources.store import EventStore, new_id
+from custbehav.sources.store import EventStore
+from custbehav.sources.versions import new_id
 
 
 def source_decisions(listing: DataFrame, current: DataFrame, row_limit: int | None) -> DataFrame:
@@ -21,7 +22,7 @@ def source_decisions(listing: DataFrame, current: DataFrame, row_limit: int | No
     changed or new source is always loaded.
     """
     if row_limit is not None and row_limit <= 0:
-        raise ValueError("row_limit must be positive")
+        raise ValueError("a sample needs at least one row")
     limit = F.lit(row_limit).cast("bigint")
     known = current.select(
         "source_file", F.col("fingerprint").alias("_loaded"), F.col("row_limit").alias("_limit"), "rows_loaded"
@@ -48,7 +49,7 @@ def ingest(
 ) -> list[dict]:
     """Load the listed CSV sources one after the other; nothing is touched if one is missing."""
     if max_chunks is not None and max_chunks <= 0:
-        raise ValueError("max_chunks must be positive")
+        raise ValueError("a sample needs at least one chunk")
     names = cfg.source_files if sources is None else sources
     row_limit = None if max_chunks is None else max_chunks * cfg.rows_per_chunk
     listing = source_listing(store.spark, folder, names, cfg)
@@ -59,7 +60,7 @@ def ingest(
         if decision == "SKIP":
             results.append({"file": name, "status": "SKIPPED", "rows_inserted": 0})
         elif decision == "REFUSE":
-            raise ValueError("Refusing to replace a larger sample with a smaller sample; use a separate store")
+            raise ValueError(f"{name} is loaded with more rows than this sample has; load the sample into another store")
         else:
             results.append(
                 ingest_source(store, folder, name, decided[name]["fingerprint"], cfg, row_limit, run_quality_gate)
@@ -83,7 +84,7 @@ def ingest_source(
         )
 
     try:
-        rows = _stage(store, staged, read_csv(store.spark, f"{folder}/{name}"), name, row_limit)
+        rows = _stage(store, staged, read_csv(store.spark, f"{folder}/{name}", first=row_limit), name)
         reasons = {r["reason"]: r["rows"] for r in cleaning.reject_counts(rows, cfg, "copies").collect()}
         valid = reasons.get("valid", 0)
         counts["rows_read"] = sum(reasons.values())
@@ -100,11 +101,11 @@ def ingest_source(
         inserted = loaded.count()
         counts["duplicates_removed"] = valid - inserted
         if inserted == 0:
-            raise ValueError(f"No valid events in {name}; previous data preserved")
+            raise ValueError(f"{name} holds no valid event, its last load stays current")
         _check_cleaned(loaded.withColumn("source_file", F.lit(name)), cfg)
         unchanged = source_listing(store.spark, folder, (name,), cfg).first()["fingerprint"] == fingerprint
         if not unchanged:
-            raise RuntimeError(f"Source changed during ingestion: {name}")
+            raise RuntimeError(f"{name} was written to while it was being loaded")
         store.append_row(
             "manifest", source_file=name, load_id=load_id, fingerprint=fingerprint, row_limit=row_limit,
             rows_loaded=inserted, updated_at=_now(),
@@ -142,14 +143,12 @@ def persist_reports(store: EventStore, reports: DataFrame) -> None:
     )
 
 
-def _stage(store: EventStore, path: str, raw: DataFrame, name: str, row_limit: int | None) -> DataFrame:
+def _stage(store: EventStore, path: str, raw: DataFrame, name: str) -> DataFrame:
     """Read and type the text once; keep distinct rows with their number of copies as Parquet.
 
     The report, the reject counts and the cleaning all read this table, so they see the same rows even
-    when a sample was taken or an executor was lost in between.
+    when an executor was lost in between.
     """
-    if row_limit is not None:
-        raw = raw.limit(row_limit)
     quality.distinct_with_copies(raw, []).write.parquet(path)
     return store.spark.read.parquet(path).withColumn("source_file", F.lit(name))
 
@@ -158,7 +157,7 @@ def _check_cleaned(loaded: DataFrame, cfg: PipelineConfig) -> None:
     """Cleaned rows that miss the gate abort the load."""
     report = quality.gate(loaded, ["source_file"], cfg).first()
     if not report["passed_gate"]:
-        raise ValueError(f"Cleaned data failed quality validation: {report.asDict()}")
+        raise ValueError(f"the cleaned rows miss the quality gate: {report.asDict()}")
 
 
 def _now() -> datetime:

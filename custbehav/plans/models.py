@@ -32,10 +32,10 @@ def register(
     return version
 
 
-def register_segments(store: EventStore, model: SegmentModel, cfg: PipelineConfig) -> str:
+def register_segments(store: EventStore, model: SegmentModel, silhouette: float, cfg: PipelineConfig) -> str:
     return register(
         store, SEGMENT_MODEL, "KMeans", model.pipeline,
-        {"silhouette_score": round(model.silhouette, 4), "training_samples": float(model.training_rows)},
+        {"silhouette_score": round(silhouette, 4), "training_samples": float(model.training_rows)},
         {"n_clusters": str(cfg.n_clusters), "features": ",".join(CLUSTERING_FEATURES)}, cfg, model.personas,
     )
 
@@ -60,9 +60,9 @@ def current_path(store: EventStore, name: str, cfg: PipelineConfig) -> str:
     """Folder of the current version; refuses one trained on another feature schema."""
     entry = current_models(store.log("registry")).filter(F.col("model_name") == name).first()
     if entry is None:
-        raise LookupError(f"Model {name} not found. Please train model first.")
+        raise LookupError(f"no version of {name} is registered")
     if entry["feature_schema_version"] != cfg.feature_schema_version:
-        raise RuntimeError(f"Model {name} has an outdated feature schema and must be retrained")
+        raise RuntimeError(f"{name} was trained on another feature schema, train it anew")
     return entry["artifact_path"]
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from custbehav.config import PipelineConfig
+from custbehav.config import CLUSTERING_FEATURES, PipelineConfig
 from custbehav.operators import churn, features, monitoring, profiles, recommend, segments
 from custbehav.plans import models
 from custbehav.plans.export import export
 from custbehav.plans.ingest import ingest
+from custbehav.sources import versions
 from custbehav.sources.store import EventStore
 
 
@@ -19,14 +20,15 @@ def run_etl(store: EventStore, folder: str, cfg: PipelineConfig, **options) -> l
     return results
 
 
-def run_ml(store: EventStore, cfg: PipelineConfig, sample_users: int | None = 50_000) -> dict[str, dict]:
-    """Feature tables, both models and the recommendation table. ``sample_users=None`` uses everyone."""
+def run_ml(store: EventStore, cfg: PipelineConfig, sample_users: int | None = None) -> dict[str, dict]:
+    """Feature tables, both models and the recommendation table, of all users unless a sample is asked for."""
     events = store.events()
     if events.isEmpty():
-        raise RuntimeError("Events table is empty. Run ETL first.")
+        raise RuntimeError("no events are stored yet: load sources first (run_etl)")
     described = store.replace_table("user_features", features.user_features(events, cfg, sample_size=sample_users))
     segmentation = segments.train_segments(described, cfg)
-    models.register_segments(store, segmentation, cfg)
+    silhouette = segments.silhouette(segmentation.pipeline.transform(described.select(*CLUSTERING_FEATURES)))
+    models.register_segments(store, segmentation, silhouette, cfg)
 
     held_out = store.replace_table(
         "churn_features", features.user_features(events, cfg, for_churn=True, sample_size=sample_users)
@@ -36,7 +38,7 @@ def run_ml(store: EventStore, cfg: PipelineConfig, sample_users: int | None = 50
     models.register_churn(store, trained, cutoff, cfg)
 
     store.replace_table("product_recommendations", recommend.top_products(events, cfg))
-    return {"segmentation": {"silhouette_score": segmentation.silhouette}, "churn": trained.metrics}
+    return {"segmentation": {"silhouette_score": silhouette}, "churn": trained.metrics}
 
 
 def score_users(users: DataFrame, store: EventStore, cfg: PipelineConfig) -> DataFrame:
@@ -48,21 +50,27 @@ def score_users(users: DataFrame, store: EventStore, cfg: PipelineConfig) -> Dat
 
 
 def run_scoring(store: EventStore, cfg: PipelineConfig) -> DataFrame:
-    """Customer-360 table of all users, ranged by user so that one profile is found in one file."""
-    users = store.replace_table("serving_features", features.serving_features(store.events(), cfg))
-    table = profiles.customer_360(score_users(users, store, cfg))
-    return store.replace_table("customer_360", table.repartitionByRange("user_id").sortWithinPartitions("user_id"))
+    """Customer-360 table of all users, ranged by user so that one profile is found in one file.
 
+    The features are ranged when they are written; scoring keeps rows where they are, so each user is scored once.
+    """
+    ranged = features.serving_features(store.events(), cfg).repartitionByRange("user_id").sortWithinPartitions("user_id")
+    users = store.replace_table("serving_features", ranged)
+    return store.replace_table("customer_360", profiles.customer_360(score_users(users, store, cfg)))
 
-def run_campaign(store: EventStore, requests: DataFrame, cfg: PipelineConfig) -> tuple[DataFrame, DataFrame]:
-    """Campaign rows for requested users (``position, requested_id``), and the requests not found."""
+
+def run_campaign(store: EventStore, requests: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """One row per request (``position, requested_id``) with its status and, where found, the campaign scores.
+
+    Status is SUCCESS, NOT_FOUND or INVALID. A user who is asked for more than once is scored once and
+    answered each time.
+    """
     users = store.table("serving_features")
     wanted = requests.filter(profiles.valid_request(F.col("requested_id"))).select(
-        "position", F.col("requested_id").cast("bigint").alias("user_id")
+        F.col("requested_id").cast("bigint").alias("user_id")
     )
     chosen = users.join(wanted, "user_id", "left_semi")
-    rows = wanted.join(profiles.campaign_scores(score_users(chosen, store, cfg)), "user_id")
-    return rows, profiles.not_found(requests, users)
+    return profiles.resolve_requests(requests, profiles.campaign_scores(score_users(chosen, store, cfg)))
 
 
 def run_monitoring(store: EventStore, cfg: PipelineConfig) -> DataFrame:
@@ -75,6 +83,10 @@ def run_monitoring(store: EventStore, cfg: PipelineConfig) -> DataFrame:
         "product_recommendations": store.table("product_recommendations"),
     }
     found = monitoring.alerts(events, registry, run_log, cfg)
-    snapshot = monitoring.health_snapshot(monitoring.table_counts(tables), registry, found, cfg)
-    snapshot.coalesce(1).write.mode("overwrite").json(store.path("monitoring", "latest_health"))
+    folders = {**{name: name for name in tables}, "ingestion_manifest": "manifest", "pipeline_metadata": "run_log",
+               "data_quality_reports": "quality_log", "model_performance": "registry"}
+    sizes = {name: versions.size(store.spark, store.path(folder)) for name, folder in folders.items()}
+    counts = monitoring.with_sizes(monitoring.table_counts(tables), sizes)
+    snapshot = monitoring.health_snapshot(counts, registry, found, cfg)
+    versions.publish(snapshot.coalesce(1), store.path("monitoring", "latest_health"), "json")
     return found

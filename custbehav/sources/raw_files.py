@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from custbehav.config import PipelineConfig
@@ -27,11 +27,28 @@ def _typed(texts: DataFrame, keep_tokens: bool) -> DataFrame:
     return texts.select(*[column(field) for field in RAW.fields])
 
 
-def read_csv(spark: SparkSession, path: str, keep_tokens: bool = False) -> DataFrame:
+def first_rows(scan: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows of a file scan in the order of the files.
+
+    Every split of a file counts its rows; a running total over the splits, one row each, says how many of
+    each split are wanted, and its rows are numbered in place. No task gets more than its own split.
+    """
+    located = scan.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    splits = located.groupBy("_file", "_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = splits.withColumn("_left", F.lit(n) - F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).filter("_left > 0")
+    numbered = located.join(wanted.drop("_rows"), ["_file", "_block"])
+    return numbered.filter(F.col("_at") - F.col("_first") < F.col("_left")).select(*scan.columns)
+
+
+def read_csv(spark: SparkSession, path: str, keep_tokens: bool = False, first: int | None = None) -> DataFrame:
     """One source as RAW rows, columns matched by header name.
 
     A row with too few fields has nulls at its end; one with too many, or with a malformed number,
-    fails the source. ``keep_tokens`` treats only empty fields as missing.
+    fails the source. ``keep_tokens`` treats only empty fields as missing, ``first`` reads that many rows.
     """
     header = spark.read.option("header", True).option("escape", '"').csv(path).columns
     absent = [name for name in RAW.names if name not in header]
@@ -45,6 +62,8 @@ def read_csv(spark: SparkSession, path: str, keep_tokens: bool = False) -> DataF
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
+    if first is not None:
+        texts = first_rows(texts, first)
     # Catalyst keeps a filter with raise_error: it is evaluated for every row, before the projection.
     width_ok = F.when(F.col(surplus).isNull(), F.lit(True)).otherwise(
         F.raise_error(F.lit(f"A row of {path} has more fields than its header")).cast("boolean")
@@ -77,7 +96,7 @@ def source_listing(spark: SparkSession, folder: str, names: tuple[str, ...], cfg
         ).withColumn("source_file", F.lit(name))
         listing = one if listing is None else listing.unionByName(one)
     if missing:
-        raise FileNotFoundError(f"Missing input files in {folder}: {missing}")
+        raise FileNotFoundError(f"{folder} lacks the sources {missing}")
     if listing is None:
         raise ValueError("No source is listed")
     return listing.select(

@@ -5,7 +5,7 @@ Layout below one root folder that all executors share::
     events/source_file=<name>/load_id=<n>/   cleaned events of one load
     manifest/                                one row per committed load; appending it is the commit
     run_log/, quality_log/, registry/        append-only logs
-    recommendations/, user_features/, ...    derived tables
+    recommendations/, user_features/, ...    derived tables, each with its versions
 
 A reader sees, per source, only the load with the greatest committed ``load_id``. A load that failed
 before its manifest row, on any executor or on the driver, is never read.
@@ -13,22 +13,17 @@ before its manifest row, on any executor or on the driver, is never read.
 
 from __future__ import annotations
 
-import time
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructType
 
 from custbehav.schema import EVENTS, MANIFEST, QUALITY_LOG, REGISTRY, RUN_LOG
+from custbehav.sources import versions
 
 LOGS = {"manifest": MANIFEST, "run_log": RUN_LOG, "quality_log": QUALITY_LOG, "registry": REGISTRY}
 
 
-def new_id() -> int:
-    """Identifier that grows with time (microseconds)."""
-    return time.time_ns() // 1000
-
-
 class EventStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -41,17 +36,10 @@ class EventStore:
         return self.path("events", f"source_file={quote(source, safe='')}", f"load_id={load_id}")
 
     def exists(self, path: str) -> bool:
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+        return versions.exists(self.spark, path)
 
     def remove(self, path: str) -> None:
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
-
-    def folders(self, path: str) -> list[str]:
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        system = hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return [status.getPath().getName() for status in system.listStatus(hadoop_path) if status.isDirectory()]
+        versions.remove(self.spark, path)
 
     # Logs
 
@@ -97,7 +85,7 @@ class EventStore:
         dropped = 0
         for row in self.current_loads().collect():
             folder = self.load_path(row["source_file"], row["load_id"]).rsplit("/", 1)[0]
-            for name in self.folders(folder):
+            for name in versions.folders(self.spark, folder):
                 if int(name.removeprefix("load_id=")) < row["load_id"]:
                     self.remove(f"{folder}/{name}")
                     dropped += 1
@@ -106,9 +94,15 @@ class EventStore:
     # Derived tables
 
     def table(self, name: str) -> DataFrame | None:
-        return self.spark.read.parquet(self.path(name)) if self.exists(self.path(name)) else None
+        return versions.read(self.spark, self.path(name))
 
     def replace_table(self, name: str, rows: DataFrame) -> DataFrame:
-        """Write a derived table anew and return it as read back, with its size known to the optimizer."""
-        rows.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.parquet(self.path(name))
+        """Write a derived table anew and return it as read back, with its size known to the optimizer.
+
+        The old rows stay current until all new ones are written.
+        """
+        return self.spark.read.parquet(versions.publish(rows, self.path(name)))
+
+    def drop_superseded_tables(self, *names: str) -> int:
+        """Delete the versions of derived tables that no new reader sees."""
+        return sum(versions.drop_superseded(self.spark, self.path(name)) for name in names)

@@ -5,24 +5,24 @@ from pyspark.sql import functions as F
 
 from custbehav.config import PipelineConfig
 from custbehav.operators import cleaning
-from tests.fixtures import event, raw_frame, stored
+from tests.fixtures import made, raw_frame, stored
 
 CFG = PipelineConfig()
 
 
 def one(spark, **changes):
-    return stored(spark, [event(**changes)], CFG).collect()
+    return stored(spark, [made(**changes)], CFG).collect()
 
 
 def test_invalid_rows_and_high_price(spark):
     rows = [
-        event(price=100000), event(price=-1, user_session=None), event(kind="invalid"), event(time="not-a-date"),
-        event(user=None), event(time="2020-02-29 23:59:59 UTC"),
+        made(price=100000), made(price=-1, user_session=None), made(what="invalid"), made(at="not-a-date"),
+        made(who=None), made(at="2020-02-29 23:59:59 UTC"),
     ]
     kept = stored(spark, rows, CFG).collect()
     assert len(kept) == 2
     assert 100000 in [row["price"] for row in kept]
-    assert {row["category_id"] for row in kept} == {"1487580000000000001"}
+    assert {row["category_id"] for row in kept} == {"2053013555631882655"}
 
 
 @pytest.mark.parametrize("price, kept", [
@@ -37,7 +37,7 @@ def test_price_rule(spark, price, kept):
     ("2020-02-29 23:59:59 UTC", True), ("2020-02-29 23:59:59.5 UTC", False), (None, False),
 ])
 def test_window_rule(spark, time, kept):
-    assert bool(one(spark, time=time)) == kept
+    assert bool(one(spark, at=time)) == kept
 
 
 @pytest.mark.parametrize("session, kept", [("123456789", False), ("1234567890", True), (None, False)])
@@ -46,7 +46,7 @@ def test_session_rule(spark, session, kept):
 
 
 def test_event_type_is_matched_exactly(spark):
-    assert not one(spark, kind=" purchase") and not one(spark, kind="Purchase")
+    assert not one(spark, what=" purchase") and not one(spark, what="Purchase")
 
 
 @pytest.mark.parametrize("code, levels", [
@@ -67,26 +67,26 @@ def test_category_id(spark, given, stored_id):
 
 
 def test_calendar(spark):
-    row = one(spark, time="2020-01-07 13:14:15.9 UTC")[0]
+    row = one(spark, at="2020-01-07 13:14:15.9 UTC")[0]
     assert row["event_time"] == datetime(2020, 1, 7, 13, 14, 15)
     assert (row["hour"], row["day_of_week"], row["day_name"], row["month"], row["year"]) == (13, 1, "Tuesday", 1, 2020)
 
 
 def test_copies_within_and_across_sources(spark):
-    rows = [event(), event(), event(brand=" TEST "), event(time="2020-01-01 00:00:00.4 UTC")]
+    rows = [made(), made(), made(brand=" ORBIT "), made(at="2020-01-01 00:00:00.4 UTC")]
     both = raw_frame(spark, rows, "a.csv").unionByName(raw_frame(spark, rows, "b.csv"))
     assert cleaning.clean(both, CFG).count() == 2
 
 
 def test_exact_duplicates_are_null_safe(spark):
-    rows = [event(brand=None, price=float("nan"))] * 3 + [event(brand=None)]
+    rows = [made(brand=None, price=float("nan"))] * 3 + [made(brand=None)]
     assert cleaning.exact_duplicates_removed(raw_frame(spark, rows)).count() == 2
 
 
 def test_first_broken_rule_is_counted(spark):
     rows = [
-        event(), event(price=0, kind="bad"), event(kind="bad", user=None), event(user=None, user_session="x"),
-        event(user_session="x", time="bad"), event(time="bad"), event(time="2021-01-01 00:00:00 UTC"),
+        made(), made(price=0, what="bad"), made(what="bad", who=None), made(who=None, user_session="x"),
+        made(user_session="x", at="bad"), made(at="bad"), made(at="2021-01-01 00:00:00 UTC"),
     ]
     counted = cleaning.reject_counts(raw_frame(spark, rows), CFG)
     assert {row["reason"]: row["rows"] for row in counted.collect()} == {
@@ -95,7 +95,7 @@ def test_first_broken_rule_is_counted(spark):
 
 
 def test_text_price_is_coerced(spark):
-    raw = raw_frame(spark, [event(), event(user=2)]).withColumn(
+    raw = raw_frame(spark, [made(), made(who=2)]).withColumn(
         "price", F.when(F.col("user_id") == 1, "12.5").otherwise("cheap")
     )
     assert [row["price"] for row in cleaning.clean(raw, CFG).collect()] == [12.5]

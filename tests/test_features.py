@@ -4,12 +4,12 @@ import pytest
 
 from custbehav.config import PipelineConfig
 from custbehav.operators import features
-from tests.fixtures import event, stored
+from tests.fixtures import made, stored
 
 CFG = PipelineConfig()
 LEAKAGE = [
-    event(1, kind="view", price=999), event(1, price=20), event(2, price=30),
-    event(1, "2020-02-15 00:00:00 UTC", price=100),
+    made(1, what="view", price=999), made(1, price=20), made(2, price=30),
+    made(1, "2020-02-15 00:00:00 UTC", price=100),
 ]
 
 
@@ -29,7 +29,7 @@ def test_revenue_and_future_labels(spark):
 
 
 def test_event_on_the_cutoff_belongs_to_the_label(spark):
-    rows = [event(1), event(1, "2020-01-16 00:00:00 UTC"), event(2, "2020-02-15 00:00:00 UTC"), event(3)]
+    rows = [made(1), made(1, "2020-01-16 00:00:00 UTC"), made(2, "2020-02-15 00:00:00 UTC"), made(3)]
     training = by_user(features.user_features(stored(spark, rows, CFG), CFG, for_churn=True))
     assert set(training) == {1, 3}
     assert training[1]["total_events"] == 1 and training[1]["churned"] == 0 and training[3]["churned"] == 1
@@ -37,8 +37,8 @@ def test_event_on_the_cutoff_belongs_to_the_label(spark):
 
 def test_days_active_is_elapsed_time(spark):
     rows = [
-        event(1, "2020-01-01 23:59:59 UTC"), event(1, "2020-01-02 00:00:01 UTC"),
-        event(2, "2020-01-01 00:00:00 UTC"), event(2, "2020-01-02 00:00:00 UTC"),
+        made(1, "2020-01-01 23:59:59 UTC"), made(1, "2020-01-02 00:00:01 UTC"),
+        made(2, "2020-01-01 00:00:00 UTC"), made(2, "2020-01-02 00:00:00 UTC"),
     ]
     found = by_user(features.serving_features(stored(spark, rows, CFG), CFG))
     assert found[1]["days_active"] == 1 and found[2]["days_active"] == 2
@@ -46,14 +46,14 @@ def test_days_active_is_elapsed_time(spark):
 
 
 def test_user_without_purchase(spark):
-    row = by_user(features.serving_features(stored(spark, [event(1, kind="view")], CFG), CFG))[1]
+    row = by_user(features.serving_features(stored(spark, [made(1, what="view")], CFG), CFG))[1]
     assert (row["total_spent"], row["avg_spent"], row["purchase_rate"], row["total_views"]) == (0.0, 0.0, 0.0, 1)
 
 
 def test_favourite_category_ties_and_default(spark):
     rows = [
-        event(1, category_code="b.x"), event(1, category_code="a.x"), event(1, category_code=None),
-        event(1, category_code=None, price=11), event(2, category_code=None),
+        made(1, category_code="b.x"), made(1, category_code="a.x"), made(1, category_code=None),
+        made(1, category_code=None, price=11), made(2, category_code=None),
     ]
     events = stored(spark, rows, CFG)
     found = by_user(features.serving_features(events, CFG))
@@ -73,7 +73,7 @@ def test_sample_takes_the_smallest_hashes(spark, size):
 
 
 def test_sample_draws_from_eligible_users_only(spark):
-    rows = [event(u) for u in range(1, 20)] + [event(u, "2020-02-20 00:00:00 UTC") for u in range(100, 200)]
+    rows = [made(u) for u in range(1, 20)] + [made(u, "2020-02-20 00:00:00 UTC") for u in range(100, 200)]
     sample = features.user_features(stored(spark, rows, CFG), CFG, for_churn=True, sample_size=15)
     found = by_user(sample)
     assert len(found) == 15 and max(found) < 20
@@ -85,7 +85,7 @@ def test_sample_size_must_be_positive(spark):
 
 
 def test_reports(spark):
-    rows = [event(1, f"2020-01-0{d} 00:00:00 UTC", price=5) for d in range(1, 8)] + [event(2, price=99), event(3, kind="view")]
+    rows = [made(1, f"2020-01-0{d} 00:00:00 UTC", price=5) for d in range(1, 8)] + [made(2, price=99), made(3, what="view")]
     events = stored(spark, rows, CFG)
     assert [tuple(r) for r in features.top_spenders(events).collect()] == [(1, 7, 35.0)]
     assert [r["user_id"] for r in features.distinct_users(events, 2).collect()] == [1, 2]
@@ -93,5 +93,5 @@ def test_reports(spark):
 
 
 def test_empty_store_has_no_features(spark):
-    events = stored(spark, [event(kind="bad")], CFG)
+    events = stored(spark, [made(what="bad")], CFG)
     assert features.user_features(events, CFG, for_churn=True).count() == 0

@@ -3,7 +3,7 @@ import json
 from custbehav.config import CHURN_MODEL, SEGMENT_MODEL, PipelineConfig
 from custbehav.operators import marts, monitoring
 from custbehav.schema import REGISTRY, RUN_LOG
-from tests.fixtures import event, stored
+from tests.fixtures import made, stored
 
 CFG = PipelineConfig()
 
@@ -31,18 +31,18 @@ def test_alerts_of_an_unused_store(spark):
 def test_alerts_follow_the_latest_state(spark):
     models = registry(spark, (SEGMENT_MODEL, "1", "1.0"), (SEGMENT_MODEL, "2", "2.0"), (CHURN_MODEL, "1", "2.0"))
     log = run_log(spark, (1, "a", "FAILED"), (2, "b", "SUCCESS"), (3, "a", "SUCCESS"), (4, "b", "FAILED"), (5, "c", "QUALITY_WARNING"))
-    empty = stored(spark, [event(kind="bad")], CFG)
+    empty = stored(spark, [made(what="bad")], CFG)
     alerts = monitoring.alerts(empty, models, log, CFG)
     assert found(alerts) == {("WARNING", "Database"), ("HIGH", "ETLPipeline"), ("WARNING", "DataQualityGate")}
     assert any(r["message"].startswith("b: FAILED.") for r in alerts.collect())
-    fine = monitoring.alerts(stored(spark, [event()], CFG), models, run_log(spark, (1, "a", "SUCCESS")), CFG)
+    fine = monitoring.alerts(stored(spark, [made()], CFG), models, run_log(spark, (1, "a", "SUCCESS")), CFG)
     assert fine.count() == 0
 
 
 def test_stale_schema(spark):
     models = registry(spark, (SEGMENT_MODEL, "1", "2.0"), (SEGMENT_MODEL, "2", "1.0"), (CHURN_MODEL, "1", None))
-    assert found(monitoring.alerts(stored(spark, [event()], CFG), models, None, CFG)) == {("HIGH", "ModelSchema")}
-    missing = monitoring.alerts(stored(spark, [event()], CFG), registry(spark, (CHURN_MODEL, "1", "2.0")), None, CFG)
+    assert found(monitoring.alerts(stored(spark, [made()], CFG), models, None, CFG)) == {("HIGH", "ModelSchema")}
+    missing = monitoring.alerts(stored(spark, [made()], CFG), registry(spark, (CHURN_MODEL, "1", "2.0")), None, CFG)
     assert SEGMENT_MODEL in [r["message"] for r in missing.collect() if r["component"] == "ModelRegistry"][0]
 
 
@@ -63,14 +63,14 @@ def test_snapshot(spark):
 
 
 def test_marts(spark):
-    rows = [event(1, kind="view"), event(2, kind="view"), event(3, kind="view"), event(1, price=2.0),
-            event(1, "2020-01-02 00:00:00 UTC", category_code="cosmetics", category_id="5", product_id=11, brand="b")]
+    rows = [made(1, what="view"), made(2, what="view"), made(3, what="view"), made(1, price=2.0),
+            made(1, "2020-01-02 00:00:00 UTC", category_code="cosmetics", category_id="5", product_id=11, brand="b")]
     events = stored(spark, rows, CFG)
     products = {r["product_id"]: r for r in marts.dim_products(events).collect()}
-    assert products[10]["conversion_rate"] == 33.33 and products[11]["conversion_rate"] is None
+    assert products[4711]["conversion_rate"] == 33.33 and products[11]["conversion_rate"] is None
     categories = {r["category_id"]: r for r in marts.dim_categories(events).collect()}
     assert categories["5"]["category_level1"] == "cosmetics" and categories["5"]["category_level2"] is None
-    tuesday = marts.dim_date(stored(spark, [event(time="2019-10-01 10:00:00 UTC")], CFG)).first()
+    tuesday = marts.dim_date(stored(spark, [made(at="2019-10-01 10:00:00 UTC")], CFG)).first()
     assert (tuesday["date_key"], tuesday["day_of_week"], tuesday["quarter"], tuesday["is_weekend"]) == (20191001, 3, 4, False)
     brands = marts.dim_brand(events, PipelineConfig(popular_brands=1))
     assert [r["brand_key"] for r in brands.orderBy("brand_name").collect()] == [1, 2]

@@ -3,26 +3,26 @@ from pyspark.sql import functions as F
 
 from custbehav.config import PipelineConfig
 from custbehav.operators import features, profiles, recommend
-from tests.fixtures import event, stored
+from tests.fixtures import made, stored
 
 CFG = PipelineConfig()
 
 
 def purchases(category, product, n, **other):
     return [
-        event(100 + i, category_code=category, product_id=product, time=f"2020-01-01 00:00:{i:02d} UTC", **other)
+        made(100 + i, category_code=category, product_id=product, at=f"2020-01-01 00:00:{i:02d} UTC", **other)
         for i in range(n)
     ]
 
 
 def test_top_products_ties_labels_and_price(spark):
     rows = purchases("a.x", 2, 2) + purchases("a.x", 1, 2) + [
-        event(1, "2020-01-05 00:00:00 UTC", price=15.0, category_code="a.y", product_id=1, brand="New"),
-        event(1, kind="view", category_code="a.x", product_id=3), event(1, category_code=None, product_id=4),
+        made(1, "2020-01-05 00:00:00 UTC", price=15.0, category_code="a.y", product_id=1, brand="New"),
+        made(1, what="view", category_code="a.x", product_id=3), made(1, category_code=None, product_id=4),
     ]
     top = recommend.top_products(stored(spark, rows, CFG), CFG).orderBy("rank").collect()
     assert [(r["product_id"], r["popularity"]) for r in top] == [(1, 3), (2, 2)]
-    assert (top[0]["category_code"], top[0]["brand"], top[0]["price"]) == ("a.y", "new", 11.67)
+    assert (top[0]["category_code"], top[0]["brand"], top[0]["price"]) == ("a.y", "new", 13.33)
 
 
 def test_rank_limit(spark):
@@ -45,11 +45,11 @@ def test_recommendations_fill_up_from_other_categories(spark):
         1: [1, 2], 2: [2, 3], 3: [2, 3]
     }
     first = recommend.exploded(recommend.user_recommendations(users, catalogue, CFG)).orderBy("user_id", "rank").first()
-    assert first["recommendation_reason"] == "Top trending in 'a' category" and first["price_usd"] == 10.0
+    assert first["recommendation_reason"] == "Top trending in 'a' category" and first["price_usd"] == 12.5
 
 
 def test_recommendations_without_any_purchase(spark):
-    catalogue = recommend.top_products(stored(spark, [event(kind="view")], CFG), CFG)
+    catalogue = recommend.top_products(stored(spark, [made(what="view")], CFG), CFG)
     users = spark.createDataFrame([(1, "a")], "user_id long, favorite_category string")
     assert recommend.exploded(recommend.user_recommendations(users, catalogue, CFG)).count() == 0
 
@@ -79,7 +79,7 @@ def test_no_drivers(spark):
 
 
 def test_requests_keep_order_and_repeats(spark):
-    users = profiles.user_profiles(features.serving_features(stored(spark, [event(7)], CFG), CFG))
+    users = profiles.user_profiles(features.serving_features(stored(spark, [made(7)], CFG), CFG))
     asked = ["7", "8", "abc", "0", "-7", "7", "1" * 19, None, " 7"]
     requests = spark.createDataFrame(list(enumerate(asked)), "position long, requested_id string")
     rows = profiles.resolve_requests(requests, users).orderBy("position").collect()
