@@ -12,26 +12,38 @@ into sequences whose lengths are powers of two and need no padding.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from custbehav.llm.common import columns, stored
 
 _KEEP_WORDS = 500_000
+# Letters whose lower case is not one letter, or depends on what follows.
+_SPECIAL_CASES = frozenset("\u0130\u03a3")
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 )
 
 
+# One run of letters, then signs only; the vocabulary cuts such a word between the two.
+_PLAIN = regex.compile(r"(\p{L}+)([^\s\p{L}\p{N}'<]*)")
+_WORD_END = "</w>"
+
+
 class WordIds(dict):
     """Ids (little-endian, 16 or 32 bits each) of a word without white space.
 
-    The vocabulary's pre-tokens never reach across white space, so the ids of a text are those of its words.
+    The vocabulary's pre-tokens never reach across white space, so the ids of a text are those of its words. The
+    ids of a plain word are those of its letters in lower case and of its signs; new letter runs are encoded
+    many at a time, the last token of each tells where it ends.
     """
 
     def __init__(self, vocabulary: str):
@@ -39,22 +51,60 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        size = self.tokenizer.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith(_WORD_END) for i in range(size)])
+        self.letters: dict[str, bytes] = {}
+        self.others: dict[str, bytes] = {}
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+
+    def _encode_letters(self, runs: list[str]) -> list[bytes]:
+        ids = np.array(self.tokenizer.encode(" ".join(runs), add_special_tokens=False).ids, self.dtype)
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(runs):
+            return self._encode(runs)
+        width, raw, ends = ids.itemsize, ids.tobytes(), cuts.tolist()
+        return [raw[a * width : b * width] for a, b in zip([0, *ends], ends)]
+
+    def _add(self, known: dict, texts: set[str], encode) -> None:
+        new = [t for t in texts if t not in known]
+        if len(known) + len(new) > _KEEP_WORDS:
+            known.clear()
+            new = list(texts)
+        if new:
+            known.update(zip(new, encode(new)))
 
     def learn(self, words: set[bytes]) -> None:
         new = [word for word in words if word not in self]
-        if not new:
-            return
         if len(self) + len(new) > _KEEP_WORDS:
             self.clear()
             new = list(words)
-        found = self.tokenizer.encode_batch([w.decode("utf-8") for w in new], add_special_tokens=False)
-        self.update(zip(new, [np.array(e.ids, self.dtype).tobytes() for e in found]))
+        plain, rest = [], []
+        for word in new:
+            text = word.decode("utf-8")
+            match = _PLAIN.fullmatch(text)
+            if match and (text.isascii() or (unicodedata.is_normalized("NFC", text) and not _SPECIAL_CASES & set(text))):
+                plain.append((word, match[1].lower(), match[2]))
+            else:
+                rest.append((word, text))
+        self._add(self.letters, {letters for _, letters, _ in plain}, self._encode_letters)
+        self._add(self.others, {signs for _, _, signs in plain if signs} | {text for _, text in rest}, self._encode)
+        letters, others = self.letters, self.others
+        others[""] = b""
+        self.update((word, letters[run] + others[signs]) for word, run, signs in plain)
+        self.update((word, others[text]) for word, text in rest)
+
+    def of_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of some texts; null ones are empty."""
+        split = [(text or "").encode("utf-8", "replace").split() for text in texts]
+        self.learn(set(chain.from_iterable(split)))
+        return [b"".join(map(self.__getitem__, words)) for words in split]
 
     def of(self, text: str) -> bytes:
-        words = text.encode("utf-8", "replace").split()
-        self.learn(set(words))
-        return b"".join(map(self.__getitem__, words))
+        return self.of_all([text])[0]
 
 
 _WORD_IDS: dict[int, WordIds] = {}
@@ -74,9 +124,9 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int, id_column: str, tex
         words = _WORD_IDS[key]
         end = np.array([end_id], words.dtype).tobytes()
         for batch in batches:
-            for low in range(0, batch.num_rows, 1024):
-                part = batch.slice(low, 1024)
-                ids = [words.of(t or "") + end for t in part.column(1).to_pylist()]
+            for low in range(0, batch.num_rows, 512):
+                part = batch.slice(low, 512)
+                ids = [own + end for own in words.of_all(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     rows = columns(docs, doc_id=id_column, text=text_column).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
