@@ -7,9 +7,9 @@ found by paragraphs of a fixed number of words that begin where the text itself
 three words among ``window`` + 1 neighbours): every passage of at least twice as many words holds such a
 paragraph, at the same place in all documents that share it; equal paragraphs are one class.
 
-Bands are tuned for recall: 16 bands of 4 rows let a pair of similarity 0.8 through with a chance of 0.9998.
-In a band's bucket each class is first compared with one representative only; what that links is one component,
-and then only classes of different components are still compared. A dense group of any size thus costs one
+Bands are tuned for recall: 9 bands of 3 rows let a pair of similarity 0.8 through with a chance of 0.998.
+In a band's bucket each class is first compared with one centre only; what that links is one component,
+and then only classes of different components are still compared, inside the join. A dense group of any size thus costs one
 comparison per member, and no link between components is lost. Components are the units of removal: the
 first occurrence is kept.
 """
@@ -27,6 +27,8 @@ from custbehav.llm.common import columns, stored
 from custbehav.llm.components import components
 
 _SEED = 20240611
+# A side of a join with up to so many rows is broadcast.
+BROADCAST_ROWS = 200_000
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -82,20 +84,23 @@ def _first_of_each(keys: np.ndarray) -> np.ndarray:
     return np.sort(np.unique(keys, return_index=True)[1])
 
 
-def signature(shingles: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """Band keys of the MinHash signature of a set of shingles."""
-    least = np.empty(bands * rows, np.uint64)
-    for i, c in enumerate(_coefficients(bands * rows, 4)):
-        least[i] = ((shingles ^ (c >> np.uint64(7))) * c).min()
-    least = least.reshape(bands, rows)
-    out = np.full(bands, np.uint64(0x27D4EB2F165667C5))
-    for i in range(rows):
-        out = _mixed(out + least[:, i])
+def signatures(shingles: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
+    """Band keys, one row each, of the MinHash signatures of some sets of shingles."""
+    if not shingles:
+        return np.zeros((0, bands), np.int64)
+    sizes = np.array([len(s) for s in shingles])
+    starts, every = np.cumsum(sizes) - sizes, np.concatenate(shingles)
+    coefficients = _coefficients(bands * rows, 4)
+    out = np.full((len(sizes), bands), np.uint64(0x27D4EB2F165667C5))
+    for band in range(bands):
+        for c in coefficients[band * rows : (band + 1) * rows]:
+            least = np.minimum.reduceat((every ^ (c >> np.uint64(7))) * c, starts)
+            out[:, band] = _mixed(out[:, band] + least)
     return _mixed(out + np.arange(bands, dtype=np.uint64)).view(np.int64)
 
 
 WINDOWS = "doc_id long, start int, key long, check int"
-LINES = "doc_id long, start int, n_words int, key long, check int, line string"
+LINES = "doc_id long, start int, n_words int, node long, bands array<long>"
 
 
 def _windows(docs: DataFrame, window: int) -> DataFrame:
@@ -121,48 +126,72 @@ def _windows(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(task, WINDOWS)
 
 
-def _lines(docs: DataFrame, least_words: int) -> DataFrame:
+def _long_lines(text: str | None, least_words: int) -> Iterator[tuple[int, list[bytes], int]]:
+    """(words before it, words, node) of every distinct line of at least ``least_words`` words."""
+    start, seen = 0, set()
+    for line in (text or "").split("\n"):
+        own = line.encode("utf-8", "replace").lower().split()
+        if len(own) >= least_words:
+            node = xxhash.xxh3_64_intdigest(b" ".join(own)) - (1 << 63)
+            if node not in seen:
+                seen.add(node)
+                yield start, own, node
+        start += len(own)
+
+
+def _hashed(words: list[bytes]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64, len(words))
+
+
+def _lines(docs: DataFrame, least_words: int, shingle: int, bands: int, rows: int) -> DataFrame:
+    """Places, nodes (equal lines have one) and band keys of the lines."""
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 512):
-                part = batch.slice(low, 512)
-                out = [[] for _ in range(6)]
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                out, shingles = [[] for _ in range(4)], []
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    start, seen = 0, set()
-                    for line in (text or "").split("\n"):
-                        own = line.encode("utf-8", "replace").lower().split()
-                        if len(own) >= least_words:
-                            joined = b" ".join(own)
-                            mark = xxhash.xxh3_128_intdigest(joined)
-                            if mark not in seen:
-                                seen.add(mark)
-                                row = (doc_id, start, len(own), (mark >> 64) - (1 << 63), (mark & 0xFFFFFFFF) - (1 << 31), joined.decode())
-                                for column, value in zip(out, row):
-                                    column.append(value)
-                        start += len(own)
-                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.string())
-                arrays = [pa.array(c, k) for c, k in zip(out, kinds)]
-                yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in LINES.split(", ")])
+                    for start, own, node in _long_lines(text, least_words):
+                        for column, value in zip(out, (doc_id, start, len(own), node)):
+                            column.append(value)
+                        shingles.append(_grams(_hashed(own), shingle))
+                keys = pa.array(signatures(shingles, bands, rows).ravel())
+                arrays = [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.int64()))]
+                arrays.append(pa.ListArray.from_arrays(pa.array(np.arange(len(shingles) + 1) * bands, pa.int32()), keys))
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "n_words", "node", "bands"])
 
     return docs.mapInArrow(task, LINES)
 
 
-def _banded(classes: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
+def _texts_of(docs: DataFrame, nodes: DataFrame, least_words: int) -> DataFrame:
+    """The text of each wanted node, cut from the documents once more; it is not kept for all lines."""
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 1024):
-                part = batch.slice(low, 1024)
-                keys = [signature(_grams(_word_keys(t), shingle), bands, rows) for t in part.column(1).to_pylist()]
-                nodes = np.repeat(part.column(0).to_numpy(), bands)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(nodes)], ["band", "node"])
+            for low in range(0, batch.num_rows, 256):
+                found = [
+                    (node, b" ".join(own).decode())
+                    for text in batch.column(0).slice(low, 256).to_pylist()
+                    for _, own, node in _long_lines(text, least_words)
+                ]
+                columns_out = [pa.array([f[i] for f in found], k) for i, k in enumerate((pa.int64(), pa.string()))]
+                yield pa.RecordBatch.from_arrays(columns_out, ["node", "line"])
+
+    lines = docs.select("text").mapInArrow(task, "node long, line string")
+    wanted = lines.join(_small(nodes), "node", "left_semi")
+    return stored(wanted.groupBy("node").agg(F.min("line").alias("line")))
+
 
-    return classes.select("node", "line").mapInArrow(task, "band long, node long")
+def _small(rows: DataFrame) -> DataFrame:
+    """``rows``, a written table, broadcast if they are few; else the join shuffles both sides."""
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, shingle: int, threshold: float) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
     """The pairs (a, b) whose exact Jaccard similarity reaches the threshold."""
-    one = classes.select(F.col("node").alias("a"), F.col("line").alias("line_a"))
-    two = classes.select(F.col("node").alias("b"), F.col("line").alias("line_b"))
+    one = texts.select(F.col("node").alias("a"), F.col("line").alias("line_a"))
+    two = texts.select(F.col("node").alias("b"), F.col("line").alias("line_b"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,23 +206,44 @@ def _verified(pairs: DataFrame, classes: DataFrame, shingle: int, threshold: flo
     return joined.mapInArrow(task, "a long, b long")
 
 
-def _line_components(classes: DataFrame, shingle: int, bands: int, rows: int, threshold: float) -> DataFrame:
-    """``node`` and ``root`` of the line classes linked with another one."""
-    banded = stored(_banded(classes, shingle, bands, rows))
-    buckets = banded.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z")
-    crowded = stored(banded.join(buckets, "band"))
-    stars = crowded.filter("node <> a").select("a", F.col("node").alias("b")).distinct()
-    found = stored(_verified(stars, classes, shingle, threshold))
+def _shingled(texts: DataFrame, shingle: int) -> DataFrame:
+    """The distinct shingles of every node."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(_grams(_word_keys(t), shingle)).view(np.int64) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    return texts.select("node", "line").mapInArrow(task, "node long, shingles array<long>")
+
+
+def _line_components(docs: DataFrame, lines: DataFrame, least_words: int, shingle: int, threshold: float) -> DataFrame:
+    """``node`` and ``root`` of the lines linked with another one."""
+    banded = lines.select(F.explode("bands").alias("band"), "node")
+    shared = banded.groupBy("band").agg((F.min("node") != F.max("node")).alias("shared")).filter("shared").select("band")
+    crowded = stored(banded.join(_small(stored(shared)), "band").distinct())
+    sizes = crowded.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+    degree = crowded.join(sizes, "band").groupBy("node").agg(F.sum("n").alias("degree"))
+    ranked = stored(crowded.join(degree, "node"))
+    texts = _texts_of(docs, stored(degree.select("node")), least_words)
+
+    # The line that meets most others is the likeliest centre; the others of its buckets are compared with it.
+    centre = ranked.groupBy("band").agg(F.max(F.struct("degree", "node")).alias("c")).select("band", F.col("c.node").alias("a"))
+    stars = ranked.join(centre, "band").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+    found = stored(_verified(stars, texts, shingle, threshold))
     roots = stored(components(found, "a", "b"))
     # Only buckets that still hold more than one component have pairs left to compare.
-    placed = crowded.select("band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = ranked.select("band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("band").agg((F.min("root") != F.max("root")).alias("mixed")).filter("mixed").select("band")
-    placed = stored(placed.join(mixed, "band"))
-    one = placed.select("band", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    two = placed.select("band", F.col("node").alias("b"), F.col("root").alias("root_b"))
+    sides = placed.join(mixed, "band").join(_shingled(texts, shingle), "node")
+    one = sides.select("band", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("shingles").alias("x"))
+    two = sides.select("band", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("shingles").alias("y"))
     apart = (one["band"] == two["band"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
-    left = one.join(two, apart).select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    return components(found.unionByName(_verified(left, classes, shingle, threshold)), "a", "b")
+    # both / (|x| + |y| - both) >= threshold; the condition is part of the join, so only links leave it.
+    both, sizes = F.size(F.array_intersect("x", "y")), F.size("x") + F.size("y")
+    similar = both * (1 + threshold) >= sizes * threshold - 1e-9
+    left = one.join(two, apart & similar).select("a", "b").distinct()
+    return components(found.unionByName(left), "a", "b")
 
 
 def repeated_passages(
@@ -201,8 +251,8 @@ def repeated_passages(
     window: int = 25,
     shingle: int = 5,
     threshold: float = 0.8,
-    bands: int = 16,
-    rows: int = 4,
+    bands: int = 9,
+    rows: int = 3,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
@@ -221,21 +271,19 @@ def repeated_passages(
         F.min("doc_id").alias("component_id"), F.max("doc_id").alias("_last"), F.count(F.lit(1)).alias("n_documents")
     )
     shared = shared.filter("component_id <> _last").drop("_last")
-    in_windows = windows.join(shared, ["key", "check"]).select(
+    in_windows = windows.join(_small(stored(shared)), ["key", "check"]).select(
         "doc_id", F.lit("window").alias("kind"), "start", F.lit(window).alias("n_words"), "component_id", "n_documents"
     )
 
-    lines = stored(_lines(rows_in, window))
-    node = F.xxhash64("key", "check").alias("node")
-    classes = stored(lines.groupBy(node).agg(F.first("line").alias("line")))
-    roots = _line_components(classes, shingle, bands, rows, threshold)
-    placed = lines.select("doc_id", "start", "n_words", node).join(roots, "node", "left")
+    lines = stored(_lines(rows_in, window, shingle, bands, rows))
+    roots = stored(_line_components(rows_in, lines, window, shingle, threshold))
+    placed = lines.select("doc_id", "start", "n_words", "node").join(_small(roots), "node", "left")
     placed = placed.withColumn("root", F.coalesce("root", "node"))
     groups = placed.groupBy("root").agg(
         F.min("doc_id").alias("component_id"), F.max("doc_id").alias("_last"), F.count(F.lit(1)).alias("n_documents")
     )
     groups = groups.filter("component_id <> _last").drop("_last")
-    in_lines = placed.join(groups, "root").select(
+    in_lines = placed.join(_small(stored(groups)), "root").select(
         "doc_id", F.lit("line").alias("kind"), "start", "n_words", "component_id", "n_documents"
     )
     return in_windows.unionByName(in_lines).withColumn("kept", F.col("doc_id") == F.col("component_id"))

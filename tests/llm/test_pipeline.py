@@ -44,3 +44,12 @@ def test_stages_on_an_empty_table(spark, sf):
     for _, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, sf))
         assert docs.count() == 0
+
+
+def test_sql_of_the_subpackage(spark, sf):
+    from custbehav.llm import oracle, queries
+    from tests.compare import difference, duck
+
+    connection = duck(sf)
+    for name, sql in oracle.statements().items():
+        assert difference(queries.queries()[name](spark, sf), connection, sql) is None
