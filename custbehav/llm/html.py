@@ -39,6 +39,8 @@ CLOSES = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+# Inside an article these hold no main text.
+_NOT_MAIN = frozenset({"tag aside", "tag nav", "tag form", "tag footer"})
 _FEATURES = 1 << 12
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _LABEL = "data-main"
@@ -332,7 +334,7 @@ def labelled_pages(pages: DataFrame, most_pages: int = 400, layouts: int = 3) ->
     picked = marked.orderBy(F.xxhash64("html"), "html").limit(most_pages).select("html").collect()
     sample, texts = [], []
     for row in picked:
-        found = [(t, k, tag, marks, int("tag article" in marks)) for t, k, tag, marks, _ in blocks(row["html"])]
+        found = [(t, k, tag, marks, int("tag article" in marks and not marks & _NOT_MAIN)) for t, k, tag, marks, _ in blocks(row["html"])]
         sample.append(found)
         texts.append([block[0] for block in found if block[4]])
     others = [line for lines in texts for line in lines] or ["more"]
