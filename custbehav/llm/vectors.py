@@ -6,10 +6,15 @@ Every vector is compared with a bounded number of followers in each order, all p
 code), and pairs of a cosine over the threshold are links. Equal vectors are one class before that, and their
 copies only a number.
 
-The windows find the components; inside a component no link is left out. A component whose vectors all lie
+The windows find most components; inside a component no link is left out. A component whose vectors all lie
 within half the threshold's angle of its middle has all pairs linked, which takes one comparison per vector,
 so large dense groups cost no more than others. In a wider component the vectors are dealt into blocks and
 every pair of blocks is counted by one small matrix product; only numbers leave it, never pairs.
+
+What the windows miss lies between components, and is found exactly: all vectors are cut into blocks around
+centres, two blocks are compared if the angle between their middles is at most the threshold's and both
+radii, and of each comparison only numbers and the edges of a spanning forest are kept. So no link is lost at
+any size; where the vectors have no clusters no angle rules a pair of blocks out, and this step compares all pairs.
 """
 
 from __future__ import annotations
@@ -25,6 +30,10 @@ from custbehav.llm.common import columns, stored
 from custbehav.llm.components import components
 
 _CODE_BITS, _BLOCK = 62, 1024
+# Blocks are compared by pairs of groups of them: bytes of a group, groups in a small table, and centres at most.
+_GROUP_BYTES, _GROUPS, _CENTRES = 32 << 20, 6, 1024
+# Radians by which a bound must clear the threshold; rounding of an angle is far below.
+_MARGIN = 1e-6
 
 
 def usable(vector: Column) -> Column:
@@ -156,7 +165,7 @@ def _middles(members: DataFrame, dim: int) -> DataFrame:
     """Per component the sum of its unit vectors, added up before they are shuffled."""
     sums = [F.sum(F.get("unit", F.lit(i))) for i in range(dim)]
     return members.groupBy("root").agg(
-        F.array(*sums).alias("middle"), F.sum("copies").alias("rows"), F.count(F.lit(1)).alias("classes"), F.min("least").alias("least")
+        F.array(*sums).alias("middle"), F.sum("copies").alias("rows"), F.count(F.lit(1)).alias("classes")
     )
 
 
@@ -192,6 +201,202 @@ def _counted(members: DataFrame, threshold: float) -> DataFrame:
     return counted.groupBy("node").agg(F.sum("linked").alias("linked"))
 
 
+def _packed(vectors: list[bytes]) -> bytes:
+    """The vectors side by side, in 32 bits if that loses nothing."""
+    whole = np.frombuffer(b"".join(vectors))
+    with np.errstate(over="ignore"):
+        short = whole.astype(np.float32)
+    return short.tobytes() if np.array_equal(short, whole) else whole.tobytes()
+
+
+def _unpacked(raw: bytes, n: int, dim: int) -> np.ndarray:
+    """Unit vectors of what ``_packed`` gave."""
+    own = np.frombuffer(raw, np.float32 if len(raw) == 4 * n * dim else np.float64).astype(np.float64).reshape(n, dim)
+    return _unit([row.tobytes() for row in own], dim)
+
+
+_BLOCKS = (
+    "block long, dim long, n long, nodes binary, roots binary, copies binary, vectors binary, middle binary, radius double, root long"
+)
+
+
+def _blocks(placed: DataFrame, seed: int) -> DataFrame:
+    """Rows of up to ``_BLOCK`` vectors that lie near each other; a large component has blocks of its own."""
+    total, size = placed.count(), _BLOCK
+    most = min(-(-total // size), _CENTRES)
+    centres: dict[int, list[bytes]] = {}
+    for dim, raw in placed.orderBy("node").limit(most).select("dim", "vector").collect():  # nodes are hashes
+        centres.setdefault(dim, []).append(raw)
+    around = placed.sparkSession.sparkContext.broadcast({d: _unit(raw, d) for d, raw in centres.items()})
+
+    def to_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = np.left_shift(np.int64(1), np.arange(_CODE_BITS - 1, -1, -1, dtype=np.int64))
+        directions: dict[int, np.ndarray] = {}
+        for batch in batches:
+            dims, raw = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            cell, code = np.zeros(len(dims), np.int64), np.zeros(len(dims), np.int64)
+            for dim in sorted(set(dims)):
+                at = np.flatnonzero(np.array(dims) == dim)
+                if dim not in directions:
+                    directions[dim] = np.random.default_rng((seed, dim, 1)).standard_normal((dim, _CODE_BITS))
+                unit, near = _unit([raw[i] for i in at], dim), around.value.get(dim)
+                if near is not None:
+                    cell[at] = (unit @ near.T).argmax(axis=1)
+                    unit = unit - near[cell[at]]
+                code[at] = ((unit @ directions[dim]) > 0) @ weights
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(cell), pa.array(code)], [*batch.schema.names, "cell", "code"]
+            )
+
+    def cut(rows: list, number: int) -> tuple:
+        nodes, dims, raw, copies, roots = zip(*rows)
+        unit = _unit(raw, dims[0])
+        middle = unit.sum(axis=0)
+        length = np.linalg.norm(middle)
+        middle = middle / length if length > 1e-6 else unit[0]
+        radius = float(np.arccos(np.clip(unit @ middle, -1, 1)).max())
+        own = [np.array(x, np.int64).tobytes() for x in (nodes, roots, copies)]
+        root = roots[0] if len(set(roots)) == 1 else None
+        return number, dims[0], len(rows), *own, _packed(raw), middle.tobytes(), radius, root
+
+    names = [f.split()[0] for f in _BLOCKS.split(", ")]
+    kinds = [pa.int64()] * 3 + [pa.binary()] * 5 + [pa.float64(), pa.int64()]
+
+    def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number, held, key = TaskContext.get().partitionId() << 36, [], None
+        for batch in batches:
+            out = []
+            for *row, owner, cell in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                if held and (key != (row[1], owner, cell) or len(held) == size):
+                    out.append(cut(held, number))
+                    number, held = number + 1, []
+                key = (row[1], owner, cell)
+                held.append(row)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(cut(held, number), kinds)], names)
+
+    large = placed.groupBy("root").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= size).select("root", F.col("root").alias("owner"))
+    # At most one of ``_BLOCK`` rows is there; a join by root would bring a component into one task.
+    rows = placed.join(F.broadcast(large), "root", "left").select("node", "dim", "vector", "copies", "root", "owner")
+    kept = "node long, dim long, vector binary, copies long, root long, owner long"
+    celled = rows.mapInArrow(to_cells, f"{kept}, cell long, code long")
+    # A component that has blocks of its own is not cut by cells as well.
+    celled = celled.withColumn("cell", F.when(F.col("owner").isNull(), F.col("cell")).otherwise(-1))
+    order = ["dim", "owner", "cell", "code", "node"]
+    celled = celled.repartitionByRange(*order).sortWithinPartitions(*order)
+    return stored(celled.drop("code").mapInArrow(to_blocks, _BLOCKS))
+
+
+def _forest(near: np.ndarray) -> list[tuple[int, int]]:
+    """Some of the true places (row, column) that connect all that they all connect."""
+    rows, cols = near.any(axis=1), near.any(axis=0)
+    edges = []
+    for start in np.flatnonzero(rows).tolist():
+        if not rows[start]:
+            continue
+        rows[start] = False
+        open_rows = [start]
+        while open_rows:
+            row = open_rows.pop()
+            fresh = np.flatnonzero(near[row] & cols)
+            cols[fresh] = False
+            for col in fresh.tolist():
+                edges.append((row, col))
+                more = np.flatnonzero(near[:, col] & rows)
+                rows[more] = False
+                edges += [(r, col) for r in more.tolist()]
+                open_rows += more.tolist()
+    return edges
+
+
+def _crossing(placed: DataFrame, threshold: float, seed: int) -> tuple[DataFrame, DataFrame]:
+    """All links between classes of different ``root``: ``node`` and ``crossing`` rows, and edges (a, b) of the roots.
+
+    The driver holds a middle and a radius per block.
+    """
+    blocks = _blocks(placed, seed)
+    known = sorted(blocks.select("block", "dim", "n", "radius", "root", "middle").collect())
+    sizes, dims = (np.array([k[i] for k in known], np.int64) for i in (2, 1))
+    total, widest = int(sizes.sum()), int(max(dims, default=1))
+    groups = max(-(-total * widest * 8 // _GROUP_BYTES), min(_GROUPS, len(known)), 1)
+    group = (np.cumsum(sizes) - sizes) * groups // max(total, 1)
+    own_root = np.array([k[4] is not None for k in known], bool)
+    roots, radii = np.array([k[4] or 0 for k in known], np.int64), np.array([k[3] for k in known])
+    at = {int(d): np.flatnonzero(dims == d) for d in set(dims.tolist())}
+    middles = {d: np.frombuffer(b"".join(known[i][5] for i in where)).reshape(-1, d) for d, where in at.items()}
+    number_of = {k[0]: i for i, k in enumerate(known)}
+    sent = placed.sparkSession.sparkContext.broadcast((number_of, group, own_root, roots, radii, dims, at, middles))
+    angle = math.acos(max(-1.0, min(1.0, threshold))) + _MARGIN
+
+    def met(number: int) -> np.ndarray:
+        """Numbers of the blocks that may hold a link into another component with this one."""
+        _, _, own_root, roots, radii, dims, at, middles = sent.value
+        dim = int(dims[number])
+        where = at[dim]
+        cosines = middles[dim] @ middles[dim][np.searchsorted(where, number)]
+        near = np.arccos(np.clip(cosines, -1, 1)) <= angle + radii[where] + radii[number]
+        near |= where == number
+        if own_root[number]:
+            near &= ~(own_root[where] & (roots[where] == roots[number]))
+        return where[near]
+
+    payload = ["n", "nodes", "roots", "copies", "vectors"]
+    kinds = [pa.int64()] * 4 + [pa.binary()] * 4
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, *rest in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                number_of, group = sent.value[:2]
+                number = number_of[block]
+                mine = int(group[number])
+                for other in np.unique(group[met(number)]).tolist():
+                    row = (min(mine, other), max(mine, other), number, *rest)
+                    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], ["first", "second", "number", *payload])
+
+    schema = "first long, second long, number long, n long, nodes binary, roots binary, copies binary, vectors binary"
+    dealt = blocks.select("block", *payload).mapInArrow(deal, schema)
+
+    def count(parts: pa.Table) -> pa.Table:
+        _, group, _, _, _, dims, _, _ = sent.value
+        first, second = parts.column("first")[0].as_py(), parts.column("second")[0].as_py()
+        rows = sorted(zip(*(parts.column(c).to_pylist() for c in ("number", *payload))))
+        held = {r[0]: [*(np.frombuffer(x, np.int64) for x in r[2:5]), _unpacked(r[5], r[1], int(dims[r[0]]))] for r in rows}
+        linked = {number: np.zeros(len(own[0]), np.int64) for number, own in held.items()}
+        edges = set()
+        for i, (_, roots_i, copies_i, unit_i) in held.items():
+            for j in met(i).tolist():
+                if j < i or j not in held or (min(group[i], group[j]), max(group[i], group[j])) != (first, second):
+                    continue
+                _, roots_j, copies_j, unit_j = held[j]
+                near = unit_i @ unit_j.T >= threshold
+                if not near.any():
+                    continue
+                near &= roots_i[:, None] != roots_j[None, :]
+                if not near.any():
+                    continue
+                linked[i] += near @ copies_j
+                if i != j:
+                    linked[j] += near.T @ copies_i
+                edges |= {(int(roots_i[a]), int(roots_j[b])) for a, b in _forest(near)}
+        nodes = np.concatenate([own[0] for own in held.values()])
+        sums = np.concatenate(list(linked.values()))
+        nodes, sums, pairs = nodes[sums > 0], sums[sums > 0], sorted(edges)
+        empty, none = pa.nulls(len(pairs), pa.int64()), pa.nulls(len(nodes), pa.int64())
+        tables = (
+            [pa.array(nodes, pa.int64()), pa.array(sums, pa.int64()), none, none],
+            [empty, empty, *(pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1))],
+        )
+        return pa.concat_tables([pa.table(t, ["node", "linked", "a", "b"]) for t in tables])
+
+    found = stored(dealt.groupBy("first", "second").applyInArrow(count, "node long, linked long, a long, b long"))
+    crossing = found.filter("node is not null").groupBy("node").agg(F.sum("linked").alias("crossing"))
+    return crossing, found.filter("a is not null").select("a", "b")
+
+
 def near_duplicates(
     vectors: DataFrame,
     threshold: float = 0.9,
@@ -203,6 +408,8 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per row of ``vectors``: ``vec_id``, ``n_links``, ``component_id`` and ``kept``.
 
+    Links and components are exact; ``passes`` and ``window`` only decide how many are found before the blocks.
+
     Vectors that are null, zero or hold null or non-finite components have no link, and vectors of different
     length have none with each other. Copies are linked with each other and share all else. Rows that repeat an
     id stay rows of their own. ``component_id`` is the least id reachable, null only where all ids are. An empty
@@ -237,7 +444,7 @@ def near_duplicates(
     schema = "node long, copies long, least long, dim long, vector binary, root long, unit array<double>"
     members = stored(members.select("node", "copies", "least", "dim", "vector", "root").mapInArrow(to_units, schema))
     middles = _middles(members, dim)
-    placed = members.join(middles.withColumnRenamed("least", "component_least"), "root")
+    placed = members.join(middles, "root")
     placed = placed.withColumn("middle", F.slice("middle", 1, F.size("unit")))
     cosine = _dot("unit", "middle") / F.sqrt(_dot("middle", "middle"))
     placed = stored(placed.withColumn("to_middle", cosine).drop("unit", "middle"))
@@ -248,12 +455,18 @@ def near_duplicates(
     counted = _counted(wide, threshold).unionByName(
         placed.filter("tight").select("node", (F.col("rows") - F.col("copies")).alias("linked"))
     )
-    found = counted.join(placed.select("node", "component_least"), "node")
-    known = classes.select("node", "copies", "least").join(found, "node", "left")
-    known = known.select(
+    every = stored(
+        classes.join(stars, "node", "left").select("node", "dim", "vector", "copies", "least", F.coalesce("root", "node").alias("root"))
+    )
+    crossing, edges = _crossing(every, threshold, seed)
+    merged = components(edges, "a", "b").select(F.col("node").alias("root"), F.col("root").alias("whole"))
+    known = every.drop("dim", "vector").join(merged, "root", "left").withColumn("whole", F.coalesce("whole", "root"))
+    known = stored(known.join(counted, "node", "left").join(crossing, "node", "left"))
+    leasts = known.groupBy("whole").agg(F.min("least").alias("component"))
+    known = known.join(leasts, "whole").select(
         "node",
-        (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component_least", "least").alias("component"),
+        (F.coalesce("linked", F.lit(0)) + F.coalesce("crossing", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        "component",
     )
     joined = rows.drop("v").join(known, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("component"))

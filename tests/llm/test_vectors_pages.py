@@ -60,6 +60,23 @@ def test_wide_components_are_counted_in_blocks(spark, monkeypatch):
     assert [found[i].n_links for i in range(90)] == n_links.tolist() and {r.component_id for r in found.values()} == {0}
 
 
+def test_links_that_the_windows_miss_are_found(spark):
+    """One pass and a window of one: nearly all links of isolated pairs and a ring are left to the blocks."""
+    draw = np.random.default_rng(8)
+    rows = []
+    for _ in range(400):
+        centre = draw.standard_normal(12)
+        rows += [centre, centre + 0.1 * np.linalg.norm(centre) * draw.standard_normal(12)]
+    rows += [np.eye(12)[2] * np.cos(a) + np.eye(12)[3] * np.sin(a) for a in np.arange(0, 6.2, 0.42)] + rows[:3]
+    values = [[float(x) for x in row] for row in rows]
+    units = np.array(values) / np.linalg.norm(values, axis=1, keepdims=True)
+    n_links, component = brute(list(range(len(values))), units)
+    frame = spark.createDataFrame(list(enumerate(values)), "vec_id long, embedding array<double>").repartition(3)
+    found = {r.vec_id: r for r in vectors.near_duplicates(frame, passes=1, window=1).collect()}
+    assert [found[i].n_links for i in range(len(values))] == n_links.tolist()
+    assert [found[i].component_id for i in range(len(values))] == component.tolist()
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(200)]
     star = [(1000, 1000 + i) for i in range(1, 300)]
