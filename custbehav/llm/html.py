@@ -39,6 +39,8 @@ CLOSES = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+# What may stand in a head; anything else ends an open one, whose end tag may be left out.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 # Inside an article these hold no main text.
 _NOT_MAIN = frozenset({"tag aside", "tag nav", "tag form", "tag footer"})
 _FEATURES = 1 << 12
@@ -80,7 +82,16 @@ class Blocks(HTMLParser):
                 return element
         return self.open[0]
 
+    def _end_head(self, anywhere: bool = False) -> None:
+        """Close a head that stands open, as the innermost element or anywhere."""
+        if self.open[-1].tag == "head":
+            self.open.pop()
+        elif anywhere:
+            self._close({"head"}, {"template", "svg", "iframe", "object"})
+
     def handle_starttag(self, tag, attrs):
+        if tag not in IN_HEAD:
+            self._end_head(tag == "body")
         if tag in VOID:
             if tag in ("br", "hr"):
                 self.text.append(" ")
@@ -127,6 +138,8 @@ class Blocks(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if data.strip():
+            self._end_head()
         top = self.open[-1]
         if not top.hidden:
             self.text.append(data)

@@ -112,6 +112,17 @@ def test_pages(pages):
     assert np.mean(same) >= 0.95, [r.text for r in found if r.page_id in texts and r.text != texts[r.page_id]][:1]
 
 
+@pytest.mark.parametrize(
+    "head", ["<title>T</title>", "<title>T</title><noscript><img src=x></noscript><link rel=a>", "<style>p{}</style><title>T</title>\n", ""]
+)
+@pytest.mark.parametrize("start", ["<body><p>", "<p>", "<body>", "", "<img src=x>"])
+def test_a_head_without_its_end_tag(head, start):
+    found = html.blocks(f"<!DOCTYPE html><html><head><meta charset=utf-8>{head}{start}The text.</p><div>More.</div>")
+    assert [block[0] for block in found] == ["The text.", "More."]
+    hidden = html.blocks(f"<html><head>{head}<template><div>no</div></template></head>{start}The text.")
+    assert [block[0] for block in hidden] == ["The text."]
+
+
 def test_no_pages(spark):
     assert html.main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
