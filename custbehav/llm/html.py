@@ -3,8 +3,9 @@
 A page is cut into leaf blocks, the runs of text between the tags that break lines. Every block has features of its
 ancestors (tags, words of classes and ids) and of its text (length, links, punctuation); the chain decides
 for all blocks of a page at once which belong to the article, by Viterbi. The weights are trained on labelled
-pages, a sample of bounded size: pages of the table whose own mark-up tells the article, and the same
-text set again in many other layouts, with menus, notices, adverts, forms and comments around and inside.
+pages, a sample of bounded size: pages of the table whose own mark-up tells the article, and text of these and
+other pages set again in many layouts, with menus, notices, adverts, forms and comments around and inside. The
+layouts carry their own labels, so no page has to name its article.
 """
 
 from __future__ import annotations
@@ -213,8 +214,8 @@ def fit(pages: list[list], rounds: int = 200, rate: float = 0.3, decay: float =
     """Maximum-likelihood weights of labelled pages (lists of blocks), by gradient steps scaled per weight."""
     pages = [p for p in pages if p]
     weights, transitions = np.zeros(_FEATURES), np.zeros((2, 2))
-    if not pages:
-        return Model(weights, transitions)
+    if not any(block[4] for page in pages for block in page):
+        raise ValueError("no page with a labelled article to train on")
     pages = sorted(pages, key=len, reverse=True)
     lengths = np.array([len(p) for p in pages])
     longest, n = int(lengths[0]), len(pages)
@@ -337,23 +338,48 @@ def layout(lines: list[str], others: list[str], seed: int) -> str:
     return f"<html><head><title>{words(2, 8)}</title></head><body>{inner}</body></html>"
 
 
+# Prose for layouts where no page of the table has any.
+_PROSE = (
+    "The bridge over the river", "It was built in three summers, and the town paid for it with a tax on salt.",
+    "Two of the five arches fell in the flood. They were set up again within a year, this time on oak piles that reach "
+    "the rock, and nothing has moved since.",
+    "Today it carries only walkers and bicycles.",
+    "Visitors find the old toll house at its northern end, where a small exhibition shows drawings, tools and the "
+    "letters of the masons; in winter it is open on Sundays.",
+)
+
+
 def labelled_pages(pages: DataFrame, most_pages: int = 400, layouts: int = 3) -> list[list]:
-    """Blocks with labels of at most ``most_pages`` pages that mark their article, and of other layouts of their text.
+    """Blocks with labels of at most ``most_pages`` pages that mark their article, and of layouts of pages' text.
 
     The pages are those with the smallest hashes, alike in every run; a page is used up to 20,000
-    characters. Training needs no more; extraction reads all of every page.
+    characters. Beside the text of the marked pages, that of others is set in layouts: as many as are missing to
+    ``most_pages``, a quarter of it at least. Training needs no more; extraction reads all of every page.
     """
-    marked = pages.filter(F.lower("html").contains("<article") & (F.length("html") <= 20_000))
-    picked = marked.orderBy(F.xxhash64("html"), "html").limit(most_pages).select("html").collect()
+    pages = pages.withColumn("_marked", F.lower("html").contains("<article") & (F.length("html") <= 20_000))
+
+    def smallest(rows: DataFrame, most: int) -> list[str]:
+        rows = rows.orderBy(F.xxhash64("html"), "html").limit(most)
+        return [row[0] for row in rows.select(F.substring("html", 1, 20_000)).collect()]
+
     sample, texts = [], []
-    for row in picked:
-        found = [(t, k, tag, marks, int("tag article" in marks and not marks & _NOT_MAIN)) for t, k, tag, marks, _ in blocks(row["html"])]
-        sample.append(found)
-        texts.append([block[0] for block in found if block[4]])
-    others = [line for lines in texts for line in lines] or ["more"]
+    for page in smallest(pages.filter("_marked"), most_pages):
+        found = [(t, k, tag, marks, int("tag article" in marks and not marks & _NOT_MAIN)) for t, k, tag, marks, _ in blocks(page)]
+        # A page without text in its article tells nothing, and labels its real text wrong.
+        if any(block[4] for block in found):
+            sample.append(found)
+            texts.append([block[0] for block in found if block[4]])
+    for page in smallest(pages.filter("not _marked"), max(most_pages - len(texts), most_pages // 4)):
+        found = [(text, linked, text.count(" ") + 1) for text, linked, *_ in blocks(page)]
+        prose = [text for text, linked, words in found if words >= 5 and 2 * linked <= words]
+        if lines := prose or [text for text, *_ in found]:
+            texts.append(lines)
+    if not texts:
+        texts = [list(_PROSE)] * max(most_pages // 10, 1)
+    others = [line for lines in texts for line in lines]
     made = [
         blocks(layout(lines, others, number * layouts + k))
-        for number, lines in enumerate(texts) if lines for k in range(layouts)
+        for number, lines in enumerate(texts) for k in range(layouts)
     ]
     return sample + made
 

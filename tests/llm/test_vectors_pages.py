@@ -123,6 +123,27 @@ def test_a_head_without_its_end_tag(head, start):
     assert [block[0] for block in hidden] == ["The text."]
 
 
+@pytest.mark.parametrize("start, end", [("<main>", "</main>"), ('<div class="content">', "</div>")])
+def test_no_page_has_an_article_tag(pages, start, end):
+    frame, texts = pages
+    other = F.replace(F.replace("html", F.lit("<article>"), F.lit(start)), F.lit("</article>"), F.lit(end))
+    found = html.main_text(frame.withColumn("html", other)).collect()
+    same = [r.text == texts[r.page_id] for r in found if r.page_id in texts]
+    assert np.mean(same) >= 0.9, [r.text for r in found if r.page_id in texts and r.text != texts[r.page_id]][:1]
+
+
+def test_pages_too_short_or_too_long_to_train_on(spark):
+    """Only long pages: one with its text behind 20,000 characters of style, so none of it is in the sample."""
+    page = "<html><head><style>" + "p{margin:0}" * 2_000 + "</style></head><body><nav><a href=/>Menu</a></nav><article><p>" + prose(1, 60) + "</p></article></body></html>"
+    found = html.main_text(spark.createDataFrame([(1, "u", page), (2, "u", "")], "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in found} == {1: prose(1, 60), 2: ""}
+
+
+def test_training_without_labels_fails():
+    with pytest.raises(ValueError):
+        html.fit([[("words", 0, "p", frozenset(), 0)]])
+
+
 def test_no_pages(spark):
     assert html.main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
