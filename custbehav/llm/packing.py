@@ -2,9 +2,11 @@
 
 The documents are token ids; the ids are also the terms of a BM25 index, so the vocabulary bounds all
 statistics: document frequencies of the whole corpus are at most one number per id and are broadcast. The
-index is sharded: each task cuts its rows into shards of bounded size and builds an inverted index per shard,
-without a shuffle. A window starts with a seed document; its strongest terms are looked up, and the unused
-documents found fill the window greedily in the order of their scores. The last one that does not fit is cut,
+index is sharded. Before that one shuffle puts the documents of the whole corpus in the order of their key terms,
+those of the strongest that most documents share first, so related documents lie in the same shard wherever they
+stood in the files; a key that many documents share is split by the next ones. Each task cuts its part of
+this order into shards of bounded size and builds an inverted index per shard. A window starts with a seed
+document; all its terms are looked up, and the unused documents found fill the window greedily in the order of their scores. The last one that does not fit is cut,
 and its rest seeds the next window, so all windows are full. What remains at the end of a shard is cut
 into sequences whose lengths are powers of two and need no padding.
 """
@@ -26,6 +28,8 @@ from pyspark.sql import DataFrame, functions as F
 from custbehav.llm.common import columns, stored
 
 _KEEP_WORDS = 500_000
+# Key terms of a document, and the strongest terms they are taken from.
+_KEYS, _STRONG = 4, 24
 # Letters whose lower case is not one letter, or depends on what follows.
 _SPECIAL_CASES = frozenset("\u0130\u03a3")
 PIECES = (
@@ -162,22 +166,55 @@ def _statistics(rows: DataFrame, width: int) -> tuple[np.ndarray, int, int]:
     return frequency, documents, tokens
 
 
+def _weighed(ids: np.ndarray, idf: np.ndarray, mean_length: float, k1: float, b: float) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct terms of a document and their BM25 weights."""
+    term, tf = np.unique(ids, return_counts=True)
+    norm = k1 * (1 - b + b * len(ids) / mean_length)
+    return term.astype(np.int64), idf[term] * (tf * (k1 + 1) / (tf + norm))
+
+
+def key_terms(term: np.ndarray, weight: np.ndarray, frequency: np.ndarray) -> np.ndarray:
+    """Of the strongest terms that other documents have too, those that most documents have."""
+    shared = frequency[term] > 1
+    term, weight = term[shared], weight[shared]
+    strongest = term[np.argsort(-weight, kind="stable")[: min(_STRONG, (len(term) + 1) // 2)]]
+    return strongest[np.lexsort((strongest, -frequency[strongest]))][:_KEYS]
+
+
+def _in_order(rows: DataFrame, width: int, sent, k1: float, b: float) -> DataFrame:
+    """The documents of the whole corpus by their key terms; ranges of keys, so no key is bound to one task."""
+    dtype, names = f"<u{width}", [f"key{i}" for i in range(_KEYS)]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf, mean_length, frequency = sent.value
+        for batch in batches:
+            keys = np.full((_KEYS, batch.num_rows), -1, np.int32)
+            for row, raw in enumerate(batch.column(1).to_pylist()):
+                found = key_terms(*_weighed(np.frombuffer(raw, dtype), idf, mean_length, k1, b), frequency)
+                keys[: len(found), row] = found
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, keys)], ["doc_id", "ids", *names])
+
+    keyed = rows.mapInArrow(task, "doc_id long, ids binary, " + ", ".join(f"{n} int" for n in names))
+    order = [*names, "doc_id", "mark"]
+    keyed = keyed.withColumn("mark", F.xxhash64("ids")).repartitionByRange(*order).sortWithinPartitions(*order)
+    return keyed.select("doc_id", "ids")
+
+
 class Shard:
     """Inverted index over some documents, and the windows their retrieval fills."""
 
     def __init__(self, names, ids, idf, mean_length, query_terms, k1, b):
-        self.names, self.ids, self.query_terms = names, ids, query_terms
+        self.names, self.ids = names, ids
         self.lengths = np.array([len(x) for x in ids])
         terms, docs, weights = [], [], []
         for number, own in enumerate(ids):
-            term, tf = np.unique(own, return_counts=True)
-            norm = k1 * (1 - b + b * len(own) / mean_length)
-            terms.append(term.astype(np.int64))
-            docs.append(np.full(len(term), number, np.int32))
-            weights.append((idf[term] * (tf * (k1 + 1) / (tf + norm))).astype(np.float32))
+            term, weight = _weighed(own, idf, mean_length, k1, b)
+            terms.append(term)
+            docs.append(np.full(len(term), number, np.int64))
+            weights.append(weight)
         self.strongest = []
         for term, weight in zip(terms, weights):
-            if len(term) > query_terms:
+            if query_terms is not None and len(term) > query_terms:
                 term = term[np.argpartition(-weight, query_terms - 1)[:query_terms]]
             self.strongest.append(term)
         term, self.docs, self.weights = map(np.concatenate, (terms, docs, weights))
@@ -273,7 +310,7 @@ def pack(
     end_id: int,
     window: int = 4096,
     shard_tokens: int = 3_000_000,
-    query_terms: int = 24,
+    query_terms: int | None = None,
     k1: float = 1.2,
     b: float = 0.75,
     with_ids: bool = True,
@@ -284,17 +321,18 @@ def pack(
 
     ``doc_tokens`` counts the document's ids with the end id; ``ids`` are 32-bit little-endian, ``ids_crc32`` is their
     checksum. Null texts are empty documents of one id. Rows that repeat an id are documents of their own; in one
-    window they do not meet unless one is cut. An empty table gives no rows.
+    window they do not meet unless one is cut. A seed asks with all its terms, or with its ``query_terms`` strongest
+    if that is set. An empty table gives no rows.
     """
     rows, width = tokenized(docs, vocabulary, end_id, id_column, text_column)
     rows = stored(rows)
     frequency, documents, tokens = _statistics(rows, width)
     idf = np.log1p((documents - frequency + 0.5) / (frequency + 0.5))
-    sent = docs.sparkSession.sparkContext.broadcast((idf, tokens / max(documents, 1)))
+    sent = docs.sparkSession.sparkContext.broadcast((idf, tokens / max(documents, 1), frequency))
     dtype = f"<u{width}"
 
     def packed(names, ids, sequence) -> Iterator[pa.RecordBatch]:
-        shard = Shard(names, ids, *sent.value, query_terms, k1, b)
+        shard = Shard(names, ids, *sent.value[:2], query_terms, k1, b)
         out = [[] for _ in range(8)]
         for pieces in _sequences(shard.windows(window), window):
             offset = 0
@@ -325,5 +363,5 @@ def pack(
             for sequence, out in packed(names, ids, sequence):
                 yield out
 
-    pieces = rows.mapInArrow(task, PIECES)
+    pieces = _in_order(rows, width, sent, k1, b).mapInArrow(task, PIECES)
     return pieces if with_ids else pieces.drop("ids")

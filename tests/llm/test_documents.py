@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -95,6 +96,26 @@ def test_packing_puts_related_documents_together(spark):
     assert sum(map(len, windows.values())) / len(windows) < 3
 
 
+def test_packing_finds_related_documents_in_all_partitions(spark):
+    topics = [prose(100 + t, 300, 60).split() for t in range(60)]
+    draw = random.Random(5)
+    docs = [(i, " ".join(draw.choice(topics[i % 60]) for _ in range(120))) for i in range(1200)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(16)
+    windows = collections.defaultdict(set)
+    for p in packing.pack(frame, WORD_FILE, 2, window=1024, shard_tokens=8_000).collect():
+        windows[p.sequence_id].add(p.doc_id % 60)
+    assert sum(map(len, windows.values())) / len(windows) < 2.2
+
+
+def test_a_seed_asks_with_all_its_terms():
+    """The only term that both have is the weakest of the seed."""
+    ids = [np.arange(1, 41), np.array([40, 50, 51]), np.array([60, 61, 62])]
+    idf = np.full(70, 3.0)
+    idf[40] = 0.1
+    shard = packing.Shard([0, 1, 2], ids, idf, 20.0, None, 1.2, 0.75)
+    assert shard.neighbours(0, np.array([False, True, True])).tolist() == [1]
+
+
 def test_lm_base_score(documents, rows):
     counts = collections.Counter()
     held = lambda r: zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 10 == 0
