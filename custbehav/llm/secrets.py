@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and character Markov models of random strings and ordinary identifiers.
 
-The patterns find assignments, access keys and long hexadecimal runs. Beside them, every long token that no
-pattern covers is scored under two first-order character models, one of random strings and one of ordinary
+The patterns find assignments, access keys and long hexadecimal runs. Beside them, every long token that the
+patterns do not cover to its ends is scored whole under two first-order character models, one of random strings and one of ordinary
 identifiers; it is a secret if the log-likelihood ratio of its transitions passes a threshold. Both models
 are trained from labelled samples: counts of character pairs, at most one number per pair of 67 characters,
 which come to the driver and go back as a constant.
@@ -140,14 +140,20 @@ def _log_ratio(token: Column, weights: list[float]) -> Column:
 
 
 def all_spans(text: Column, weights: list[float], threshold: float = 20.0) -> tuple[Column, Column]:
-    """(base spans, base and random spans) of a text, each by start and kind."""
+    """(base spans, base and random spans) of a text, each by start and kind.
+
+    A random span may hold base spans, which stay: a token is left out only if they cover all of it.
+    """
     base = base_spans(text)
     long_tokens = _spans(text, LONG_TOKEN, 3, lambda token: _log_ratio(token, weights) > threshold)
 
     def joined(own: Column) -> Column:
-        free = F.filter(
-            long_tokens, lambda t: ~F.exists(own, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
-        )
+        def covered_to(token: Column) -> Column:
+            """Where the base spans, which come by start, leave the token free first."""
+            step = lambda at, b: F.when((b["start"] <= at) & (at < b["end"]), b["end"]).otherwise(at)
+            return F.aggregate(own, token["start"], step)
+
+        free = F.filter(long_tokens, lambda t: covered_to(t) < t["end"])
         return F.array_sort(F.concat(own, free))
 
     return base, F.element_at(F.transform(F.array(base), joined), 1)
