@@ -17,7 +17,7 @@ source with most documents is spread over 2,048 of them and more.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from custbehav.functions.ordering import join_null_safe, running_totals
 from custbehav.llm.common import columns, stored, words
@@ -36,6 +36,18 @@ def order_mark(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id, text)
 
 
+def numbered(sources: DataFrame) -> DataFrame:
+    """Add ``place``, from 0 in the order of the sources' code points, null last; ``source`` must be distinct.
+
+    The buckets are the ranges that the sources are dealt into, so names that begin alike do not share one.
+    """
+    ranged = sources.repartitionByRange(F.col("source").asc_nulls_last())
+    bucket = F.when(F.col("source").isNull(), F.lit((1 << 31) - 1)).otherwise(F.spark_partition_id())
+    ranged = stored(ranged.withColumn("_range", bucket).withColumn("_one", F.lit(1)))
+    placed = running_totals(ranged, [], "source", F.col("_range"), ["_one"], few_buckets=True)
+    return placed.withColumnRenamed("_one_before", "place").drop("_range", "_one")
+
+
 def source_targets(sources: DataFrame, total_share: float, weights: tuple[int, ...], most_copies: float) -> DataFrame:
     """Add ``target`` to one row per source (``source``, ``source_size``).
 
@@ -43,9 +55,8 @@ def source_targets(sources: DataFrame, total_share: float, weights: tuple[int, .
     tokens. A target stops at ``most_copies`` times its source's size and the excess is shared again by
     weight: each round takes three sums over the sources, until no further source is full.
     """
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*map(F.lit, weights)), (place % len(weights) + 1).cast("int"))
-    weighed = stored(sources.withColumn("weight", weight.cast("double")))
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int"))
+    weighed = stored(numbered(sources).withColumn("weight", weight.cast("double")).drop("place"))
     limit = F.col("source_size") * F.lit(float(most_copies))
     total = (weighed.agg(F.sum("source_size")).first()[0] or 0) * total_share
     level, full = 0.0, -1

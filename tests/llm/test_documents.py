@@ -365,6 +365,24 @@ def test_token_counts_of_odd_texts():
         assert np.frombuffer(ids.of(text), ids.dtype).tolist() == words.encode(text, add_special_tokens=False).ids
 
 
+def test_sources_are_numbered_in_ranges(spark):
+    names = [f"https://www.example.org/{i * 7919 % 5003}" for i in range(3000)] + ["", "é", "\U0001F600", "\uFFFD", "Z", None]
+    frame = spark.createDataFrame([(n, 1) for n in names], "source string, source_size long").repartition(4)
+    expected = {n: i for i, n in enumerate([*sorted(names[:-1], key=str.encode), None])}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = mixing.numbered(frame)
+        assert {r.source: r.place for r in placed.select("source", "place").collect()} == expected
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
+    weighed = mixing.source_targets(frame, 1.5, (5, 2, 1), 1e9).collect()
+    unit = sum((5, 2, 1)[i % 3] for i in range(len(names)))
+    for r in weighed:
+        assert r.target == pytest.approx(1.5 * len(names) * (5, 2, 1)[expected[r.source] % 3] / unit)
+
+
 def test_passages(spark):
     texts = {i: prose(i, 150) for i in range(30)}
     passage = prose(500, 51)
