@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from custbehav.llm import bpe, html, lm, mixing, packing, passages, quality, secrets, simhash, vectors
+from custbehav.llm import (
+    bpe, html, lm, mixing, negatives, packing, passages, quality, resampling, secrets, simhash, toxicity, vectors,
+)
 from custbehav.llm.common import read, ship
 
 
@@ -51,9 +53,21 @@ def op10_vectors(spark, folder) -> DataFrame:
     return vectors.near_duplicates(read(spark, folder, "embeddings"), threshold=0.9)
 
 
+def op11_hard_negatives(spark, folder) -> DataFrame:
+    return negatives.hard_negatives(read(spark, folder, "embeddings"))
+
+
+def op12_toxicity(spark, folder) -> DataFrame:
+    return toxicity.toxicity(read(spark, folder, "documents"), read(spark, folder, "labels"), threshold=0.7)
+
+
+def op13_resampling(spark, folder) -> DataFrame:
+    return resampling.resample(read(spark, folder, "documents"), read(spark, folder, "benchmark"), buckets=10_000, percent=25)
+
+
 QUERIES = [
     op1_packing, op2_lm_scores, op3_simhash, op4_secrets, op5_mixing, op6_html, op7_passages, op8_quality,
-    op9_token_counts, op10_vectors,
+    op9_token_counts, op10_vectors, op11_hard_negatives, op12_toxicity, op13_resampling,
 ]
 
 

@@ -1,7 +1,7 @@
 """Toxicity by a counterfactual-regularised classifier.
 
-The classifier is a logistic regression on what a text holds at least once: its words in lower case, and the
-beginnings of its words. Beside the loss on labelled texts it pays for every change of the score under a swap:
+The classifier is a logistic regression on the words of a text in lower case and the beginnings of its words: whether
+the text holds one at all, and whether more than one in ``DENSE`` of its words is (or begins with) it. Beside the loss on labelled texts it pays for every change of the score under a swap:
 in a labelled text that mentions a group of people all mentions of the group are replaced by another group of the same
 kind, and half the squared difference of the two log-odds is added, ``counterfactual`` times. So a mention of a group that
 stands in many toxic texts does not become a sign of toxicity by itself, and a neutral mention keeps a low score.
@@ -36,6 +36,7 @@ from custbehav.llm.common import columns, stored
 
 PER_CLASS, LEAST_ROWS, LEAST_Z, MOST_FEATURES = 4_000, 3, 3.0, 8_192
 PREFIXES = tuple(range(3, 10))
+DENSE = 200
 _WORD = re.compile(r"[^\W_]+")
 _SLICE = 4 << 20
 
@@ -105,22 +106,31 @@ def swaps(terms=IDENTITY_TERMS) -> dict[str, tuple[str, ...]]:
     return out
 
 
-def features_of(words) -> set[str]:
-    """A word itself ends in a space, a beginning does not; no word holds one."""
-    out = set()
-    for word in words:
-        out.add(word + " ")
-        out.update(word[:k] for k in PREFIXES if k < len(word))
-    return out
+def words_of(text: str | None) -> collections.Counter:
+    return collections.Counter(_WORD.findall((text or "").lower()))
 
 
-def words_of(text: str | None) -> set[str]:
-    return set(_WORD.findall((text or "").lower()))
+def features_of(words: collections.Counter) -> set[str]:
+    """A word itself ends in a space, a beginning does not, and a line break is added where it is dense."""
+    counts: collections.Counter = collections.Counter()
+    for word, n in words.items():
+        counts[word + " "] += n
+        for k in PREFIXES:
+            if k < len(word):
+                counts[word[:k]] += n
+    total = words.total()
+    return {*counts, *(f + "\n" for f, n in counts.items() if DENSE * n > total)}
 
 
-def counterfactuals(words: set[str], other: dict[str, tuple[str, ...]]) -> list[set[str]]:
+def counterfactuals(words: collections.Counter, other: dict[str, tuple[str, ...]]) -> list[collections.Counter]:
     """The words of the text after each swap of one mentioned group for another."""
-    return [words - {term} | {new} for term in sorted(words & other.keys()) for new in other[term]]
+    out = []
+    for term in sorted(words.keys() & other.keys()):
+        for new in other[term]:
+            swapped = words + collections.Counter({new: words[term]})
+            del swapped[term]
+            out.append(swapped)
+    return out
 
 
 @dataclass(frozen=True)
@@ -268,7 +278,7 @@ def fit(own: list, swapped: list, width: int, weight: dict[int, float], ridge: f
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, ridge: float = 0.3, counterfactual: float = 10.0, per_class: int = PER_CLASS,
+    docs: DataFrame, labels: DataFrame, ridge: float = 0.03, counterfactual: float = 10.0, per_class: int = PER_CLASS,
     least_rows: int = LEAST_ROWS, least_z: float = LEAST_Z, most_features: int = MOST_FEATURES, terms=IDENTITY_TERMS, seed: int = 7,
 ) -> Model:
     """Learn from documents (doc_id, text) and labels (doc_id, toxic) outside the held-out fold."""
@@ -287,8 +297,8 @@ class _Scorer:
 
     def __init__(self, model: Model):
         self.intercept = model.intercept
-        names = sorted(model.weights)
-        self.values = np.array([model.weights[n] for n in names])
+        names = sorted({f.rstrip("\n") for f in model.weights})
+        self.present, self.dense = (np.array([model.weights.get(n + end, 0.0) for n in names]) for end in ("", "\n"))
         self.whole = pa.array([n[:-1] if n.endswith(" ") else None for n in names], pa.large_string())
         self.begin = {k: pa.array([n if len(n) == k and n[-1] != " " else None for n in names], pa.large_string()) for k in PREFIXES}
 
@@ -304,11 +314,12 @@ class _Scorer:
         pairs = []
         for hit in hits:
             at = np.flatnonzero(hit[place] >= 0) if len(hit) else np.zeros(0, np.int64)
-            pairs.append(text[at] * max(len(self.values), 1) + hit[place[at]])
-        # A feature counts once per text, in the order of the features, so that the sum is the same everywhere.
-        found = np.unique(np.concatenate(pairs)).astype(np.int64)
-        row, feature = np.divmod(found, max(len(self.values), 1))
-        total = self.intercept + np.bincount(row, self.values[feature], len(texts))
+            pairs.append(text[at] * max(len(self.present), 1) + hit[place[at]])
+        # In the order of the features, so that the sum is the same everywhere.
+        found, counts = np.unique(np.concatenate(pairs).astype(np.int64), return_counts=True)
+        row, feature = np.divmod(found, max(len(self.present), 1))
+        value = self.present[feature] + np.where(DENSE * counts > sizes[row], self.dense[feature], 0.0)
+        total = self.intercept + np.bincount(row, value, len(texts))
         return np.array([_sigmoid(x) for x in total.tolist()])
 
     @staticmethod
@@ -340,8 +351,10 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_column: str = "doc_id", text_column: str = "text",
-             label_column: str = "toxic", **options) -> DataFrame:
+def toxicity(
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_column: str = "doc_id", text_column: str = "text",
+    label_column: str = "toxic", **options,
+) -> DataFrame:
     """Learn from the labelled rows whose checksum of the id leaves 0 or 2 divided by three, and score all rows."""
     rows = columns(docs, doc_id=id_column, text=text_column).withColumn("doc_id", F.col("doc_id").cast("long"))
     known = columns(labels, doc_id=id_column, toxic=label_column)
