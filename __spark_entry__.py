@@ -7,28 +7,32 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import ByteType, DateType, IntegerType, ShortType, TimestampType
 
 from custbehav import oracle
 from custbehav.config import CHURN_MODEL, CLUSTERING_FEATURES, SEGMENT_MODEL, PipelineConfig
 from custbehav.operators import (
-    churn, cleaning, features, marts, monitoring, profiles, quality, recommend, segments,
+    churn, cleaning, features, marts, monitoring, profiles, quality, readiness, recommend, segments, silhouette,
 )
-from custbehav.plans.ingest import source_decisions
-from custbehav.plans.models import current_models
-from custbehav.session import configure, cut_lineage
-from custbehav.schema import EVENTS, REGISTRY
-from custbehav.sources import adapters
+from custbehav.plans import snapshots
+from custbehav.plans.ingest import ingest, ingest_source, judge_loads, persist_reports, source_decisions
+from custbehav.plans.models import current_models, load_verdicts
+from custbehav.session import configure, cut_lineage, run_folder
+from custbehav.schema import EVENTS, RAW, REGISTRY
+from custbehav.sources import adapters, versions
+from custbehav.sources.raw_files import read_csv, read_json
+from custbehav.sources.store import EventStore
 
 try:
     import corpus_pipeline
     from custbehav.llm import oracle as llm_oracle, queries as llm_queries
-except ModuleNotFoundError as missing:  # the training-data operators are an optional part
-    if missing.name not in ("corpus_pipeline", "custbehav.llm"):
-        raise
+except ImportError:  # the training-data operators are an optional part, and so are the libraries only they need
     corpus_pipeline = llm_queries = llm_oracle = None
 
 BEHAVIOR = PipelineConfig(min_event_date="2024-01-01", max_event_date="2024-01-30", inactive_days=1)
@@ -397,12 +401,21 @@ def alerts_narrow(spark, folder):
 
 
 def _registry(spark, folder):
-    """Versions of the two models, registered by the nations; the newest segmentation has an old schema."""
-    key = F.col("n_nationkey")
-    rows = adapters.table(spark, folder, "nation").select(
-        F.when(key % 2 == 0, SEGMENT_MODEL).otherwise(CHURN_MODEL).alias("model_name"),
-        F.format_string("%04d", key).alias("version"),
+    """Versions of the two models: one per day of orders, from the customers of even and of odd number.
+
+    The day of the month decides the feature schema; some days have an old one, some none.
+    """
+    orders = adapters.table(spark, folder, "orders")
+    day = F.col("o_orderdate").cast("date")
+    model = F.when(F.col("o_custkey") % 2 == 0, SEGMENT_MODEL).otherwise(CHURN_MODEL)
+    trained = orders.groupBy(day.alias("day"), model.alias("model_name")).agg(F.count(F.lit(1)).alias("samples"))
+    key = F.dayofmonth("day")
+    rows = trained.select(
+        "model_name",
+        F.date_format("day", "yyyyMMdd").alias("version"),
+        F.create_map(F.lit("training_samples"), F.col("samples").cast("double")).alias("metrics"),
         F.when(key % 5 == 4, "1.0").when(key % 7 != 6, "2.0").alias("feature_schema_version"),
+        F.col("day").cast("timestamp").alias("trained_at"),
     )
     known = rows.columns
     return rows.select(
@@ -415,8 +428,198 @@ def model_status(spark, folder):
 
 
 def registry_summary(spark, folder):
-    latest = current_models(_registry(spark, folder))
-    return latest.select("model_name", "version", "feature_schema_version")
+    """Current versions of a registry that four writers append to at the same time."""
+    store, entries = EventStore(spark, run_folder(spark)), cut_lineage(_registry(spark, folder))
+    writer = inheritable_thread_target(spark)(
+        lambda i: store.append("registry", entries.filter(F.dayofmonth("trained_at") % 4 == i))
+    )
+    with ThreadPool(4) as pool:
+        pool.map(writer, range(4))
+    log = store.log("registry")
+    latest = current_models(log).withColumn("versions", log.agg(F.count(F.lit(1))).scalar())
+    samples = F.col("metrics")["training_samples"].cast("bigint").alias("training_samples")
+    return latest.select("model_name", "version", "feature_schema_version", samples, "versions")
+
+
+def load_guard(spark, folder):
+    """At the middle of every year: may the current version of each model be loaded?"""
+    registry = cut_lineage(_registry(spark, folder))
+    names, found = (SEGMENT_MODEL, CHURN_MODEL, "price_forecast"), None
+    for year in range(1994, 2002):
+        for day in ("0605", "0714"):
+            known = registry.filter(F.col("version") <= f"{year}{day}")
+            verdicts = load_verdicts(known, names, BEHAVIOR).select(F.lit(f"{year}{day}").alias("as_of"), "model_name", "version", "verdict")
+            found = verdicts if found is None else found.unionByName(verdicts)
+    return found
+
+
+def segment_silhouette(spark, folder):
+    """Silhouettes of the groups given by the number of purchases, per group and of all, over the seeded sample."""
+    users = features.user_features(_orders(spark, folder), ORDERS)
+    scaled = segments.scaling(users).transform(users)
+    cluster = F.least(F.floor(F.col("total_purchases") / 10), F.lit(4))
+    points = scaled.select("user_id", cluster.alias("cluster"), vector_to_array("scaled").alias("vector"))
+    found = silhouette.silhouette_by_cluster(silhouette.silhouettes(points, ORDERS))
+    return found.select(
+        "cluster", "users", *[F.round(c, 6).alias(c) for c in ("silhouette_euclidean", "silhouette_squared")]
+    )
+
+
+def _written(rows: DataFrame, path: str) -> str:
+    """Raw rows as CSV files with a header, as a source would deliver them."""
+    texts = rows.select(*[F.col(name).cast("string").alias(name) for name in RAW.names])
+    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    texts.write.mode("overwrite").options(**options).csv(path)
+    return path
+
+
+def source_replacement(spark, folder):
+    """Load folders of three sources after a replacement, a malformed reload and one that fails before its commit.
+
+    The sources are loaded with the even hours first and reloaded with all hours.
+    """
+    store, data = EventStore(spark, run_folder(spark)), run_folder(spark)
+    third = F.coalesce(F.col("user_id"), F.lit(0)) % 3
+    raw = cut_lineage(adapters.raw_behavior(spark, folder).withColumn("third", third))
+    names = tuple(f"third-{i}.csv" for i in range(3))
+    whole = [raw.filter(F.col("third") == i) for i in range(3)]
+    for name, rows in zip(names, whole):
+        _written(rows.filter(F.col("batch") % 2 == 0), f"{data}/{name}")
+    ingest(store, data, BEHAVIOR, sources=names)
+
+    def refused(load, words):
+        try:
+            load()
+        except Exception as error:
+            if words not in str(error):
+                raise
+        else:
+            raise AssertionError("the load should have been refused")
+
+    _written(whole[0], f"{data}/{names[0]}")
+    ingest(store, data, BEHAVIOR, sources=names[:1])
+    _written(whole[1].withColumn("user_id", F.concat(F.lit("user "), F.col("user_id").cast("string"))), f"{data}/{names[1]}")
+    refused(lambda: ingest(store, data, BEHAVIOR, sources=names[1:2]), "user ")
+    _written(whole[2], f"{data}/{names[2]}")
+    # The rows are written, and then the file is found to be another one than was decided on.
+    refused(lambda: ingest_source(store, data, names[2], "of another file", BEHAVIOR), "while it was being loaded")
+
+    attempt = F.row_number().over(Window.partitionBy("source_file").orderBy("load_id"))
+    runs = store.log("run_log").groupBy("source_file").agg(F.sort_array(F.collect_list(F.struct("id", "status"))).alias("runs"))
+    visible = store.events().groupBy("source_file").agg(F.count(F.lit(1)).alias("visible_rows"))
+    loads = store.load_states().withColumn("attempt", attempt).join(visible, "source_file").join(runs, "source_file")
+    return loads.select("source_file", "attempt", "state", "rows", "visible_rows", F.array_join("runs.status", ",").alias("runs"))
+
+
+def csv_round_trip(spark, folder):
+    """The dirty events written as CSV and read back: quotes and line breaks inside fields, tokens for missing values."""
+    part = F.col("product_id")
+    raw = adapters.raw_behavior(spark, folder).withColumns(
+        {
+            "brand": F.when(part % 5 == 1, F.concat(F.lit('say "'), "brand", F.lit('",\r\n\nthen, more'))).otherwise(F.col("brand")),
+            "category_code": F.when(part % 7 == 2, "N/A").otherwise(F.col("category_code")),
+        }
+    )
+    return read_csv(spark, _written(raw, f"{run_folder(spark)}/events.csv"))
+
+
+def bounded_load(spark, folder):
+    """The first 600 events of an ordered source of several files, each read in several splits."""
+    events = adapters.table(spark, folder, "events")
+    ordered = events.repartitionByRange(6, "event_id").sortWithinPartitions("event_id").select(
+        F.col("ts").alias("event_time"), "event_type", F.col("event_id").alias("product_id"),
+        *[F.lit(None).alias(c) for c in ("category_id", "category_code", "brand")],
+        F.col("value").alias("price"), "user_id", F.lit("session").alias("user_session"),
+    )
+    path = _written(ordered, f"{run_folder(spark)}/events.csv")
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(max(1024, versions.size(spark, path) // 64)))
+    try:
+        rows = cut_lineage(read_csv(spark, path, first=600))
+    finally:
+        spark.conf.set(setting, before)
+    return rows.select(F.col("product_id").alias("event_id"), "event_type", "user_id", F.col("price").alias("value"))
+
+
+def json_documents(spark, folder):
+    """The dirty events as one document per line: missing and extra fields, numbers as texts, texts as numbers."""
+    part, raw = F.col("product_id"), adapters.raw_behavior(spark, folder).select(*RAW.names)
+    texts = F.struct(*[F.col(c).cast("string").alias(c) for c in RAW.names], F.struct(F.lit(1).alias("k")).alias("note"))
+    numbers = F.struct(*[F.col(c).cast("bigint").alias(c) if c == "category_id" else F.col(c) for c in reversed(RAW.names)])
+    lines = raw.select(F.when(part % 3 == 0, F.to_json(texts)).otherwise(F.to_json(numbers)).alias("value"))
+    path = f"{run_folder(spark)}/events.json"
+    lines.write.text(path)
+    return read_json(spark, path)
+
+
+def report_trend(spark, folder):
+    """Reports of the hourly batches, appended to the log, read back, and compared with the hour before of their day."""
+    store = EventStore(spark, run_folder(spark))
+    report = quality.evaluate(adapters.raw_behavior(spark, folder), ["batch"], BATCHES)
+    named = report.withColumn("source_file", F.concat(F.lit("day-"), F.floor(F.col("batch") / 24).cast("string")))
+    persist_reports(store, named, F.col("batch"))
+    return quality.report_changes(quality.parsed_details(store.log("quality_log"))).drop("checked_at")
+
+
+def clean_gate(spark, folder):
+    """Every hourly batch with what its load would end in, where cleaned rows must cost at least 2."""
+    raw = adapters.raw_behavior(spark, folder)
+    return judge_loads(raw, ["source_file", "batch"], BATCHES, replace(BATCHES, min_price=2.0))
+
+
+def training_readiness(spark, folder):
+    """Users by the month of their first order, and whether each month's users can be trained on."""
+    users = features.user_features(_orders(spark, folder), ORDERS, for_churn=True)
+    cohorts = users.withColumn("cohort", F.date_format("first_interaction", "yyyy-MM"))
+    return readiness.training_readiness(cohorts, "cohort", ORDERS)
+
+
+def snapshot_states(spark, folder):
+    """Four days stored as a full copy and changes: the rebuilt state of each by event type, with its changes.
+
+    A day holds the events up to it, without those more than two days old of every seventh user. The last day is
+    first recorded wrongly, and then again.
+    """
+    events, root = cut_lineage(_behavior(spark, folder)), run_folder(spark)
+    days = ("20240110", "20240111", "20240112", "20240113")
+
+    def state(day):
+        today = F.to_date(F.lit(day), "yyyyMMdd")
+        old = (F.col("user_id") % 7 == 3) & (F.col("date") < F.date_sub(today, 2))
+        return events.filter((F.col("date") <= today) & ~old)
+
+    for day in days:
+        if day == days[-1]:
+            snapshots.record(events.filter("false"), root, day)
+        snapshots.record(state(day), root, day, full=day == days[0])
+    found = None
+    for day in days:
+        stored = snapshots.changes(spark, root, day)
+        kept = snapshots.state(spark, root, day).groupBy("event_type").agg(
+            F.count(F.lit(1)).alias("events"), F.countDistinct("user_id").alias("users"), F.sum("product_id").alias("products")
+        )
+        if stored is None:
+            rows = kept.withColumns({"added": F.lit(0).cast("bigint"), "withdrawn": F.lit(0).cast("bigint")})
+        else:
+            moved = stored.groupBy("event_type").agg(
+                F.sum(F.greatest("copies", F.lit(0))).alias("added"), F.sum(F.greatest(-F.col("copies"), F.lit(0))).alias("withdrawn")
+            )
+            rows = kept.join(moved, "event_type", "left").fillna(0, subset=["added", "withdrawn"])
+        rows = rows.select(F.lit(day).alias("snapshot_date"), *[c for c in ("event_type", "events", "users", "products", "added", "withdrawn")])
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def health_document(spark, folder):
+    """The health snapshot as two JSON documents, with the clock at the end of the month."""
+    events, log = _behavior(spark, folder), _narrow_log(spark, folder)
+    registry = _registry(spark, folder)
+    counts = monitoring.table_counts({"events": events, "pipeline_metadata": log, "model_performance": registry, "absent": None})
+    found = monitoring.alerts(events, registry, log, BEHAVIOR)
+    clock = F.lit("2024-02-01 00:00:00").cast("timestamp")
+    snapshot = monitoring.health_snapshot(counts, registry, found, BEHAVIOR, clock)
+    return snapshot.select("checked_at", F.to_json("health").alias("health"), F.to_json("alerts").alias("alerts"))
 
 
 def quality_history(spark, folder):
@@ -529,7 +732,8 @@ QUERIES = [
     latest_status, alerts, run_history, quality_trend, table_counts, dim_users, dim_products, dim_categories,
     fact_events, dim_date, dim_brand, fact_sales_daily, price_iqr, zero_sessions, scaled_features,
     reject_reasons_narrow, latest_status_narrow, alerts_narrow, model_status, registry_summary, quality_history,
-    latency, typed_dirty_columns,
+    latency, typed_dirty_columns, load_guard, segment_silhouette, source_replacement, csv_round_trip, bounded_load,
+    json_documents, report_trend, clean_gate, training_readiness, snapshot_states, health_document,
 ]
 
 

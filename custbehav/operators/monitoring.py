@@ -133,12 +133,14 @@ def latency_by_status(run_log: DataFrame) -> DataFrame:
     return run_log.select("id", "source_file", "status", "execution_seconds").orderBy("id")
 
 
-def health_snapshot(counts: DataFrame, registry: DataFrame, open_alerts: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """One nested row: table counts, model states and alerts."""
+def health_snapshot(
+    counts: DataFrame, registry: DataFrame, open_alerts: DataFrame, cfg: PipelineConfig, checked_at: Column | None = None
+) -> DataFrame:
+    """One nested row: table counts, model states and alerts, each list in order. ``checked_at`` is the clock, now by default."""
     as_list = lambda df: df.agg(F.sort_array(F.collect_list(F.struct(*df.columns)))).scalar()
     models = schema_currency(registry, cfg)
     return registry.sparkSession.range(1).select(
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("checked_at"),
+        F.date_format(F.current_timestamp() if checked_at is None else checked_at, "yyyy-MM-dd'T'HH:mm:ssXXX").alias("checked_at"),
         F.struct(as_list(counts).alias("tables"), as_list(models).alias("models")).alias("health"),
         as_list(open_alerts).alias("alerts"),
     )

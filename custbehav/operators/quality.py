@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from custbehav.config import CRITICAL_COLUMNS, PipelineConfig
 from custbehav.functions.columns import is_number, ratio, round_half_up
@@ -188,6 +188,22 @@ def load_log(df: DataFrame, keys: list[str], cfg: PipelineConfig) -> DataFrame:
     )
 
 
+def parsed_details(log: DataFrame) -> DataFrame:
+    """The reports of a quality log with the typed figures of their JSON; a malformed report fails the job."""
+    rates = ", ".join(f"{name} double" for name in RATES)
+    schema = f"total_records long, passed_gate boolean, {rates}, duplicate_count long"
+    parsed = log.withColumn("details", F.from_json("details", schema, {"mode": "FAILFAST"}))
+    return parsed.select("id", "source_file", "status", "checked_at", "details.*")
+
+
+def report_changes(reports: DataFrame) -> DataFrame:
+    """Every parsed report beside the one before it of the same source: what its rates changed by."""
+    before = Window.partitionBy("source_file").orderBy("id")
+    change = lambda name: round_half_up(F.col(name) - F.lag(name).over(before), 4).alias(f"{name}_change")
+    turned = F.col("passed_gate") != F.lag("passed_gate").over(before)
+    return reports.select("*", *[change(name) for name in RATES], turned.alias("gate_turned"))
+
+
 def details_json(df: DataFrame) -> Column:
     """The whole report as JSON text."""
     return F.to_json(F.struct(*[F.col(c) for c in df.columns]))

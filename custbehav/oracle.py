@@ -101,6 +101,12 @@ NORMAL = """normal as (
   from judged where reason = 'valid')"""
 
 
+REPORT_RATES = (
+    "completeness_score", "null_rate_event_time", "null_rate_event_type", "null_rate_product_id", "null_rate_user_id",
+    "valid_event_types_rate", "price_valid_rate", "price_outlier_rate", "session_valid_rate", "valid_date_rate", "duplicate_rate",
+)
+
+
 def _quality(keys: str, extra: str = "") -> str:
     """Quality report per ``keys``; ``extra`` adds key columns to the raw rows."""
     share = lambda condition: f"avg(case when {condition} then 1e0 else 0e0 end)"
@@ -265,12 +271,12 @@ def _narrow(text: str) -> str:
 SERVING_ORDERS = SERVING.replace(BEH, ORD).replace(DAY, HALF_YEAR)
 
 MODELS = """registry as (
-  select case when n_nationkey % 2 = 0 then 'customer_segmentation_kmeans' else 'churn_prediction_rf' end as model_name,
-         printf('%04d', n_nationkey) as version,
-         case when n_nationkey % 5 = 4 then '1.0' when n_nationkey % 7 <> 6 then '2.0' end as feature_schema_version
-  from nation),
+  select case when o_custkey % 2 = 0 then 'customer_segmentation_kmeans' else 'churn_prediction_rf' end as model_name,
+         strftime(o_orderdate, '%Y%m%d') as version, count(*) as training_samples,
+         any_value(case when day(o_orderdate) % 5 = 4 then '1.0' when day(o_orderdate) % 7 <> 6 then '2.0' end) as feature_schema_version
+  from orders group by 1, 2),
 latest_models as (
-  select * from registry where version in (select max(version) from registry group by model_name)),
+  select * from registry r where version = (select max(version) from registry o where o.model_name = r.model_name)),
 model_states as (
   select model_name, true as registered, coalesce(feature_schema_version = '2.0', false) as schema_current from latest_models)"""
 
@@ -285,6 +291,9 @@ def statements() -> dict[str, str]:
         f"round(({c} - avg({c}) over ()) / stddev_samp({c}) over (), 6) as scaled_{c}"
         for c in ("total_events", "total_spent", "avg_spent", "unique_products", "events_per_day")
     )
+    clustering = "total_events, total_spent, avg_spent, unique_products, events_per_day"
+    unrounded = ", ".join(f"({c} - avg({c}) over ()) / stddev_samp({c}) over () as scaled_{c}" for c in clustering.split(", "))
+    squares = " + ".join(f"(a.scaled_{c} - b.scaled_{c}) ** 2" for c in clustering.split(", "))
     levels = "category_level1, category_level2, category_level3"
     return {
         "clean_events": f"""with {JUDGED}, {NORMAL}, kept as (select distinct * exclude (batch) from normal)
@@ -427,7 +436,107 @@ union all select case status when 'FAILED' then 'HIGH' else 'WARNING' end,
        source_file || ': ' || status || '. Inspect raw quality reports; invalid rows are excluded during cleaning.'
 from latest where status in ('FAILED', 'QUALITY_WARNING')""",
         "model_status": f"with {MODELS} select * from model_states",
-        "registry_summary": f"with {MODELS} select * from latest_models",
+        "registry_summary": f"with {MODELS} select *, (select count(*) from registry) as versions from latest_models",
+        "load_guard": f"""with {MODELS}, wanted as (
+  select y || d as as_of, m as model_name from (select unnest(range(1994, 2002))::varchar as y) a
+  cross join (select unnest(['0605', '0714']) as d) b
+  cross join (select unnest(['customer_segmentation_kmeans', 'churn_prediction_rf', 'price_forecast']) as m) c),
+newest as (
+  select as_of, w.model_name, max(r.version) as version from wanted w
+  left join registry r on r.model_name = w.model_name and r.version <= as_of group by 1, 2)
+select as_of, n.model_name, n.version, case when n.version is null then 'MISSING' when feature_schema_version = '2.0' then 'LOADABLE'
+       else 'STALE' end as verdict
+from newest n left join registry r on r.model_name = n.model_name and r.version = n.version""",
+        "segment_silhouette": f"""with {ORD}, {_features(HALF_YEAR, 'true')}, scaled as (
+  select user_id, least(total_purchases // 10, 4) as cluster, {unrounded} from feat),
+points as (
+  select * from scaled order by {SAMPLE_HASH}, user_id limit 5000),
+distances as (
+  select a.user_id, a.cluster, b.cluster as other, sum(sqrt(d2)) as linear, sum(d2) as squared, count(*) as n
+  from points a cross join points b, lateral (select {squares} as d2) d group by 1, 2, 3),
+per_point as (
+  select user_id, cluster, max(case when other = cluster and n > 1 then linear / (n - 1) end) as a1,
+         min(case when other <> cluster then linear / n end) as b1,
+         max(case when other = cluster and n > 1 then squared / (n - 1) end) as a2,
+         min(case when other <> cluster then squared / n end) as b2
+  from distances group by 1, 2),
+scored as (
+  select cluster, coalesce((b1 - a1) / nullif(greatest(a1, b1), 0), 0) as s1,
+         coalesce((b2 - a2) / nullif(greatest(a2, b2), 0), 0) as s2 from per_point)
+select cluster, count(*) as users, round(avg(s1), 6) as silhouette_euclidean, round(avg(s2), 6) as silhouette_squared
+from scored group by rollup (cluster)""",
+        "source_replacement": f"""with {JUDGED}, {NORMAL}, thirds as (
+  select 'third-' || cast(user_id % 3 as varchar) || '.csv' as source_file,
+         count(distinct case when batch % 2 = 0 then (event_time, event_type, product_id, category_id, category_code, brand, price, user_id, user_session) end) as half,
+         count(distinct (event_time, event_type, product_id, category_id, category_code, brand, price, user_id, user_session)) as whole
+  from normal group by 1)
+select source_file, 1 as attempt, case source_file when 'third-0.csv' then 'SUPERSEDED' else 'CURRENT' end as state, half as rows,
+       case source_file when 'third-0.csv' then whole else half end as visible_rows,
+       'QUALITY_WARNING,' || case source_file when 'third-0.csv' then 'QUALITY_WARNING' else 'FAILED' end as runs from thirds
+union all
+select source_file, 2, case source_file when 'third-0.csv' then 'CURRENT' else 'ORPHAN' end, whole,
+       case source_file when 'third-0.csv' then whole else half end,
+       'QUALITY_WARNING,' || case source_file when 'third-0.csv' then 'QUALITY_WARNING' else 'FAILED' end
+from thirds where source_file <> 'third-1.csv'""",
+        "csv_round_trip": f"""with {RAW_VIEW} select event_time, event_type, product_id, category_id,
+       case when product_id % 7 <> 2 then category_code end as category_code,
+       case when product_id % 5 = 1 then 'say "' || brand || '",' || chr(13) || chr(10) || chr(10) || 'then, more' else brand end as brand,
+       case when not isnan(price) then price end as price, user_id, user_session from raw""",
+        "bounded_load": "select event_id, event_type, user_id, value from events order by event_id limit 600",
+        "json_documents": f"""with {RAW_VIEW} select {RAW_COLUMNS.replace(', price', '')}, case when not isnan(price) then price end as price
+from raw""",
+        "report_trend": f"""with reports as ({_quality("batch").replace("valid_event_types_rate >= 0.95e0", "valid_event_types_rate >= 0.6e0")})
+select batch as id, 'day-' || cast(batch // 24 as varchar) as source_file,
+       case when passed_gate then 'PASSED' else 'FAILED' end as status, * exclude (batch),
+       {', '.join(f"{rounded(f'{r} - lag({r}) over w', 4)} as {r}_change" for r in REPORT_RATES)},
+       passed_gate <> lag(passed_gate) over w as gate_turned
+from reports window w as (partition by batch // 24 order by batch)""",
+        "clean_gate": f"""with {RUN_LOG}, gates as (
+  select source_file, batch, avg(case when price >= 2 then 1e0 else 0e0 end) >= 0.95e0 as clean
+  from (select distinct * from normal) d group by 1, 2)
+select r.source_file, id as batch, rows_read, case when clean then rows_inserted else 0 end as rows_committed,
+       case when clean then status else 'FAILED' end as status,
+       case when rows_inserted = 0 then 'no valid event, the last load stays current'
+            when not clean then 'the cleaned rows miss the quality gate' end as refusal
+from run_log r left join gates g on g.source_file = r.source_file and g.batch = r.id""",
+        "training_readiness": f"""with {ORD}, {_features(HALF_YEAR, 'event_time < cutoff')}, cohorts as (
+  select strftime(first_seen, '%Y-%m') as cohort, count(*) as users, count(distinct ({clustering})) as vectors,
+         count(*) filter (where churned = 1) as churned, count(*) filter (where churned = 0) as retained from feat group by 1)
+select *, case when users <= 5 then 'not more users than segments'
+               when vectors < 5 then 'fewer distinct feature vectors than segments' end as segment_refusal,
+       case when users < 10 then 'fewer than ten users'
+            when least(churned, retained) < 2 then 'fewer than two users of a class' end as churn_refusal
+from cohorts""",
+        "snapshot_states": f"""with {BEH}, dated as (select *, cast(event_time as date) as d from ev),
+days as (select unnest([date '2024-01-10', date '2024-01-11', date '2024-01-12', date '2024-01-13']) as day),
+held as (
+  select day, dated.* from days join dated on d <= day and not (user_id % 7 = 3 and d < day - 2)),
+gained as (
+  select day, event_type, count(*) as added from held where d = day and day > date '2024-01-10' group by 1, 2),
+lost as (
+  select h.day + 1 as day, event_type, count(*) as withdrawn from held h
+  where user_id % 7 = 3 and d = h.day - 2 and h.day < date '2024-01-13' group by 1, 2)
+select strftime(h.day, '%Y%m%d') as snapshot_date, h.event_type, count(*) as events, count(distinct user_id) as users,
+       cast(sum(product_id) as bigint) as products, coalesce(any_value(added), 0) as added, coalesce(any_value(withdrawn), 0) as withdrawn
+from held h left join gained g on g.day = h.day and g.event_type = h.event_type
+left join lost l on l.day = h.day and l.event_type = h.event_type group by 1, 2""",
+        "health_document": f"""with {BEH}, {_narrow(RUN_LOG)}, {MODELS}, counts as (
+  select 'absent' as table_name, 0 as row_count union all select 'events', (select count(*) from ev)
+  union all select 'model_performance', (select count(*) from registry)
+  union all select 'pipeline_metadata', (select count(*) from run_log)),
+latest as (
+  select source_file, status from run_log where id in (select max(id) from run_log group by source_file)),
+found as (
+  select 'HIGH' as severity, 'ModelSchema' as component, 'Models need retraining for the current feature schema.' as message
+  where (select bool_or(not schema_current) from model_states)
+  union all select case status when 'FAILED' then 'HIGH' else 'WARNING' end,
+       case status when 'FAILED' then 'ETLPipeline' else 'DataQualityGate' end,
+       source_file || ': ' || status || '. Inspect raw quality reports; invalid rows are excluded during cleaning.'
+  from latest where status in ('FAILED', 'QUALITY_WARNING'))
+select '2024-02-01T00:00:00Z' as checked_at,
+       cast(to_json(struct_pack(tables := (select list(c order by table_name) from counts c),
+                                models := (select list(m order by model_name) from model_states m))) as varchar) as health,
+       cast(to_json(coalesce((select list(f order by severity, component, message) from found f), [])) as varchar) as alerts""",
         "quality_history": f"""select batch as id, total_records, completeness_score, session_valid_rate as valid_sessions_rate,
        case when passed_gate then 'PASSED' else 'FAILED' end as status
 from ({_quality("batch").replace("valid_event_types_rate >= 0.95e0", "valid_event_types_rate >= 0.6e0")}) r

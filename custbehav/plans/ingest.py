@@ -5,14 +5,20 @@ from __future__ import annotations
 import time
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from custbehav.config import PipelineConfig
+from custbehav.functions.ordering import join_null_safe
 from custbehav.operators import cleaning, quality
+from custbehav.schema import RAW
 from custbehav.sources.raw_files import read_csv, source_listing
 from custbehav.sources.store import EventStore
 from custbehav.sources.versions import new_id
 
+# Reasons for which a load is not committed.
+EMPTY_LOAD = "no valid event, the last load stays current"
+MISSED_GATE = "the cleaned rows miss the quality gate"
+
 
 def source_decisions(listing: DataFrame, current: DataFrame, row_limit: int | None) -> DataFrame:
     """LOAD, SKIP or REFUSE per listed source.
@@ -125,12 +131,32 @@ def ingest_source(
     return {"file": name, **counts, "duration_seconds": round(time.monotonic() - started, 2), "status": status}
 
 
-def persist_reports(store: EventStore, reports: DataFrame) -> None:
-    """Append quality reports, keyed by ``source_file``, with the whole report as JSON."""
+def judge_loads(raw: DataFrame, keys: list[str], cfg: PipelineConfig, gate_cfg: PipelineConfig | None = None) -> DataFrame:
+    """What loading every group of raw rows would end in, all groups in one job.
+
+    ``status`` is that of the load log, ``refusal`` why nothing would be committed: no valid row, or cleaned rows that
+    miss the gate (of ``gate_cfg``, where it is stricter than the cleaning). Null where the group would be loaded.
+    """
+    log = quality.load_log(raw, keys, cfg)
+    normal = cleaning.normalise(raw, cfg).select(*keys, *[c for c in RAW.names if c not in keys])
+    checked = quality.gate(normal.distinct(), keys, gate_cfg or cfg).select(*keys, F.col("passed_gate").alias("_clean"))
+    refusal = F.when(F.col("rows_inserted") == 0, EMPTY_LOAD).when(~F.coalesce("_clean", F.lit(False)), MISSED_GATE)
+    judged = join_null_safe(log, checked, keys, "left").withColumn("refusal", refusal)
+    return judged.select(
+        *keys, "rows_read", F.when(F.col("refusal").isNull(), F.col("rows_inserted")).otherwise(0).alias("rows_committed"),
+        F.when(F.col("refusal").isNull(), F.col("status")).otherwise("FAILED").alias("status"), "refusal",
+    )
+
+
+def persist_reports(store: EventStore, reports: DataFrame, number: Column | None = None) -> None:
+    """Append quality reports, keyed by ``source_file``, with the whole report as JSON.
+
+    ``number`` orders the reports of a source where several are appended at once.
+    """
     store.append(
         "quality_log",
         reports.select(
-            F.lit(new_id()).alias("id"),
+            (F.lit(new_id()) if number is None else number).alias("id"),
             "source_file",
             "total_records",
             "completeness_score",

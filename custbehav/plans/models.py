@@ -32,10 +32,14 @@ def register(
     return version
 
 
-def register_segments(store: EventStore, model: SegmentModel, silhouette: float, cfg: PipelineConfig) -> str:
+def register_segments(store: EventStore, model: SegmentModel, scores: dict[str, float], cfg: PipelineConfig) -> str:
+    """``scores`` are the silhouettes; the one of plain distances is the model's ``silhouette_score``."""
     return register(
         store, SEGMENT_MODEL, "KMeans", model.pipeline,
-        {"silhouette_score": round(silhouette, 4), "training_samples": float(model.training_rows)},
+        {
+            "silhouette_score": round(scores["silhouette_euclidean"], 4),
+            "silhouette_squared": round(scores["silhouette_squared"], 4), "training_samples": float(model.training_rows),
+        },
         {"n_clusters": str(cfg.n_clusters), "features": ",".join(CLUSTERING_FEATURES)}, cfg, model.personas,
     )
 
@@ -56,12 +60,24 @@ def current_models(registry: DataFrame) -> DataFrame:
     return latest_per_key(registry, "model_name", "version")
 
 
+def load_verdicts(registry: DataFrame, names: tuple[str, ...], cfg: PipelineConfig) -> DataFrame:
+    """Per wanted model its current entry and whether it can be loaded: LOADABLE, STALE or MISSING."""
+    wanted = registry.sparkSession.createDataFrame([(name,) for name in names], "model_name string")
+    entries = current_models(registry.join(F.broadcast(wanted), "model_name", "left_semi"))
+    verdict = (
+        F.when(F.col("version").isNull(), "MISSING")
+        .when(F.col("feature_schema_version").eqNullSafe(cfg.feature_schema_version), "LOADABLE")
+        .otherwise("STALE")
+    )
+    return wanted.join(entries, "model_name", "left").withColumn("verdict", verdict)
+
+
 def current_path(store: EventStore, name: str, cfg: PipelineConfig) -> str:
     """Folder of the current version; refuses one trained on another feature schema."""
-    entry = current_models(store.log("registry")).filter(F.col("model_name") == name).first()
-    if entry is None:
+    entry = load_verdicts(store.log("registry"), (name,), cfg).first()
+    if entry["verdict"] == "MISSING":
         raise LookupError(f"no version of {name} is registered")
-    if entry["feature_schema_version"] != cfg.feature_schema_version:
+    if entry["verdict"] == "STALE":
         raise RuntimeError(f"{name} was trained on another feature schema, train it anew")
     return entry["artifact_path"]
 

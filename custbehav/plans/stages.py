@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from custbehav.config import CLUSTERING_FEATURES, PipelineConfig
-from custbehav.operators import churn, features, monitoring, profiles, recommend, segments
+from custbehav.operators import churn, features, monitoring, profiles, recommend, segments, silhouette
 from custbehav.plans import models
 from custbehav.plans.export import export
 from custbehav.plans.ingest import ingest
@@ -27,8 +28,9 @@ def run_ml(store: EventStore, cfg: PipelineConfig, sample_users: int | None = No
         raise RuntimeError("no events are stored yet: load sources first (run_etl)")
     described = store.replace_table("user_features", features.user_features(events, cfg, sample_size=sample_users))
     segmentation = segments.train_segments(described, cfg)
-    silhouette = segments.silhouette(segmentation.pipeline.transform(described.select(*CLUSTERING_FEATURES)))
-    models.register_segments(store, segmentation, silhouette, cfg)
+    assigned = segmentation.pipeline.transform(described.select("user_id", *CLUSTERING_FEATURES))
+    scores = silhouette.mean_silhouettes(assigned.withColumn("vector", vector_to_array("scaled")), cfg)
+    models.register_segments(store, segmentation, scores, cfg)
 
     held_out = store.replace_table(
         "churn_features", features.user_features(events, cfg, for_churn=True, sample_size=sample_users)
@@ -38,7 +40,7 @@ def run_ml(store: EventStore, cfg: PipelineConfig, sample_users: int | None = No
     models.register_churn(store, trained, cutoff, cfg)
 
     store.replace_table("product_recommendations", recommend.top_products(events, cfg))
-    return {"segmentation": {"silhouette_score": silhouette}, "churn": trained.metrics}
+    return {"segmentation": {"silhouette_score": scores["silhouette_euclidean"], **scores}, "churn": trained.metrics}
 
 
 def score_users(users: DataFrame, store: EventStore, cfg: PipelineConfig) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Timestamps are UTC throughout; ANSI makes a malformed cast fail instead of turning into null. The
@@ -35,6 +37,11 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def run_folder(spark: SparkSession) -> str:
+    """A new folder that all executors share, for files of one run."""
+    return f"{checkpoint_folder(spark)}/run-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so that a lost executor does not replay everything before it."""
     checkpoint_folder(df.sparkSession)

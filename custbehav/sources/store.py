@@ -13,6 +13,7 @@ before its manifest row, on any executor or on the driver, is never read.
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -47,13 +48,17 @@ class EventStore:
         """A log table; empty while nothing was appended."""
         if not self.exists(self.path(name)):
             return self.spark.createDataFrame([], LOGS[name])
-        return self.spark.read.schema(LOGS[name]).parquet(self.path(name))
+        return self.spark.read.schema(LOGS[name]).option("recursiveFileLookup", True).parquet(self.path(name))
 
     def append(self, name: str, rows: DataFrame) -> None:
-        """Append a few rows as one file, which appears as a whole or not at all."""
+        """Append a few rows as one file, which appears as a whole or not at all.
+
+        Every append has a folder of its own, so that jobs that append at the same time do not clear each
+        other's unfinished files.
+        """
         schema: StructType = LOGS[name]
         typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-        typed.coalesce(1).write.mode("append").parquet(self.path(name))
+        typed.coalesce(1).write.parquet(self.path(name, f"append-{versions.new_id()}-{uuid.uuid4().hex}"))
 
     def append_row(self, name: str, **values) -> None:
         schema: StructType = LOGS[name]
@@ -80,6 +85,22 @@ class EventStore:
         loads = self.spark.read.schema(schema).option("basePath", self.path("events")).parquet(*paths)
         return loads.select(*EVENTS.names)
 
+    def load_states(self) -> DataFrame:
+        """Every load folder with its rows and state: CURRENT, SUPERSEDED or ORPHAN (never committed).
+
+        It reads what lies in the folders, whether or not a reader sees it.
+        """
+        if not self.has_events():
+            return self.spark.createDataFrame([], "source_file string, load_id long, rows long, state string")
+        schema = StructType(EVENTS.fields).add("load_id", LongType())
+        folders = self.spark.read.schema(schema).parquet(self.path("events")).groupBy("source_file", "load_id")
+        loads = folders.agg(F.count(F.lit(1)).alias("rows"))
+        committed = self.log("manifest").select("source_file", "load_id", F.lit(True).alias("_committed"))
+        current = self.current_loads().select("source_file", F.col("load_id").alias("_current"))
+        state = F.when(F.col("_committed").isNull(), "ORPHAN").when(F.col("load_id") == F.col("_current"), "CURRENT")
+        joined = loads.join(committed, ["source_file", "load_id"], "left").join(current, "source_file", "left")
+        return joined.select("source_file", "load_id", "rows", state.otherwise("SUPERSEDED").alias("state"))
+
     def drop_superseded_loads(self) -> int:
         """Delete loads older than their source's current one, which no new reader sees."""
         dropped = 0
