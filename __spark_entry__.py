@@ -18,7 +18,7 @@ from pyspark.sql.types import ByteType, DateType, IntegerType, ShortType, Timest
 from custbehav import oracle
 from custbehav.config import CHURN_MODEL, CLUSTERING_FEATURES, SEGMENT_MODEL, PipelineConfig
 from custbehav.operators import (
-    churn, cleaning, features, marts, monitoring, profiles, quality, readiness, recommend, segments, silhouette,
+    churn, cleaning, exported, features, marts, monitoring, profiles, quality, readiness, recommend, segments, silhouette,
 )
 from custbehav.plans import snapshots
 from custbehav.plans.ingest import ingest, ingest_source, judge_loads, persist_reports, source_decisions
@@ -285,25 +285,35 @@ def scaled_features(spark, folder):
 
 
 def user_segments(spark, folder):
-    """Every user with whether the segment exists and is named by the behaviour of its members."""
+    """Every user with whether the segment is that of the nearest centre, and named by the behaviour of its members."""
     users = _users(spark, folder)
-    assigned = cut_lineage(_segmented(users, users.select("user_id", *CLUSTERING_FEATURES)))
+    model = segments.train_segments(users, ORDERS)
+    placed = exported.nearest_centre(users, exported.segment_centres(spark, model.pipeline))
+    assigned = segments.assign_segments(users.select("user_id", *CLUSTERING_FEATURES), model.pipeline, model.personas)
+    assigned = cut_lineage(assigned.join(placed, "user_id"))
+    # Two centres may be equally near but for rounding.
+    nearest = (F.col("cluster_id") == F.col("nearest")) | (F.col("next_distance") - F.col("distance") < 1e-9)
     told = segments.personas(segments.cluster_summary(assigned.withColumnRenamed("cluster_id", "cluster")))
     told = told.select(F.col("cluster").alias("cluster_id"), F.struct("persona_name", "marketing_strategy").alias("told"))
     clusters = assigned.agg(F.countDistinct("cluster_id")).scalar()
     return assigned.join(told, "cluster_id").select(
         "user_id",
         F.col("cluster_id").between(0, ORDERS.n_clusters - 1).alias("segment_exists"),
+        nearest.alias("nearest_centre"),
         (F.struct("persona_name", "marketing_strategy") == F.col("told")).alias("persona_fits"),
         clusters.alias("segments"),
     )
 
 
 def churn_scores(spark, folder):
-    """Drivers of every user, and whether band, action and label follow from the score."""
-    risky = _risky(spark, folder, features.serving_features(_orders(spark, folder), ORDERS))
+    """Drivers of every user, and whether the score is the mean of the trees, and band, action and label follow from it."""
+    users, model = _users(spark, folder), _trained_churn(spark, folder)
+    nodes = exported.tree_nodes(model.pipeline, f"{run_folder(spark)}/forest")
+    risky = profiles.churn_report(churn.score_churn(users, model.pipeline))
+    risky = risky.join(exported.mean_of_trees(users, nodes, ORDERS.tree_depth), "user_id")
     return risky.select(
         "user_id",
+        (F.abs(F.col("score") - F.col("mean_share")) < 1e-9).alias("mean_of_trees"),
         _in_unit("churn_probability").alias("in_range"),
         _band_follows().alias("band_follows"),
         (F.col("suggested_action") == profiles.suggested_action(F.col("risk_level"))).alias("action_follows"),
@@ -313,15 +323,38 @@ def churn_scores(spark, folder):
 
 
 def feature_importance(spark, folder):
-    """The number of features, and whether their importances are shares of one."""
-    importance = F.col("importance")
-    return _trained_churn(spark, folder).importance.agg(
+    """The number of features, and whether their importances are shares of one and those of the trees' gains."""
+    importance, model = F.col("importance"), _trained_churn(spark, folder)
+    nodes = exported.tree_nodes(model.pipeline, f"{run_folder(spark)}/forest")
+    gains = exported.importance_of_nodes(nodes).withColumnRenamed("importance", "share")
+    return model.importance.join(gains, "feature", "left").agg(
         F.countDistinct("feature").alias("features"),
         F.min(importance >= 0).alias("not_negative"),
         (F.abs(F.sum(importance) - 1.0) < 1e-9).alias("sum_to_one"),
+        F.min(F.abs(importance - F.coalesce("share", F.lit(0e0))) < 1e-9).alias("shares_of_gain"),
     )
 
 
+def churn_evaluation(spark, folder):
+    """Users and classes of the held-out part with the majority baseline, and whether the model's metrics follow.
+
+    The metrics are computed once more from the exported trees.
+    """
+    table = cut_lineage(features.user_features(_orders(spark, folder), ORDERS, for_churn=True))
+    model = churn.train_churn(table, ORDERS)
+    test = cut_lineage(churn.stratified_split(table, ORDERS.test_share, ORDERS.seed))
+    nodes = exported.tree_nodes(model.pipeline, f"{run_folder(spark)}/forest")
+    held = test.filter("is_test")
+    scored = held.join(exported.mean_of_trees(held, nodes, ORDERS.tree_depth), "user_id").select(
+        F.col("churned").alias("label"), F.col("mean_share").alias("score"), (F.col("mean_share") >= 0.5).cast("int").alias("prediction")
+    )
+    again = {**churn.threshold_metrics(scored).first().asDict(), **churn.ranking_metrics(scored).first().asDict()}
+    follow = all(abs(model.metrics[name] - value) < 1e-3 for name, value in again.items())
+    counts = held.agg(F.count(F.lit(1)).alias("test_users"), F.count_if(F.col("churned") == 1).alias("churned"))
+    baseline = churn.majority_baseline(test.select("is_test", F.col("churned").alias("label")))
+    return counts.join(baseline, F.lit(True)).withColumn("metrics_follow", F.lit(follow))
+
+
 def campaign_scores(spark, folder):
     """Every request with its status and, for a known user, the behaviour and whether the scores are sound."""
     users, requests = _users(spark, folder), _requests(spark, folder)
@@ -733,7 +766,7 @@ QUERIES = [
     fact_events, dim_date, dim_brand, fact_sales_daily, price_iqr, zero_sessions, scaled_features,
     reject_reasons_narrow, latest_status_narrow, alerts_narrow, model_status, registry_summary, quality_history,
     latency, typed_dirty_columns, load_guard, segment_silhouette, source_replacement, csv_round_trip, bounded_load,
-    json_documents, report_trend, clean_gate, training_readiness, snapshot_states, health_document,
+    churn_evaluation, json_documents, report_trend, clean_gate, training_readiness, snapshot_states, health_document,
 ]
 
 

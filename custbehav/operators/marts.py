@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from custbehav.config import PipelineConfig
 from custbehav.functions.columns import amount_sums, amount_total, count_when, ratio, round_half_up
 from custbehav.functions.ordering import grouped_quantiles, running_totals
+from custbehav.session import cut_lineage
 
 MONTH_NAMES = (
     "January", "February", "March", "April", "May", "June", "July", "August", "September", "October",
@@ -129,7 +130,9 @@ def dim_brand(events: DataFrame, cfg: PipelineConfig) -> DataFrame:
     at_least = (
         brands.orderBy(F.desc("purchases")).limit(cfg.popular_brands).agg(F.min("purchases")).scalar()
     )
-    numbered = running_totals(brands, [], "brand", F.substring("brand", 1, 2), ["one"])
+    # The buckets are the ranges the brands are dealt into, so brands that begin alike do not share a task.
+    ranged = cut_lineage(brands.repartitionByRange("brand").withColumn("_range", F.spark_partition_id()))
+    numbered = running_totals(ranged, [], "brand", F.col("_range"), ["one"])
     return numbered.select(
         (F.col("one_before") + 1).alias("brand_key"),
         F.col("brand").alias("brand_name"),

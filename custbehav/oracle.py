@@ -385,11 +385,22 @@ select guess as baseline_label, case when guess = 1 then pos / (pos + neg) else
          count(*) over (partition by label) as n from scored)
 select user_id, label as churned, place <= floor(n * 0.2e0 + 0.5e0) as is_test from placed""",
         "scaled_features": f"with {SERVING_ORDERS} select user_id, {scaled} from serving",
-        "user_segments": f"""with {SERVING_ORDERS} select user_id, true as segment_exists, true as persona_fits, 5 as segments
+        "user_segments": f"""with {SERVING_ORDERS} select user_id, true as segment_exists, true as nearest_centre, true as persona_fits, 5 as segments
 from serving""",
-        "churn_scores": f"""with {SERVING_ORDERS} select user_id, true as in_range, true as band_follows, true as action_follows,
+        "churn_scores": f"""with {SERVING_ORDERS} select user_id, true as in_range, true as mean_of_trees, true as band_follows, true as action_follows,
        true as label_follows, {DRIVERS} as risk_drivers from serving""",
-        "feature_importance": "select 9 as features, true as not_negative, true as sum_to_one",
+        "feature_importance": "select 9 as features, true as not_negative, true as sum_to_one, true as shares_of_gain",
+        "churn_evaluation": f"""with {ORD}, {_features(HALF_YEAR, 'event_time < cutoff')}, placed as (
+  select user_id, churned, row_number() over (partition by churned order by {SAMPLE_HASH}, user_id) as place,
+         count(*) over (partition by churned) as n from feat),
+split as (select churned, place <= floor(n * 0.2e0 + 0.5e0) as is_test from placed),
+counts as (
+  select count(*) filter (where is_test) as test_users, count(*) filter (where is_test and churned = 1) as churned,
+         case when count(*) filter (where not is_test and churned = 1) > count(*) filter (where not is_test and churned = 0) then 1 else 0 end
+           as baseline_label from split)
+select *, cast(case when baseline_label = 1 then churned else test_users - churned end as double) / test_users as baseline_accuracy,
+       case when baseline_label = 1 then cast(churned * 2 as double) / (churned + test_users) else 0e0 end as baseline_f1,
+       true as metrics_follow from counts""",
         "high_risk_users": "select true as only_high, true as all_high",
         "campaign_scores": f"""with {SERVING_ORDERS}, {REQUESTS}
 select a.position, a.requested_id,
