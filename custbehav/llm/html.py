@@ -63,13 +63,18 @@ class _Element:
 class Blocks(HTMLParser):
     """Collects the leaf blocks of a page: text, words within links, ancestors' marks and, where given, the label."""
 
-    def __init__(self):
+    def __init__(self, labelled: bool = False):
         super().__init__(convert_charrefs=True)
+        self.labelled = labelled
         self.open = [_Element("", frozenset(), False, False, 0)]
         self.found: list[tuple[str, int, str, frozenset, int]] = []
         self.text: list[str] = []
         self.linked = 0
 
+    def parse_marked_section(self, i, report=1):
+        """What begins with "<![" is a comment up to the next ">", whatever it says."""
+        return self.parse_bogus_comment(i, report)
+
     def _end_block(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
@@ -109,8 +114,8 @@ class Blocks(HTMLParser):
         for key, value in attrs:
             if key in ("class", "id", "role") and value:
                 names += [m.lower() for m in _NAME.findall(value)]
-            elif key == _LABEL:
-                label = int(value or 0)
+            elif key == _LABEL and self.labelled:
+                label = int(value)
         marks = above.marks
         if names or tag in SECTIONS:
             marks = frozenset(m for m in marks if not m.startswith("near ")) | {f"near {n}" for n in (*names, tag)}
@@ -148,8 +153,9 @@ class Blocks(HTMLParser):
                 self.linked += len(data.split())
 
 
-def blocks(html: str | None) -> list[tuple[str, int, str, frozenset, int]]:
-    parser = Blocks()
+def blocks(html: str | None, labelled: bool = False) -> list[tuple[str, int, str, frozenset, int]]:
+    """The leaf blocks of a page. Labels are read where ``labelled`` says so, in drawn layouts and never in pages of a table."""
+    parser = Blocks(labelled)
     parser.feed(html or "")
     parser.close()
     parser._end_block()
@@ -352,15 +358,20 @@ _PROSE = (
 def labelled_pages(pages: DataFrame, most_pages: int = 400, layouts: int = 3) -> list[list]:
     """Blocks with labels of at most ``most_pages`` pages that mark their article, and of layouts of pages' text.
 
-    The pages are those with the smallest hashes, alike in every run; a page is used up to 20,000
+    The pages are those with the smallest hashes, alike in every run; first only hashes are compared, and then the
+    pages up to the last one of them are fetched, each once however often it is repeated. A page is used up to 20,000
     characters. Beside the text of the marked pages, that of others is set in layouts: as many as are missing to
     ``most_pages``, a quarter of it at least. Training needs no more; extraction reads all of every page.
     """
-    pages = pages.withColumn("_marked", F.lower("html").contains("<article") & (F.length("html") <= 20_000))
+    pages = pages.filter("html is not null").withColumn("_marked", F.lower("html").contains("<article") & (F.length("html") <= 20_000))
 
     def smallest(rows: DataFrame, most: int) -> list[str]:
-        rows = rows.orderBy(F.xxhash64("html"), "html").limit(most)
-        return [row[0] for row in rows.select(F.substring("html", 1, 20_000)).collect()]
+        hashed = rows.select(F.xxhash64("html").alias("h"), "html")
+        least = [row[0] for row in hashed.select("h").distinct().orderBy("h").limit(most).collect()]
+        if not least:
+            return []
+        wanted = hashed.filter(F.col("h") <= least[-1]).groupBy("h").agg(F.min(F.substring("html", 1, 20_000)).alias("html"))
+        return [row["html"] for row in sorted(wanted.collect(), key=lambda row: row["h"])]
 
     sample, texts = [], []
     for page in smallest(pages.filter("_marked"), most_pages):
@@ -378,7 +389,7 @@ def labelled_pages(pages: DataFrame, most_pages: int = 400, layouts: int = 3) ->
         texts = [list(_PROSE)] * max(most_pages // 10, 1)
     others = [line for lines in texts for line in lines]
     made = [
-        blocks(layout(lines, others, number * layouts + k))
+        blocks(layout(lines, others, number * layouts + k), labelled=True)
         for number, lines in enumerate(texts) for k in range(layouts)
     ]
     return sample + made
