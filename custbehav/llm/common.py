@@ -5,13 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from custbehav.session import checkpoint_folder, cut_lineage as checkpointed
 
-__all__ = ["checkpointed", "columns", "read", "ship", "stored", "trim_space", "words", "SPACE", "SPACES"]
+__all__ = ["checkpointed", "columns", "read", "set_aside", "ship", "stored", "trim_space", "words", "SPACE", "SPACES"]
 
 # The white space of all contracts: space and the five control characters from tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -48,6 +49,22 @@ def columns(df: DataFrame, **wanted: str) -> DataFrame:
     return exact.select(*[F.col(f"c{position(source)}").alias(name) for name, source in wanted.items()])
 
 
+def set_aside(df: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The table with the needed columns under these names and all others under neutral ones, and the way back.
+
+    So a stage can add columns of its own, whatever else the table holds. The way back takes a table that still has all
+    these columns and gives it the columns of ``df``, in their order. A name is matched exactly first.
+    """
+    have = df.columns
+    own = {}
+    for name in needed:
+        place = have.index(name) if name in have else next((i for i, c in enumerate(have) if c.lower() == name.lower()), None)
+        if place is not None:
+            own[place] = name
+    inner = [own.get(i, f"aside_{i}") for i in range(len(have))]
+    return df.toDF(*inner), lambda rows: rows.select(*inner).toDF(*have)
+
+
 def trim_space(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACES))
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from custbehav.functions.ordering import join_null_safe, running_totals
-from custbehav.llm.common import columns, stored, words
+from custbehav.llm.common import columns, set_aside, stored, words
 
 WEIGHTS = (5, 2, 1)
 # Words from which a document belongs to the first and the second stratum.
@@ -154,10 +154,11 @@ def mix(docs: DataFrame, id_column: str = "doc_id", source_column: str = "source
 
 def replicate(docs: DataFrame, **options) -> DataFrame:
     """Every document as often as the mix takes it, with the columns of ``docs`` (doc_id, source and text among them)."""
+    docs, back = set_aside(docs, "doc_id", "source", "text")
     mark, size = order_mark(F.col("doc_id"), F.col("text")), size_in_words(F.col("text"))
     sized = stored(docs.select("source", size.alias("size"), mark.alias("mark")))
     shares = mixture(sized, **options).drop("source_size", "target")
     shares = shares.select(F.col("source").alias("_s"), F.struct(*[c for c in shares.columns if c != "source"]).alias("_mix"))
     joined = docs.join(shares, F.col("source").eqNullSafe(F.col("_s"))).withColumn("_n", _copies(size, mark, "_mix."))
     times = F.when(F.col("_n") > 0, F.sequence(F.lit(1), F.col("_n").cast("int")))
-    return joined.withColumn("_copy", F.explode(times)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return back(joined.withColumn("_copy", F.explode(times)))

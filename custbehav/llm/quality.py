@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from custbehav.llm.common import SPACE, SPACES, columns, words
+from custbehav.llm.common import SPACE, SPACES, columns, set_aside, words
 
 SYMBOLS = "#*$%&|<>"
 MENU_ITEM = r"(?i)^(home|menu|login|log in|sign in|sign up|register|search|next|previous|back|top|contact|about|sitemap|share|print)$"
@@ -150,7 +150,9 @@ def quality_report(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def clean(docs: DataFrame, **limits) -> DataFrame:
     """The documents that are kept, without their failing lines; ``n_chars`` is set anew if there is one."""
-    rows = judged(docs, **limits).filter("_q.kept")
-    text = F.col("_q.clean_text")
-    new = {"text": text.alias("text"), "n_chars": F.length(text).cast("long").alias("n_chars")}
-    return rows.select(*[new.get(name, F.col(f"`{name}`")) for name in docs.columns])
+    docs, back = set_aside(docs, "text", "n_chars")
+    # The filter on the verdict stays above the explode; it would otherwise be moved below and judge every text twice.
+    rows = judged(docs, **limits).select(*docs.columns, F.explode(F.array("_q")).alias("_one")).filter("_one.kept")
+    text = F.col("_one.clean_text")
+    new = {"text": text, "n_chars": F.length(text).cast("long")}
+    return back(rows.withColumns({name: value for name, value in new.items() if name in docs.columns}))

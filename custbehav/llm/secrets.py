@@ -17,7 +17,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from custbehav.llm.common import columns
+from custbehav.llm.common import columns, set_aside
 
 # The patterns of the contract with the length they need, in the order of the kinds.
 ASSIGN = r"""((?i)password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -194,6 +194,7 @@ def scan(
 
 def redact(docs: DataFrame, weights: list[float], threshold: float = 20.0, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret replaced by ``mark``; overlapping spans become one. Clean rows stay as they are."""
+    docs, back = set_aside(docs, "text", "n_chars")
     text = F.col("text")
     _, spans = all_spans(F.coalesce(text, F.lit("")), weights, threshold)
 
@@ -211,10 +212,9 @@ def redact(docs: DataFrame, weights: list[float], threshold: float = 20.0, mark:
         spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
     )
     struct = F.struct(text.alias("old"), F.when(text.isNotNull(), cut).alias("new"))
-    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns], struct.alias("_s"))
+    rows = docs.withColumn("_s", struct)
     changed = ~F.col("_s.old").eqNullSafe(F.col("_s.new"))
-    new = {
-        "text": F.col("_s.new").alias("text"),
-        "n_chars": F.when(changed, F.length("_s.new").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"),
-    }
-    return rows.select(*[new.get(c, F.col(f"`{c}`")) for c in docs.columns])
+    new = {"text": F.col("_s.new")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(changed, F.length("_s.new").cast("long")).otherwise(F.col("n_chars"))
+    return back(rows.withColumns(new))

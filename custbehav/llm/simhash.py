@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from custbehav.llm.common import columns, stored
+from custbehav.llm.common import columns, set_aside, stored
 from custbehav.llm.components import components
 
 # Generator polynomial of the binary Golay code of length 23 (a fixed value of the code).
@@ -217,7 +217,10 @@ def deduplicated(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFr
     The one with the least id stays, a null id last; of rows that repeat the id, the one whose columns have the
     least hash; of rows alike in all columns, one.
     """
-    mark = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    docs, back = set_aside(docs, "doc_id", "text")
+    # A map has no hash of its own; its text has one.
+    texts = [F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in docs.schema.fields]
+    mark = F.xxhash64(*texts)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark.alias("mark"), "text")
     rows = stored(_fingerprinted(rows, shingle))
     classes = stored(rows.select("fingerprint").distinct())
@@ -229,6 +232,6 @@ def deduplicated(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFr
     first = alike.groupBy("root").agg(F.min_by("mark", last).alias("mark"), F.min_by("repeated", last).alias("repeated"))
     first = stored(first.select(F.col("mark").alias("_mark"), "repeated"))
     marked = docs.withColumn("_mark", mark)
-    single = marked.join(first.filter("not repeated").select("_mark"), "_mark", "left_semi").drop("_mark")
-    repeated = marked.join(first.filter("repeated").select("_mark"), "_mark", "left_semi").drop("_mark")
-    return single.unionByName(repeated.distinct())
+    single = marked.join(first.filter("not repeated").select("_mark"), "_mark", "left_semi")
+    repeated = marked.join(first.filter("repeated").select("_mark"), "_mark", "left_semi")
+    return back(single.unionByName(repeated.dropDuplicates(["_mark"])))
