@@ -11,21 +11,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from custbehav.llm import negatives, oracle, resampling, toxicity
-from tests.compare import difference, duck
+from custbehav.llm import negatives, resampling, toxicity
 from tests.llm.conftest import prose, rows_of
 
 VECTORS = "vec_id long, embedding array<double>, label int"
 
 
-@pytest.mark.parametrize("name", ["op11_hard_negatives", "op13_resampling"])
-def test_queries_equal_sql(spark, sf, name):
-    import __spark_entry__ as registry
-
-    pytest.importorskip("duckdb")
-    assert difference(registry.queries()[name](spark, sf), duck(sf), oracle.statements()[name]) is None
-
-
 # Hard negatives
 
 

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -151,7 +153,7 @@ def test_no_pages(spark):
 def test_field_on_other_layouts():
     texts = [[prose(1000 * t + k, 6 + 9 * k) for k in range(6)] for t in range(160)]
     others = [line for lines in texts for line in lines]
-    made = [html.blocks(html.layout(lines, others, seed)) for seed, lines in enumerate(texts * 3)]
+    made = [html.blocks(html.layout(lines, others, seed), labelled=True) for seed, lines in enumerate(texts * 3)]
     model = html.fit(made[:400], rounds=120)
     right = total = 0
     for page in made[400:]:
@@ -161,6 +163,58 @@ def test_field_on_other_layouts():
     assert right / total > 0.97
 
 
+def test_pages_that_would_raise_or_look_labelled(spark):
+    """Attributes and declarations of untrusted pages are text, whatever they say."""
+    hostile = [
+        '<script data-main="scripts/main" src="require.js"></script><div data-main="x"><p>Some words here.</p></div>',
+        "<![foo[x]]><p>Some words here.</p>", "<![CDATA[ x > y ]]>", "<![", "<!", "<!-", "<![if IE]>a<![endif]>", "<!DOCTYPE [<!ENTITY a 'b'>]>",
+        "<?xml", "<?php echo '>' ?>", "</", "<p", "<a href=", "&#xFFFFFFFF; &#0; &bogus;", "<!ELEMENT br EMPTY>", "<" * 5_000, "</p" * 500,
+        "<div>" * 3_000 + "deep", "".join(f'<div class="{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}">' for i in range(300)) + "deep", "\x00<\x00p>",
+    ]
+    assert html.blocks(hostile[0])[0][4] == 0 and [b[0] for b in html.blocks(hostile[1])] == ["Some words here."]
+    draw = random.Random(8)
+    pieces = ["<", "<!", "<![", "]]>", ">", "--", "[", "]", "</", "p", " a=", '"', "'", "&#", ";", "<script>", "</script>", "<style>", "<title>", "x"]
+    hostile += ["".join(draw.choice(pieces) for _ in range(30)) for _ in range(3_000)]
+    for page in hostile:
+        html.blocks(page)
+    good = "<html><body><nav><a href=/>Menu</a></nav><article><p>" + prose(2, 60) + "</p></article></body></html>"
+    rows = [(i, "u", page) for i, page in enumerate([*hostile[:40], good, good, None])]
+    found = html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(found) == 43 and [r.text for r in found if r.page_id in (40, 41)] == [prose(2, 60)] * 2
+
+
+def test_the_sample_takes_a_repeated_page_once(spark):
+    page = "<article><p>" + prose(2, 60) + "</p></article>"
+    rows = [(page,)] * 500 + [(f"<article><p>{prose(10 + i, 30)}</p></article>",) for i in range(5)] + [(None,)]
+    sample = html.labelled_pages(spark.createDataFrame(rows, "html string").repartition(7), most_pages=6, layouts=0)
+    assert sorted(b[0][0] for b in sample) == sorted([prose(2, 60), *(prose(10 + i, 30) for i in range(5))])
+
+
+def test_the_fit_is_the_maximum():
+    """The penalised log-likelihood, by enumeration of all labellings, does not grow in any direction."""
+    import itertools
+
+    pages = [
+        [(f"{prose(k, n)}", 0, "p", frozenset({f"m{k % 2}"}), y) for k, (n, y) in enumerate(page)]
+        for page in ([(3, 0), (9, 1), (4, 0)], [(12, 1), (2, 1)], [(3, 1), (8, 0), (2, 0), (20, 1)], [(5, 0)])
+    ]
+    model = html.fit(pages, rounds=4_000, decay=0.05)
+
+    def value(weights, transitions):
+        total = 0.0
+        for page in pages:
+            scores = [weights[html.features(b, i, len(page))].sum() for i, b in enumerate(page)]
+            path = lambda ys: sum(s for s, y in zip(scores, ys) if y) + sum(transitions[a, b] for a, b in zip(ys, ys[1:]))
+            every = [path(ys) for ys in itertools.product((0, 1), repeat=len(page))]
+            total += path([b[4] for b in page]) - np.logaddexp.reduce(every)
+        return total / len(pages) - 0.025 * ((weights**2).sum() + (transitions**2).sum())
+
+    best, draw = value(model.weights, model.transitions), np.random.default_rng(3)
+    for _ in range(20):
+        step, turn = 0.01 * draw.standard_normal(len(model.weights)), 0.01 * draw.standard_normal((2, 2))
+        assert value(model.weights + step, model.transitions + turn) < best
+
+
 def test_viterbi_is_the_best_path():
     import itertools
 
