@@ -11,12 +11,14 @@ Rates become copies by systematic rounding. The documents of a source are ordere
 in that order, as a share of the tokens, is below the fraction of the rate are taken once more. This is
 done for long documents first, and what they miss is carried to the shorter ones, so the tokens taken come
 within one short document of the target. Reruns agree, and all that has to be known about a source is its
-whole copies and the hashes at which the extra copies end. Running totals are taken inside hash ranges, so a
+whole copies and the hashes at which the extra copies end (and, where many rows share that hash, how many of them). Running totals are taken inside hash ranges, so a
 source with most documents is spread over 2,048 of them and more.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from custbehav.functions.ordering import join_null_safe, running_totals
@@ -99,9 +101,11 @@ def _stratum(size: Column) -> Column:
 def mixture(
     docs: DataFrame, total_share: float = 1.5, weights: tuple[int, ...] = WEIGHTS, most_copies: float = 2.0
 ) -> DataFrame:
-    """One row per source: ``source``, ``source_size``, ``target``, ``whole`` copies of all, ``last_0`` to ``last_2``.
+    """One row per source: ``source``, ``source_size``, ``target``, ``whole`` copies of all, and per stratum k ``last_k``,
+    ``part_k`` and ``all_k``.
 
-    ``docs`` has source, size and mark. Documents of a stratum with a mark up to its ``last`` are taken once more.
+    ``docs`` has source, size and mark. Rows of a stratum with a mark below its ``last`` are taken once more, and ``part`` of the
+    ``all`` rows that have this mark. Rows of one mark are one row with its number before they are put in order.
     """
     strata = range(len(STRATA) + 1)
     docs = docs.select("source", "mark", "size", _stratum(F.col("size")).alias("stratum"))
@@ -115,30 +119,54 @@ def mixture(
     solved = solved.withColumn("whole", F.floor(rate)).withColumn("fraction", rate - F.floor(rate))
     solved = stored(solved.withColumn("carried", F.lit(0.0)).drop("rate"))
     bucket = F.shiftright("mark", 53)
-    placed = stored(running_totals(docs, ["source", "stratum"], "mark", bucket, ["size"]))
+    alike = docs.groupBy("source", "stratum", "mark").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("alike"))
+    alike = alike.withColumn("together", F.col("size") * F.col("alike"))
+    placed = stored(running_totals(alike, ["source", "stratum"], "mark", bucket, ["together"]))
     for k in strata:
         goal = F.col("fraction") * F.col(f"size_{k}") + F.col("carried")
         goals = solved.select("source", goal.alias("goal"))
-        middle = F.col("size_before") + size / 2.0
         extra = join_null_safe(placed.filter((F.col("stratum") == k) & (size > 0)), goals, ["source"])
-        extra = extra.filter(middle < F.col("goal"))
-        ends = extra.groupBy("source").agg(F.max("mark").alias(f"last_{k}"), F.sum(size).alias("extra"))
+        # Rows whose middle lies before the goal.
+        before = F.ceil((F.col("goal") - F.col("together_before")) / size - 0.5)
+        extra = extra.withColumn("part", F.least(F.col("alike"), before)).filter(F.col("part") > 0)
+        ends = extra.groupBy("source").agg(
+            F.max("mark").alias(f"last_{k}"), F.max_by("part", "mark").alias(f"part_{k}"), F.max_by("alike", "mark").alias(f"all_{k}"),
+            F.sum(size * F.col("part")).alias("extra"),
+        )
         solved = join_null_safe(solved, ends, ["source"], "left")
         solved = stored(solved.withColumn("carried", goal - F.coalesce("extra", F.lit(0))).drop("extra"))
     return solved.drop("fraction", "carried", *[f"size_{k}" for k in strata])
 
 
-def _copies(size: Column, mark: Column, prefix: str = "") -> Column:
-    last = [F.col(f"{prefix}last_{k}") for k in range(len(STRATA) + 1)]
-    end = F.when(_stratum(size) == 0, last[0]).when(_stratum(size) == 1, last[1]).otherwise(last[2])
-    return F.when(size > 0, F.col(f"{prefix}whole") + F.when(mark <= end, 1).otherwise(0)).otherwise(0)
+def _with_copies(docs: DataFrame, shares: DataFrame, size: str, mark: str, name: str) -> DataFrame:
+    """Add how often each row is taken, and the columns of ``mixture``.
+
+    Only rows that have the last mark of their stratum, where not all of them are taken, must be numbered: they are
+    written once, and numbered in ranges of their places, so that many equal rows are not put in order in one task.
+    """
+    rows, strata = join_null_safe(docs, shares, ["source"]), range(len(STRATA) + 1)
+    stratum = _stratum(F.col(size))
+
+    def own(kind: str) -> Column:
+        return F.when(stratum == 0, F.col(f"{kind}_0")).when(stratum == 1, F.col(f"{kind}_1")).otherwise(F.col(f"{kind}_2"))
+
+    last, part = own("last"), own("part")
+    divided = F.coalesce((F.col(mark) == last) & (part < own("all")), F.lit(False)) & (F.col(size) > 0)
+    whole = F.when(F.col(size) > 0, F.col("whole") + F.when(F.col(mark) <= last, 1).otherwise(0)).otherwise(0)
+    if shares.filter(reduce(lambda a, b: a | b, [F.col(f"part_{k}") < F.col(f"all_{k}") for k in strata])).isEmpty():
+        return rows.withColumn(name, whole)
+    near = reduce(lambda a, b: a | b, [F.coalesce(F.col(mark) == F.col(f"last_{k}"), F.lit(False)) for k in strata])
+    some = rows.filter(near).filter(divided).withColumns({"_stratum": stratum, "_one": F.lit(1), "_place": F.monotonically_increasing_id()})
+    some = running_totals(stored(some), ["source", "_stratum"], "_place", F.shiftright("_place", 20), ["_one"])
+    some = some.withColumn(name, F.col("whole") + F.when(F.col("_one_before") < part, 1).otherwise(0))
+    return rows.filter(~divided).withColumn(name, whole).unionByName(some.select(*rows.columns, name))
 
 
 def mix(docs: DataFrame, id_column: str = "doc_id", source_column: str = "source", text_column: str = "text", **options) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``size``, ``source_size``, ``target`` and ``taken`` words.
 
-    Null texts have size 0 and are never taken; the null source is a source, the last one; rows that repeat
-    id and text share one fate; an empty table gives no rows.
+    Null texts have size 0 and are never taken; the null source is a source, the last one; of rows that repeat
+    id and text as many are taken once more as bring the source nearest to its target; an empty table gives no rows.
     """
     rows = columns(docs, doc_id=id_column, source=source_column, text=text_column)
     sized = stored(
@@ -146,10 +174,8 @@ def mix(docs: DataFrame, id_column: str = "doc_id", source_column: str = "source
             "doc_id", "source", size_in_words(F.col("text")).alias("size"), order_mark(F.col("doc_id"), F.col("text")).alias("mark")
         )
     )
-    joined = join_null_safe(sized, mixture(sized, **options), ["source"])
-    return joined.select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * _copies(F.col("size"), F.col("mark"))).cast("long").alias("taken")
-    )
+    joined = _with_copies(sized, mixture(sized, **options), "size", "mark", "copies")
+    return joined.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
 
 
 def replicate(docs: DataFrame, **options) -> DataFrame:
@@ -158,7 +184,7 @@ def replicate(docs: DataFrame, **options) -> DataFrame:
     mark, size = order_mark(F.col("doc_id"), F.col("text")), size_in_words(F.col("text"))
     sized = stored(docs.select("source", size.alias("size"), mark.alias("mark")))
     shares = mixture(sized, **options).drop("source_size", "target")
-    shares = shares.select(F.col("source").alias("_s"), F.struct(*[c for c in shares.columns if c != "source"]).alias("_mix"))
-    joined = docs.join(shares, F.col("source").eqNullSafe(F.col("_s"))).withColumn("_n", _copies(size, mark, "_mix."))
+    marked = docs.withColumns({"_mark": mark, "_size": size})
+    joined = _with_copies(marked, shares, "_size", "_mark", "_n")
     times = F.when(F.col("_n") > 0, F.sequence(F.lit(1), F.col("_n").cast("int")))
     return back(joined.withColumn("_copy", F.explode(times)))

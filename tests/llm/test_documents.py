@@ -295,6 +295,27 @@ def test_mixing(documents, rows):
     assert rows_of(mixing.mix(documents)) == sorted(map(repr, found))
 
 
+def test_mixing_deals_equal_rows_one_by_one(spark):
+    """A source of mostly one row: its target is met within one document, and the copies follow."""
+    rows = [(1, prose(1, 15), "a")] * 1_000 + [(i, prose(i, 10 + i), "a") for i in range(2, 40)]
+    rows += [(i, prose(i, 40), "b") for i in range(100, 700)] + [(7_000, prose(5, 9), None)] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    found = mixing.mix(docs).collect()
+    taken, targets = collections.Counter(), {}
+    for r in found:
+        source = "a" if r.doc_id < 100 else "b" if r.doc_id < 1_000 else None
+        taken[source] += r.taken
+        targets[source] = r.target
+        assert r.taken in (0, r.size, 2 * r.size)
+    assert all(abs(taken[s] - targets[s]) <= 25 for s in targets) and len(found) == len(rows)
+    made = collections.Counter(r.doc_id for r in mixing.replicate(docs).collect())
+    wanted = collections.Counter()
+    for r in found:
+        wanted[r.doc_id] += r.taken // r.size
+    assert made == +wanted
+    assert rows_of(mixing.mix(docs.repartition(3))) == sorted(map(repr, found))
+
+
 def test_mixing_meets_its_targets_and_replicates(spark):
     rows = [(i, prose(i, 5 + (i * 37) % 300), "en", f"s{i % 7 if i % 3 else 0}", 0) for i in range(900)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
