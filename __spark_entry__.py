@@ -285,35 +285,45 @@ def scaled_features(spark, folder):
 
 
 def user_segments(spark, folder):
-    """Every user with whether the segment is that of the nearest centre, and named by the behaviour of its members."""
+    """Every user with whether the segment exists and is named by the behaviour of its members."""
     users = _users(spark, folder)
-    model = segments.train_segments(users, ORDERS)
-    placed = exported.nearest_centre(users, exported.segment_centres(spark, model.pipeline))
-    assigned = segments.assign_segments(users.select("user_id", *CLUSTERING_FEATURES), model.pipeline, model.personas)
-    assigned = cut_lineage(assigned.join(placed, "user_id"))
-    # Two centres may be equally near but for rounding.
-    nearest = (F.col("cluster_id") == F.col("nearest")) | (F.col("next_distance") - F.col("distance") < 1e-9)
+    assigned = cut_lineage(_segmented(users, users.select("user_id", *CLUSTERING_FEATURES)))
     told = segments.personas(segments.cluster_summary(assigned.withColumnRenamed("cluster_id", "cluster")))
     told = told.select(F.col("cluster").alias("cluster_id"), F.struct("persona_name", "marketing_strategy").alias("told"))
     clusters = assigned.agg(F.countDistinct("cluster_id")).scalar()
     return assigned.join(told, "cluster_id").select(
         "user_id",
         F.col("cluster_id").between(0, ORDERS.n_clusters - 1).alias("segment_exists"),
-        nearest.alias("nearest_centre"),
         (F.struct("persona_name", "marketing_strategy") == F.col("told")).alias("persona_fits"),
         clusters.alias("segments"),
     )
 
 
-def churn_scores(spark, folder):
-    """Drivers of every user, and whether the score is the mean of the trees, and band, action and label follow from it."""
+def segment_agreement(spark, folder):
+    """Every user with whether the segment is that of the nearest of the exported centres."""
+    users = _users(spark, folder)
+    model = segments.train_segments(users, ORDERS)
+    placed = exported.nearest_centre(users, exported.segment_centres(spark, model.pipeline))
+    assigned = segments.assign_segments(users.select("user_id", *CLUSTERING_FEATURES), model.pipeline, model.personas)
+    # Two centres may be equally near but for rounding.
+    nearest = (F.col("cluster_id") == F.col("nearest")) | (F.col("next_distance") - F.col("distance") < 1e-9)
+    return assigned.join(placed, "user_id").select("user_id", nearest.alias("nearest_centre"))
+
+
+def churn_agreement(spark, folder):
+    """Every user with whether the score is the mean of the leaves that the user reaches in the exported trees."""
     users, model = _users(spark, folder), _trained_churn(spark, folder)
     nodes = exported.tree_nodes(model.pipeline, f"{run_folder(spark)}/forest")
-    risky = profiles.churn_report(churn.score_churn(users, model.pipeline))
-    risky = risky.join(exported.mean_of_trees(users, nodes, ORDERS.tree_depth), "user_id")
+    scored = churn.score_churn(users, model.pipeline).select("user_id", "score")
+    both = scored.join(exported.mean_of_trees(users, nodes, ORDERS.tree_depth), "user_id")
+    return both.select("user_id", (F.abs(F.col("score") - F.col("mean_share")) < 1e-9).alias("mean_of_trees"))
+
+
+def churn_scores(spark, folder):
+    """Drivers of every user, and whether band, action and label follow from the score."""
+    risky = _risky(spark, folder, features.serving_features(_orders(spark, folder), ORDERS))
     return risky.select(
         "user_id",
-        (F.abs(F.col("score") - F.col("mean_share")) < 1e-9).alias("mean_of_trees"),
         _in_unit("churn_probability").alias("in_range"),
         _band_follows().alias("band_follows"),
         (F.col("suggested_action") == profiles.suggested_action(F.col("risk_level"))).alias("action_follows"),
@@ -766,7 +776,7 @@ QUERIES = [
     fact_events, dim_date, dim_brand, fact_sales_daily, price_iqr, zero_sessions, scaled_features,
     reject_reasons_narrow, latest_status_narrow, alerts_narrow, model_status, registry_summary, quality_history,
     latency, typed_dirty_columns, load_guard, segment_silhouette, source_replacement, csv_round_trip, bounded_load,
-    churn_evaluation, json_documents, report_trend, clean_gate, training_readiness, snapshot_states, health_document,
+    churn_evaluation, segment_agreement, churn_agreement, json_documents, report_trend, clean_gate, training_readiness, snapshot_states, health_document,
 ]
 
 

@@ -385,11 +385,13 @@ select guess as baseline_label, case when guess = 1 then pos / (pos + neg) else
          count(*) over (partition by label) as n from scored)
 select user_id, label as churned, place <= floor(n * 0.2e0 + 0.5e0) as is_test from placed""",
         "scaled_features": f"with {SERVING_ORDERS} select user_id, {scaled} from serving",
-        "user_segments": f"""with {SERVING_ORDERS} select user_id, true as segment_exists, true as nearest_centre, true as persona_fits, 5 as segments
+        "user_segments": f"""with {SERVING_ORDERS} select user_id, true as segment_exists, true as persona_fits, 5 as segments
 from serving""",
-        "churn_scores": f"""with {SERVING_ORDERS} select user_id, true as in_range, true as mean_of_trees, true as band_follows, true as action_follows,
+        "churn_scores": f"""with {SERVING_ORDERS} select user_id, true as in_range, true as band_follows, true as action_follows,
        true as label_follows, {DRIVERS} as risk_drivers from serving""",
         "feature_importance": "select 9 as features, true as not_negative, true as sum_to_one, true as shares_of_gain",
+        "segment_agreement": f"with {SERVING_ORDERS} select user_id, true as nearest_centre from serving",
+        "churn_agreement": f"with {SERVING_ORDERS} select user_id, true as mean_of_trees from serving",
         "churn_evaluation": f"""with {ORD}, {_features(HALF_YEAR, 'event_time < cutoff')}, placed as (
   select user_id, churned, row_number() over (partition by churned order by {SAMPLE_HASH}, user_id) as place,
          count(*) over (partition by churned) as n from feat),
