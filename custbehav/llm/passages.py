@@ -1,17 +1,20 @@
-"""Repeated passages: near-duplicate paragraphs by MinHash banding, and equal ones wherever they stand.
-
-Two kinds of paragraphs are compared. A line is a paragraph of its own: equal lines are one class, classes that
-collide in a band of their MinHash signature are candidates, and pairs with an exact Jaccard similarity of
-their five-word shingles of at least the threshold are linked. A passage inside a longer line is
-found by paragraphs of a fixed number of words that begin where the text itself says (at the least hash of
-three words among ``window`` + 1 neighbours): every passage of at least twice as many words holds such a
-paragraph, at the same place in all documents that share it; equal paragraphs are one class.
-
-Bands are tuned for recall: 9 bands of 3 rows let a pair of similarity 0.8 through with a chance of 0.998.
-In a band's bucket each class is first compared with one centre only; what that links is one component,
-and then only classes of different components are still compared, inside the join. A dense group of any size thus costs one
-comparison per member, and no link between components is lost. Components are the units of removal: the
-first occurrence is kept.
+"""Repeated passages: overlapping paragraphs of whole texts by MinHash banding, exact Jaccard, components.
+
+Paragraphs are all stretches of ``seed + spread - 1`` = 22 words, wherever lines end. Each has a MinHash of one row, its band key: the
+least hash of its ten-word shingles; neighbours mostly share it, so a text has a key about every seven words. The bands are
+tuned to lose nothing: two passages of 25 words or more whose five-word shingles have a Jaccard similarity of
+0.8 hold at least 22 equal words in a row (to break the row inside a passage of n words costs four shingles of one side
+and five of the other, and so needs n >= 44), and those share a key.
+
+Of every key the first occurrence is the centre, and the others are compared with it. Keys of two documents that lie at one
+distance are one comparison, in blocks of ``BLOCK`` words of the centre's document. The words around are
+cut from the texts once per round. The passage is the longest stretch around the key whose exact similarity reaches the threshold. Where the
+centre is not similar, or differs inside the 22 words, the 22-word stretches around the key become keys of the next round,
+so occurrences that share nothing but a phrase part; what some rounds of centres leave is compared pair by pair inside a key.
+A dense group of any size costs one comparison per member and key distance.
+
+Similar stretches of a document that overlap are one passage; links between passages make components, the units of
+removal, of which the first passage is kept.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from custbehav.llm.common import columns, stored
 from custbehav.llm.components import components
@@ -29,6 +32,8 @@ from custbehav.llm.components import components
 _SEED = 20240611
 # A side of a join with up to so many rows is broadcast.
 BROADCAST_ROWS = 200_000
+# Words of the centre's document that are compared at once, and the words looked at on either side.
+BLOCK, AROUND = 512, 64
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -41,249 +46,281 @@ def _coefficients(n: int, kind: int) -> np.ndarray:
     return np.random.default_rng((_SEED, kind)).integers(0, 1 << 64, n, np.uint64) | np.uint64(1)
 
 
-def _word_keys(text: str) -> np.ndarray:
+_ORDER = _coefficients(64, 1)
+
+
+def _word_keys(text: str | None) -> np.ndarray:
     digest = xxhash.xxh64_intdigest
-    words = text.encode("utf-8", "replace").lower().split()
-    return np.fromiter((digest(w, 42) for w in words), np.uint64, len(words))
+    words = (text or "").encode("utf-8", "replace").lower().split()
+    return np.fromiter(map(digest, words), np.uint64, len(words))
 
 
 def _grams(keys: np.ndarray, n: int) -> np.ndarray:
-    """Keys of all n-word shingles; a shorter text is one shingle."""
-    n = min(n, len(keys))
-    out = np.zeros(len(keys) - n + 1, np.uint64)
-    for i, c in enumerate(_coefficients(16, 1)[:n]):
-        out += keys[i : len(keys) - n + 1 + i] * c
-    return _mixed(out + np.uint64(n))
-
-
-def anchors(keys: np.ndarray, window: int) -> np.ndarray:
-    """Starts of the paragraphs of ``window`` words that the text itself picks."""
-    if len(keys) < window:
-        return np.array([], np.int64)
-    marks = _grams(keys, 3)[: len(keys) - window + 1]
-    span = min(window + 1, len(marks))
-    parts = []
-    for low in range(0, len(marks) - span + 1, 1 << 16):
-        part = marks[low : low + (1 << 16) + span - 1]
-        least = np.lib.stride_tricks.sliding_window_view(part, span).argmin(axis=1)
-        parts.append(np.unique(least + np.arange(len(least))) + low)
-    return np.unique(np.concatenate(parts))
-
-
-def _keys_at(keys: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent keys (64 and 32 bits) of the words at each start."""
-    one, two = np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.uint64)
-    for i, (a, b) in enumerate(zip(_coefficients(window, 2), _coefficients(window, 3))):
-        own = keys[starts + i]
-        one += own * a
-        two += _mixed(own + b)
-    return _mixed(one).view(np.int64), (_mixed(two) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-
-
-def _first_of_each(keys: np.ndarray) -> np.ndarray:
-    return np.sort(np.unique(keys, return_index=True)[1])
-
-
-def signatures(shingles: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
-    """Band keys, one row each, of the MinHash signatures of some sets of shingles."""
-    if not shingles:
-        return np.zeros((0, bands), np.int64)
-    sizes = np.array([len(s) for s in shingles])
-    starts, every = np.cumsum(sizes) - sizes, np.concatenate(shingles)
-    coefficients = _coefficients(bands * rows, 4)
-    out = np.full((len(sizes), bands), np.uint64(0x27D4EB2F165667C5))
-    for band in range(bands):
-        for c in coefficients[band * rows : (band + 1) * rows]:
-            least = np.minimum.reduceat((every ^ (c >> np.uint64(7))) * c, starts)
-            out[:, band] = _mixed(out[:, band] + least)
-    return _mixed(out + np.arange(bands, dtype=np.uint64)).view(np.int64)
-
-
-WINDOWS = "doc_id long, start int, key long, check int"
-LINES = "doc_id long, start int, n_words int, node long, bands array<long>"
-
-
-def _windows(docs: DataFrame, window: int) -> DataFrame:
+    """Keys of all n-word shingles; a shorter text has none. Shingles of 1, 2, 4... words are put together."""
+    m = len(keys) - n + 1
+    if m <= 0:
+        return np.array([], np.uint64)
+    out, done, part, size, level = None, 0, keys, 1, 0
+    while True:
+        if n & size:
+            piece = part[done : done + m]
+            out = piece if out is None else out * _ORDER[32 + level] + piece
+            done += size
+        if done == n:
+            return _mixed(out + np.uint64(n))
+        part = part[: len(part) - size] * _ORDER[level] + part[size:]
+        size, level = size * 2, level + 1
+
+
+def _sliding(values: np.ndarray, width: int, least: np.ufunc) -> np.ndarray:
+    """The least (or greatest) of every ``width`` neighbours."""
+    out, have = values, 1
+    while have < width:
+        step = min(have, width - have)
+        out = least(out[: len(out) - step], out[step:])
+        have += step
+    return out
+
+
+def band_places(keys: np.ndarray, seed: int, spread: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and values of the band keys of a text: the least shingle hashes of its paragraphs, each value once."""
+    marks = _grams(keys, seed)
+    if len(marks) < spread:
+        return np.array([], np.int64), np.array([], np.uint64)
+    least = _sliding(marks, spread, np.minimum)
+    nothing = np.zeros(spread - 1, np.uint64)
+    greatest = _sliding(np.concatenate([nothing, least, nothing]), spread, np.maximum)
+    starts = np.flatnonzero(greatest == marks)
+    first = np.sort(np.unique(marks[starts], return_index=True)[1])
+    return starts[first], marks[starts[first]]
+
+
+PLACES = "key long, doc_id long, start int"
+
+
+def _places(docs: DataFrame, least_words: int, seed: int, spread: int) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
-                out = [[], [], [], []]
                 part = batch.slice(low, 512)
-                ids = part.column(0)
-                counts = []
+                starts, values = [], []
                 for text in part.column(1).to_pylist():
-                    keys = _word_keys(text or "")
-                    starts = anchors(keys, window)
-                    one, two = _keys_at(keys, starts, window)
-                    first = _first_of_each(one)
-                    counts.append(len(first))
-                    for column, values in zip(out[1:], (starts[first].astype(np.int32), one[first], two[first])):
-                        column.append(values)
-                rows = pa.array(np.repeat(np.arange(len(counts)), counts))
-                arrays = [ids.take(rows), *(pa.array(np.concatenate(c)) for c in out[1:])]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "key", "check"])
+                    keys = _word_keys(text)
+                    found = band_places(keys if len(keys) >= least_words else keys[:0], seed, spread)
+                    starts.append(found[0].astype(np.int32))
+                    values.append(found[1])
+                rows = pa.array(np.repeat(np.arange(len(starts)), [len(s) for s in starts]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(values).view(np.int64)), part.column(0).take(rows), pa.array(np.concatenate(starts))],
+                    ["key", "doc_id", "start"],
+                )
 
-    return docs.mapInArrow(task, WINDOWS)
+    return docs.mapInArrow(task, PLACES)
 
 
-def _long_lines(text: str | None, least_words: int) -> Iterator[tuple[int, list[bytes], int]]:
-    """(words before it, words, node) of every distinct line of at least ``least_words`` words."""
-    start, seen = 0, set()
-    for line in (text or "").split("\n"):
-        own = line.encode("utf-8", "replace").lower().split()
-        if len(own) >= least_words:
-            node = xxhash.xxh3_64_intdigest(b" ".join(own)) - (1 << 63)
-            if node not in seen:
-                seen.add(node)
-                yield start, own, node
-        start += len(own)
+def _small(rows: DataFrame) -> DataFrame:
+    """``rows``, a written table, broadcast if they are few; else the join shuffles both sides."""
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
 
 
-def _hashed(words: list[bytes]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64, len(words))
+def _with_centres(places: DataFrame) -> DataFrame:
+    """Every occurrence of a key beside the first one, of another document."""
+    centres = places.groupBy("key").agg(F.min(F.struct("doc_id", "start")).alias("c"), F.max("doc_id").alias("_last"))
+    centres = centres.filter("c.doc_id <> _last").select("key", F.col("c.doc_id").alias("to_id"), F.col("c.start").alias("to_start"))
+    return places.join(centres, "key").filter("doc_id <> to_id")
 
 
-def _lines(docs: DataFrame, least_words: int, shingle: int, bands: int, rows: int) -> DataFrame:
-    """Places, nodes (equal lines have one) and band keys of the lines."""
+def _in_pairs(places: DataFrame) -> DataFrame:
+    other = places.select("key", F.col("doc_id").alias("to_id"), F.col("start").alias("to_start"))
+    return places.join(other, "key").filter("doc_id > to_id")
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
-                out, shingles = [[] for _ in range(4)], []
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    for start, own, node in _long_lines(text, least_words):
-                        for column, value in zip(out, (doc_id, start, len(own), node)):
-                            column.append(value)
-                        shingles.append(_grams(_hashed(own), shingle))
-                keys = pa.array(signatures(shingles, bands, rows).ravel())
-                arrays = [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.int64()))]
-                arrays.append(pa.ListArray.from_arrays(pa.array(np.arange(len(shingles) + 1) * bands, pa.int32()), keys))
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "n_words", "node", "bands"])
 
-    return docs.mapInArrow(task, LINES)
+PIECES = "to_id long, block int, doc_id long, shift int, base int, words binary, seeds array<struct<start:int,key:long>>"
+
 
+def _pieces(docs: DataFrame, met: DataFrame, size: int) -> DataFrame:
+    """The words around the keys of both sides, cut from each text once; the centre's pieces have no doc_id."""
+    block, shift = F.floor(F.col("to_start") / BLOCK).cast("int"), F.col("start") - F.col("to_start")
+    seeds = F.collect_set(F.struct("start", "key")).alias("seeds")
+    pairs = stored(met.groupBy("doc_id", "to_id", block.alias("block"), shift.alias("shift")).agg(seeds))
+    own = pairs.select("doc_id", F.struct("to_id", "block", "shift", "seeds").alias("r"))
+    empty = [F.lit(None).cast(kind).alias(name) for name, kind in own.select("r.*").dtypes if name in ("to_id", "shift", "seeds")]
+    centres = pairs.select(F.col("to_id").alias("doc_id"), "block").distinct()
+    centres = centres.select("doc_id", F.struct(empty[0], "block", *empty[1:]).alias("r"))
+    wanted = stored(own.unionByName(centres).groupBy("doc_id").agg(F.collect_list("r").alias("wanted")))
 
-def _texts_of(docs: DataFrame, nodes: DataFrame, least_words: int) -> DataFrame:
-    """The text of each wanted node, cut from the documents once more; it is not kept for all lines."""
+    def cut(doc_id, words, r):
+        if r["seeds"] is None:
+            low, high = r["block"] * BLOCK - AROUND, (r["block"] + 1) * BLOCK + size + AROUND
+            to_id, doc_id = doc_id, None
+        else:
+            starts = [s["start"] for s in r["seeds"]]
+            low, high, to_id = min(starts) - AROUND, max(starts) + size + AROUND, r["to_id"]
+        low = max(low, 0)
+        return to_id, r["block"], doc_id, r["shift"], low, words[low:high].tobytes(), r["seeds"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seeds_type = pa.list_(pa.struct([("start", pa.int32()), ("key", pa.int64())]))
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), seeds_type)
+        names = ["to_id", "block", "doc_id", "shift", "base", "words", "seeds"]
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                found = [
-                    (node, b" ".join(own).decode())
-                    for text in batch.column(0).slice(low, 256).to_pylist()
-                    for _, own, node in _long_lines(text, least_words)
-                ]
-                columns_out = [pa.array([f[i] for f in found], k) for i, k in enumerate((pa.int64(), pa.string()))]
-                yield pa.RecordBatch.from_arrays(columns_out, ["node", "line"])
+            for low in range(0, batch.num_rows, 64):
+                rows = []
+                for row in batch.slice(low, 64).to_pylist():
+                    words = (_word_keys(row["text"]) >> np.uint64(32)).astype(np.uint32)
+                    rows += [cut(row["doc_id"], words, r) for r in row["wanted"]]
+                values = list(zip(*rows)) or [()] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names)
 
-    lines = docs.select("text").mapInArrow(task, "node long, line string")
-    wanted = lines.join(_small(nodes), "node", "left_semi")
-    return stored(wanted.groupBy("node").agg(F.min("line").alias("line")))
+    texts = docs.join(_small(stored(wanted.select("doc_id"))), "doc_id", "left_semi").join(wanted, "doc_id")
+    return stored(texts.select("doc_id", "text", "wanted").mapInArrow(task, PIECES))
 
 
-def _small(rows: DataFrame) -> DataFrame:
-    """``rows``, a written table, broadcast if they are few; else the join shuffles both sides."""
-    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
+def similar_stretch(a, b, start, size, shift, shingle, threshold, least_words):
+    """The longest similar stretch around the ``size`` words at ``start``: (low, high) in ``a`` and in ``b``, or None.
 
+    ``shift`` is how far the words stand later in ``a``. A shingle counts 1 if the other side has it, else the
+    loss that its like on both sides costs at the threshold; the stretch is the longest one with a sum of 0 or more
+    that passes the exact test; failing that, the same along equal places, and the equal words around the key.
+    """
+    grams_a, grams_b = _grams(a, shingle), _grams(b, shingle)
+    low, high = start, start + size - shingle + 1
+    if low < 0 or high > len(grams_a):
+        return None
+    beside = np.zeros(len(grams_a), bool)
+    first, last = max(shift, 0), min(len(grams_a), len(grams_b) + shift)
+    if last > first:
+        beside[first:last] = grams_a[first:last] == grams_b[first - shift : last - shift]
+    if not beside[low:high].all():
+        return None
+    loss = round(2 * threshold / (1 - threshold)) if threshold < 1 else 10**6
+    for equal, cost in ((np.isin(grams_a, grams_b), loss), (beside, loss), (beside, 10**6)):
+        sums = np.concatenate([[0], np.cumsum(np.where(equal, 1, -cost))])
+        ahead = np.maximum.accumulate(sums[high:][::-1])[::-1]
+        ends = high + np.searchsorted(-ahead, -sums[: low + 1], side="right") - 1
+        ends = np.where(ends >= high, ends, -1)
+        i = int(np.argmax(ends - np.arange(low + 1)))
+        inside = np.flatnonzero(equal[i : int(ends[i])]) + i
+        i, j = int(inside[0]), int(inside[-1])
+        p, q = (at[np.argmin(np.abs(at - (k - shift)))] for k in (i, j) for at in (np.flatnonzero(grams_b == grams_a[k]),))
+        if min(j - i, q - p) + shingle < least_words:
+            continue
+        one, two = np.unique(grams_a[i : j + 1]), np.unique(grams_b[p : q + 1])
+        both = len(np.intersect1d(one, two, assume_unique=True))
+        if both >= threshold * (len(one) + len(two) - both) - 1e-9:
+            return i, j + shingle, int(p), int(q) + shingle
+    return None
+
+
+COMPARED = "doc_id long, start int, end int, to_id long, to_start int, to_end int, key long"
+
+
+def _compared(pieces: DataFrame, size: int, row: int, shingle: int, threshold: float, least_words: int) -> DataFrame:
+    """Similar stretches, and (without ``to_id``) the keys for the next round.
+
+    ``row`` is the length of the stretches that are keys of the next round; where the keys have it already they are kept.
+    """
 
-def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose exact Jaccard similarity reaches the threshold."""
-    one = texts.select(F.col("node").alias("a"), F.col("line").alias("line_a"))
-    two = texts.select(F.col("node").alias("b"), F.col("line").alias("line_b"))
+    def rows_of(r):
+        a, b = (np.frombuffer(r[n], np.uint32).astype(np.uint64) for n in ("words", "to_words"))
+        shift = r["shift"] - r["base"] + r["to_base"]
+        equal, first, last = np.zeros(len(a), np.int64), max(shift, 0), min(len(a), len(b) + shift)
+        if last > first:
+            equal[first:last] = a[first:last] == b[first - shift : last - shift]
+        sums, until = np.concatenate([[0], np.cumsum(equal)]), -1
+        rows, next_keys = [], set()
+        for seed in sorted(r["seeds"], key=lambda s: s["start"]):
+            start, failed = seed["start"] - r["base"], False
+            if start + size > until:
+                found = similar_stretch(a, b, start, size, shift, shingle, threshold, least_words)
+                failed = found is None
+                if found:
+                    until = found[1]
+                    own, to = (found[0] + r["base"], found[1] + r["base"]), (found[2] + r["to_base"], found[3] + r["to_base"])
+                    rows.append((r["doc_id"], *own, r["to_id"], *to, None))
+            if size == row:
+                if failed:
+                    rows.append((r["doc_id"], seed["start"], None, None, None, None, seed["key"]))
+                continue
+            low, high = max(start + size - row, 0), min(start + row, len(a))
+            if failed or sums[high] - sums[low] < high - low:
+                differ = sums[low + row : high + 1] - sums[low : high + 1 - row] < row
+                next_keys.update(low + np.flatnonzero(differ | failed))
+        if next_keys:
+            keys = _grams(a, row).view(np.int64)
+            rows += [(r["doc_id"], int(s) + r["base"], None, None, None, None, int(keys[s])) for s in sorted(next_keys)]
+        return rows
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
+        names = ["doc_id", "start", "end", "to_id", "to_start", "to_end", "key"]
         for batch in batches:
-            similar = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = (np.unique(_grams(_word_keys(t), shingle)) for t in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                similar.append(both >= threshold * (len(x) + len(y) - both) - 1e-9)
-            yield batch.select(["a", "b"]).filter(pa.array(similar, pa.bool_()))
-
-    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "line_a", "line_b")
-    return joined.mapInArrow(task, "a long, b long")
+            for low in range(0, batch.num_rows, 256):
+                rows = [out for r in batch.slice(low, 256).to_pylist() for out in rows_of(r)]
+                values = list(zip(*rows)) or [()] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names)
 
+    centres = pieces.filter("doc_id is null").select(
+        "to_id", "block", F.col("base").alias("to_base"), F.col("words").alias("to_words")
+    )
+    return pieces.filter("doc_id is not null").join(centres, ["to_id", "block"]).mapInArrow(task, COMPARED)
 
-def _shingled(texts: DataFrame, shingle: int) -> DataFrame:
-    """The distinct shingles of every node."""
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(_grams(_word_keys(t), shingle)).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
-
-    return texts.select("node", "line").mapInArrow(task, "node long, shingles array<long>")
-
-
-def _line_components(docs: DataFrame, lines: DataFrame, least_words: int, shingle: int, threshold: float) -> DataFrame:
-    """``node`` and ``root`` of the lines linked with another one."""
-    banded = lines.select(F.explode("bands").alias("band"), "node")
-    shared = banded.groupBy("band").agg((F.min("node") != F.max("node")).alias("shared")).filter("shared").select("band")
-    crowded = stored(banded.join(_small(stored(shared)), "band").distinct())
-    sizes = crowded.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
-    degree = crowded.join(sizes, "band").groupBy("node").agg(F.sum("n").alias("degree"))
-    ranked = stored(crowded.join(degree, "node"))
-    texts = _texts_of(docs, stored(degree.select("node")), least_words)
-
-    # The line that meets most others is the likeliest centre; the others of its buckets are compared with it.
-    centre = ranked.groupBy("band").agg(F.max(F.struct("degree", "node")).alias("c")).select("band", F.col("c.node").alias("a"))
-    stars = ranked.join(centre, "band").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
-    found = stored(_verified(stars, texts, shingle, threshold))
-    roots = stored(components(found, "a", "b"))
-    # Only buckets that still hold more than one component have pairs left to compare.
-    placed = ranked.select("band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.groupBy("band").agg((F.min("root") != F.max("root")).alias("mixed")).filter("mixed").select("band")
-    sides = placed.join(mixed, "band").join(_shingled(texts, shingle), "node")
-    one = sides.select("band", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("shingles").alias("x"))
-    two = sides.select("band", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("shingles").alias("y"))
-    apart = (one["band"] == two["band"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
-    # both / (|x| + |y| - both) >= threshold; the condition is part of the join, so only links leave it.
-    both, sizes = F.size(F.array_intersect("x", "y")), F.size("x") + F.size("y")
-    similar = both * (1 + threshold) >= sizes * threshold - 1e-9
-    left = one.join(two, apart & similar).select("a", "b").distinct()
-    return components(found.unionByName(left), "a", "b")
+def _passages(links: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """Passages (node, doc_id, start, n_words), and links between their nodes."""
+    sides = links.select("doc_id", "start", "end").unionByName(
+        links.select(F.col("to_id").alias("doc_id"), F.col("to_start").alias("start"), F.col("to_end").alias("end"))
+    )
+    order = Window.partitionBy("doc_id").orderBy("start", "end")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = (before.isNull() | (F.col("start") + shingle > before)).cast("int")
+    numbered = sides.distinct().withColumn("_new", apart).withColumn("_n", F.sum("_new").over(order))
+    numbered = stored(numbered.select("doc_id", "start", "end", F.xxhash64("doc_id", "_n").alias("node")))
+    passages = numbered.groupBy("node", "doc_id").agg(F.min("start").alias("start"), F.max("end").alias("_end"))
+    one = numbered.withColumnRenamed("node", "a")
+    two = numbered.toDF("to_id", "to_start", "to_end", "b")
+    joined = links.join(one, ["doc_id", "start", "end"]).join(two, ["to_id", "to_start", "to_end"]).select("a", "b").distinct()
+    return passages.select("node", "doc_id", "start", (F.col("_end") - F.col("start")).alias("n_words")), joined
 
 
 def repeated_passages(
     docs: DataFrame,
-    window: int = 25,
+    least_words: int = 25,
     shingle: int = 5,
     threshold: float = 0.8,
-    bands: int = 9,
-    rows: int = 3,
+    seed: int = 10,
+    spread: int = 13,
+    rounds: int = 4,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """One row per occurrence of a paragraph that two documents or more share.
-
-    ``doc_id``, ``kind`` (line or window), ``start`` (words before it) and ``n_words`` say where, ``component_id`` is
-    the least doc_id that has a paragraph of its component, ``n_documents`` how many occurrences there are, ``kept`` is
-    true for the first. Paragraphs have ``window`` words at least. Null and blank texts have none; a paragraph
-    repeated inside a document counts once; rows that repeat an id are one document; rows with a
-    null id are not compared; an empty table gives no rows.
+    """One row per passage of a document that is similar to one of another document.
+
+    ``doc_id``, ``start`` (words before it) and ``n_words`` say where, ``component_id`` is
+    the least doc_id that has a passage of its component, ``n_documents`` how many documents have one, ``kept`` is
+    true for the first passage of the component (by doc_id, then start) only. Passages have ``least_words`` words at least and go
+    over line ends; letters A-Z count in either case. Null and blank texts have none; what repeats inside a document only
+    is not reported; rows that repeat an id are one document; rows with a
+    null id are not compared; an empty table gives no rows. ``rounds`` decides the work only, not the result's links.
     """
     rows_in = columns(docs, doc_id=id_column, text=text_column)
     rows_in = rows_in.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
-    windows = stored(_windows(rows_in, window))
-    shared = windows.groupBy("key", "check").agg(
-        F.min("doc_id").alias("component_id"), F.max("doc_id").alias("_last"), F.count(F.lit(1)).alias("n_documents")
-    )
-    shared = shared.filter("component_id <> _last").drop("_last")
-    in_windows = windows.join(_small(stored(shared)), ["key", "check"]).select(
-        "doc_id", F.lit("window").alias("kind"), "start", F.lit(window).alias("n_words"), "component_id", "n_documents"
-    )
-
-    lines = stored(_lines(rows_in, window, shingle, bands, rows))
-    roots = stored(_line_components(rows_in, lines, window, shingle, threshold))
-    placed = lines.select("doc_id", "start", "n_words", "node").join(_small(roots), "node", "left")
-    placed = placed.withColumn("root", F.coalesce("root", "node"))
-    groups = placed.groupBy("root").agg(
-        F.min("doc_id").alias("component_id"), F.max("doc_id").alias("_last"), F.count(F.lit(1)).alias("n_documents")
-    )
-    groups = groups.filter("component_id <> _last").drop("_last")
-    in_lines = placed.join(_small(stored(groups)), "root").select(
-        "doc_id", F.lit("line").alias("kind"), "start", "n_words", "component_id", "n_documents"
+    row = seed + spread - 1
+    places, size, links = stored(_places(rows_in, least_words, seed, spread)), seed, None
+    for turn in range(rounds + 1):
+        met = _with_centres(places) if turn < rounds else _in_pairs(places)
+        compared = stored(_compared(_pieces(rows_in, met, size), size, row, shingle, threshold, least_words))
+        found = compared.filter("to_id is not null").drop("key")
+        links = found if links is None else links.unionByName(found)
+        places, size = compared.filter("to_id is null").select("key", "doc_id", "start").distinct(), row
+        if places.isEmpty():
+            break
+    passages, joined = _passages(links.distinct(), shingle)
+    roots = stored(components(joined, "a", "b"))
+    placed = stored(passages.join(roots, "node").select("root", "doc_id", "start", "n_words"))
+    per_document = placed.groupBy("root", "doc_id").agg(F.min("start").alias("start"))
+    groups = per_document.groupBy("root").agg(F.min(F.struct("doc_id", "start")).alias("f"), F.count(F.lit(1)).alias("n_documents"))
+    return placed.join(_small(stored(groups)), "root").select(
+        "doc_id", "start", "n_words", F.col("f.doc_id").alias("component_id"), "n_documents",
+        ((F.col("doc_id") == F.col("f.doc_id")) & (F.col("start") == F.col("f.start"))).alias("kept"),
     )
-    return in_windows.unionByName(in_lines).withColumn("kept", F.col("doc_id") == F.col("component_id"))

@@ -404,6 +404,13 @@ def test_sources_are_numbered_in_ranges(spark):
         assert r.target == pytest.approx(1.5 * len(names) * (5, 2, 1)[expected[r.source] % 3] / unit)
 
 
+def spans_by_document(found):
+    out = collections.defaultdict(list)
+    for r in found:
+        out[r.doc_id].append(r)
+    return out
+
+
 def test_passages(spark):
     texts = {i: prose(i, 150) for i in range(30)}
     passage = prose(500, 51)
@@ -421,12 +428,12 @@ def test_passages(spark):
     found = passages.repeated_passages(docs).collect()
     groups = collections.defaultdict(set)
     for r in found:
-        groups[r.kind, r.component_id].add(r.doc_id)
-        assert r.kept == (r.doc_id == r.component_id)
-        if r.kind == "window":
-            own = [" ".join(texts[d].lower().split()) for d in (r.doc_id, r.component_id)]
-            assert " ".join(own[0].split()[r.start : r.start + 25]) in own[1]
-    assert dict(groups) == {("window", 3): {3, 11, 19}, ("line", 5): {5, 6}, ("window", 5): {5, 6}, ("window", 20): {20, 21}, ("line", 20): {20, 21}}
+        groups[r.component_id].add((r.doc_id, r.start, r.n_words))
+        assert r.kept == (r.doc_id == r.component_id) and r.n_documents == (3 if r.component_id == 3 else 2)
+    assert groups[3] == {(3, 40, 51), (11, 40, 51), (19, 40, 51)}
+    assert groups[5] == {(5, 150, 58), (6, 0, 58)}
+    assert groups[20] == {(20, 0, 150), (21, 0, 150)}
+    assert set(groups) == {3, 5, 20}
 
 
 def test_passages_of_a_dense_group(spark):
@@ -436,5 +443,88 @@ def test_passages_of_a_dense_group(spark):
         words = list(base)
         words[(i * 7) % 80] = f"other{i}"
         texts.append((i, " ".join(words)))
-    found = passages.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string"), window=25).collect()
-    assert {r.doc_id: r.component_id for r in found if r.kind == "line"} == {i: 0 for i in range(60)}
+    found = passages.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: 0 for i in range(60)}
+    assert sum(r.kept for r in found) == 1 and {r.n_documents for r in found} == {60}
+
+
+def in_one_text(words, seed):
+    return " ".join([prose(seed, 70), *words, prose(seed + 1, 70)])
+
+
+def in_short_lines(words, seed):
+    parts = [" ".join(words[i : i + 20]) for i in range(0, len(words), 20)]
+    return "\n".join([prose(seed, 70), *parts, prose(seed + 1, 70)])
+
+
+@pytest.mark.parametrize("placed", [in_one_text, in_short_lines])
+@pytest.mark.parametrize("change", ["replaced", "inserted", "left out"])
+def test_a_passage_with_one_word_changed_is_found_wherever_it_stands(spark, placed, change):
+    rows = []
+    for i in range(100):
+        words = prose(10_000 + i, 60).split()
+        other, at = list(words), 22 + i % 16
+        other[at : at + (change != "inserted")] = [] if change == "left out" else ["changed"]
+        rows += [(2 * i, placed(words, 20_000 + 4 * i)), (2 * i + 1, placed(other, 20_002 + 4 * i))]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(d, d - d % 2) for d in range(200)}
+    assert all(r.start == 70 and abs(r.n_words - 60) <= 1 for r in found)
+
+
+def similar_stretches(one, two, least, threshold=0.8, shingle=5):
+    """All pairs of equally long stretches, by hand: those that reach the threshold."""
+    one, two = (t.lower().split() for t in (one, two))
+    for i in range(len(one) - least + 1):
+        for j in range(len(two) - least + 1):
+            x, y = (
+                {tuple(w[k + s : k + s + shingle]) for s in range(least - shingle + 1)} for w, k in ((one, i), (two, j))
+            )
+            if len(x & y) >= threshold * len(x | y):
+                yield i, j
+
+
+@pytest.mark.parametrize("least", [25, 50])
+def test_passages_equal_the_comparison_of_all_stretches(spark, least):
+    draw, texts = random.Random(11), []
+    for i in range(36):
+        words = prose(3_000 + i, draw.randint(20, 60)).split()
+        if i % 3:
+            shared = list(prose(4_000 + i % 7, 70).split()[draw.randint(0, 20) :])
+            for _ in range(i % 4):
+                shared[draw.randrange(len(shared))] = f"w{draw.randrange(99)}"
+            at = draw.randint(0, len(words))
+            words[at:at] = shared
+        texts.append(" ".join(words))
+    met = set()
+    for a in range(len(texts)):
+        for b in range(a):
+            if any(True for _ in similar_stretches(texts[a], texts[b], least)):
+                met |= {a, b}
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = passages.repeated_passages(frame, least_words=least).collect()
+    assert met <= {r.doc_id for r in found}
+    for own in spans_by_document(found).values():
+        for r in own:
+            assert r.n_words >= least
+
+
+def test_a_phrase_of_many_contexts_hides_no_passage(spark):
+    """The first occurrence of a key shares a phrase of fifteen words only; others share a passage around it."""
+    phrase = prose(70, 15)
+    texts = [" ".join([prose(100 + i, 30), phrase, prose(200 + i, 30)]) for i in range(40)]
+    for group in range(5):
+        around = prose(300 + group, 20), prose(400 + group, 20)
+        for i in range(3):
+            seed = 500 + 10 * group + 2 * i
+            texts.append(" ".join([prose(seed, 30), around[0], phrase, around[1], prose(seed + 1, 30)]))
+    found = passages.repeated_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id, r.start, r.n_words) for r in found} == {
+        (d, d - (d - 40) % 3, 30, 55) for d in range(40, 55)
+    }
+
+
+def test_a_passage_over_blocks_and_rows_that_repeat_an_id(spark):
+    long = prose(600, 3_000, 3_000)
+    rows = [(1, prose(1, 300) + " " + long), (2, long + " " + prose(2, 90)), (2, long + " " + prose(2, 90)), (3, prose(3, 90))]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {tuple(r) for r in found} == {(1, 300, 3_000, 1, 2, True), (2, 0, 3_000, 1, 2, False)}
