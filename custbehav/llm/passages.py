@@ -9,8 +9,9 @@ and five of the other, and so needs n >= 44), and those share a key.
 Of every key the first occurrence is the centre, and the others are compared with it. Keys of two documents that lie at one
 distance are one comparison, in blocks of ``BLOCK`` words of the centre's document. The words around are
 cut from the texts once per round. The passage is the longest stretch around the key whose exact similarity reaches the threshold. Where the
-centre is not similar, or differs inside the 22 words, the 22-word stretches around the key become keys of the next round,
-so occurrences that share nothing but a phrase part; what some rounds of centres leave is compared pair by pair inside a key.
+centre is not similar, or differs inside the 22 words, the 22-word stretches around the key become keys of the next round, and
+where this is so again, those with the words beside them (``wider_keys``). So occurrences that share nothing but a phrase part,
+whatever their number; what some rounds of centres leave is compared pair by pair inside a wider key.
 A dense group of any size costs one comparison per member and key distance.
 
 Similar stretches of a document that overlap are one passage; links between passages make components, the units of
@@ -215,10 +216,29 @@ def similar_stretch(a, b, start, size, shift, shingle, threshold, least_words):
 COMPARED = "doc_id long, start int, end int, to_id long, to_start int, to_end int, key long"
 
 
-def _compared(pieces: DataFrame, size: int, row: int, shingle: int, threshold: float, least_words: int) -> DataFrame:
+def wider_keys(words: np.ndarray, start: int, row: int) -> list[int]:
+    """Keys of the ``row`` = 22 words at ``start`` together with what stands beside them.
+
+    Similar passages that share these words and no 25 in a row have 44 to 49 words and one break, within three words of these;
+    beyond it at least 19 words are equal, and stand at most one word nearer or farther. So the keys are the four stretches of
+    25 words, and the words with 14 others on either side in three places; similar passages share one of them.
+    """
+    own, wide, beyond = _grams(words, row)[start : start + 1], _grams(words, row + 3), _grams(words, 14)
+    places = np.array([t for t in range(start, start - 4, -1) if 0 <= t < len(wide)], np.int64)
+    out = [wide[places] + (start - places).astype(np.uint64)]
+    for side, first in ((5, start + row + 3), (6, start - 14 - 5)):
+        places = np.array([t for t in range(first, first + 3) if 0 <= t < len(beyond)], np.int64)
+        out.append(own * _ORDER[20] + beyond[places] * _ORDER[21] + np.uint64(side))
+    return _mixed(np.concatenate(out)).view(np.int64).tolist()
+
+
+def _compared(
+    pieces: DataFrame, size: int, row: int, widen: bool, shingle: int, threshold: float, least_words: int
+) -> DataFrame:
     """Similar stretches, and (without ``to_id``) the keys for the next round.
 
-    ``row`` is the length of the stretches that are keys of the next round; where the keys have it already they are kept.
+    ``row`` is the length of the stretches that are keys of the next round; where the keys have it already they are kept, or
+    replaced by wider ones (``widen``).
     """
 
     def rows_of(r):
@@ -239,8 +259,12 @@ def _compared(pieces: DataFrame, size: int, row: int, shingle: int, threshold: f
                     own, to = (found[0] + r["base"], found[1] + r["base"]), (found[2] + r["to_base"], found[3] + r["to_base"])
                     rows.append((r["doc_id"], *own, r["to_id"], *to, None))
             if size == row:
-                if failed:
+                low, high = max(start - 2 * least_words, 0), min(start + row + 2 * least_words, len(a))
+                if failed and not widen:
                     rows.append((r["doc_id"], seed["start"], None, None, None, None, seed["key"]))
+                elif widen and (failed or sums[high] - sums[low] < high - low):
+                    keys = wider_keys(a[low:high], start - low, row)
+                    rows += [(r["doc_id"], seed["start"], None, None, None, None, key) for key in keys]
                 continue
             low, high = max(start + size - row, 0), min(start + row, len(a))
             if failed or sums[high] - sums[low] < high - low:
@@ -301,7 +325,7 @@ def repeated_passages(
     true for the first passage of the component (by doc_id, then start) only. Passages have ``least_words`` words at least and go
     over line ends; letters A-Z count in either case. Null and blank texts have none; what repeats inside a document only
     is not reported; rows that repeat an id are one document; rows with a
-    null id are not compared; an empty table gives no rows. ``rounds`` decides the work only, not the result's links.
+    null id are not compared; an empty table gives no rows. ``rounds`` (2 at least) decides the work only.
     """
     rows_in = columns(docs, doc_id=id_column, text=text_column)
     rows_in = rows_in.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
@@ -309,10 +333,10 @@ def repeated_passages(
     places, size, links = stored(_places(rows_in, least_words, seed, spread)), seed, None
     for turn in range(rounds + 1):
         met = _with_centres(places) if turn < rounds else _in_pairs(places)
-        compared = stored(_compared(_pieces(rows_in, met, size), size, row, shingle, threshold, least_words))
+        compared = stored(_compared(_pieces(rows_in, met, size), size, row, turn == 1, shingle, threshold, least_words))
         found = compared.filter("to_id is not null").drop("key")
         links = found if links is None else links.unionByName(found)
-        places, size = compared.filter("to_id is null").select("key", "doc_id", "start").distinct(), row
+        places, size = stored(compared.filter("to_id is null").select("key", "doc_id", "start").distinct()), row
         if places.isEmpty():
             break
     passages, joined = _passages(links.distinct(), shingle)

@@ -528,3 +528,23 @@ def test_a_passage_over_blocks_and_rows_that_repeat_an_id(spark):
     rows = [(1, prose(1, 300) + " " + long), (2, long + " " + prose(2, 90)), (2, long + " " + prose(2, 90)), (3, prose(3, 90))]
     found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {tuple(r) for r in found} == {(1, 300, 3_000, 1, 2, True), (2, 0, 3_000, 1, 2, False)}
+
+
+@pytest.mark.parametrize("change", ["replaced", "inserted", "left out"])
+def test_wider_keys_meet_in_passages_without_25_equal_words_in_a_row(change):
+    for n in range(44, 50):
+        for at in range(19, 25):
+            one = np.arange(1_000, 1_000 + n, dtype=np.uint64)
+            two = list(one)
+            two[at : at + (change != "inserted")] = [] if change == "left out" else [7]
+            runs = (at, n - at - (change != "inserted"))
+            if max(runs) > 24 or max(runs) < 22 or min(runs) < 19:
+                continue
+            start = 0 if runs[0] >= runs[1] else n - runs[1]
+            for skip in range(max(runs) - 21):
+                keys = []
+                for k, words in enumerate((one, np.array(two, np.uint64))):
+                    own = np.concatenate([np.arange(30, dtype=np.uint64) + np.uint64(100 * (k + 1)), words, np.arange(30, dtype=np.uint64) + np.uint64(500 * (k + 1))])
+                    first = int(np.flatnonzero(own == one[start + skip])[0])
+                    keys.append(set(passages.wider_keys(own, first, 22)))
+                assert keys[0] & keys[1]
