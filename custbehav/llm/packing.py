@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from custbehav.llm.common import columns, stored
 
-_KEEP_WORDS = 500_000
+# Entries of a table of known words before it becomes the older of two.
+_KEEP_WORDS = 400_000
 # Key terms of a document, and the strongest terms they are taken from.
 _KEYS, _STRONG = 4, 24
 # Letters whose lower case is not one letter, or depends on what follows.
@@ -39,11 +40,31 @@ PIECES = (
 
 # One run of letters, then signs only; the vocabulary cuts such a word between the two.
 _PLAIN = regex.compile(r"(\p{L}+)([^\s\p{L}\p{N}'<]*)")
+# The signs of ASCII among them.
+_SIGNS = b"!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 _WORD_END = "</w>"
 
 
-class WordIds(dict):
-    """Ids (little-endian, 16 or 32 bits each) of a word without white space.
+class Kept(dict):
+    """A table of bounded size. When it is full it becomes the older one, and what is asked for again comes back from there."""
+
+    def __init__(self):
+        self.older: dict = {}
+
+    def missing(self, keys: set[bytes]) -> list[bytes]:
+        """The keys that neither table has; all others are in this one afterwards."""
+        new = [key for key in keys if key not in self]
+        if self and len(self) + len(new) > _KEEP_WORDS:
+            self.older = dict(self)
+            self.clear()
+            new = list(keys)
+        older = self.older
+        self.update((key, older[key]) for key in new if key in older)
+        return [key for key in new if key not in older]
+
+
+class WordIds(Kept):
+    """Ids (little-endian, 16 or 32 bits each) of a word without white space, both as bytes.
 
     The vocabulary's pre-tokens never reach across white space, so the ids of a text are those of its words. The
     ids of a plain word are those of its letters in lower case and of its signs; new letter runs are encoded
@@ -51,6 +72,7 @@ class WordIds(dict):
     """
 
     def __init__(self, vocabulary: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -58,48 +80,53 @@ class WordIds(dict):
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith(_WORD_END) for i in range(size)])
-        self.letters: dict[str, bytes] = {}
-        self.others: dict[str, bytes] = {}
+        self.letters, self.others = Kept(), Kept()
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+    def _encode(self, words: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch([word.decode("utf-8") for word in words], add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
 
-    def _encode_letters(self, runs: list[str]) -> list[bytes]:
-        ids = np.array(self.tokenizer.encode(" ".join(runs), add_special_tokens=False).ids, self.dtype)
+    def _encode_letters(self, runs: list[bytes]) -> list[bytes]:
+        ids = np.array(self.tokenizer.encode(b" ".join(runs).decode("utf-8"), add_special_tokens=False).ids, self.dtype)
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(runs):
             return self._encode(runs)
         width, raw, ends = ids.itemsize, ids.tobytes(), cuts.tolist()
         return [raw[a * width : b * width] for a, b in zip([0, *ends], ends)]
 
-    def _add(self, known: dict, texts: set[str], encode) -> None:
-        new = [t for t in texts if t not in known]
-        if len(known) + len(new) > _KEEP_WORDS:
-            known.clear()
-            new = list(texts)
+    def _add(self, known: Kept, words: set[bytes], encode) -> None:
+        new = known.missing(words)
         if new:
             known.update(zip(new, encode(new)))
 
+    def _parts(self, word: bytes) -> tuple[bytes, bytes] | None:
+        """Letters in lower case and signs of a plain word."""
+        text = word.decode("utf-8")
+        match = _PLAIN.fullmatch(text)
+        if match and (text.isascii() or (unicodedata.is_normalized("NFC", text) and not _SPECIAL_CASES & set(text))):
+            return match[1].lower().encode("utf-8"), match[2].encode("utf-8")
+        return None
+
     def learn(self, words: set[bytes]) -> None:
-        new = [word for word in words if word not in self]
-        if len(self) + len(new) > _KEEP_WORDS:
-            self.clear()
-            new = list(words)
-        plain, rest = [], []
-        for word in new:
-            text = word.decode("utf-8")
-            match = _PLAIN.fullmatch(text)
-            if match and (text.isascii() or (unicodedata.is_normalized("NFC", text) and not _SPECIAL_CASES & set(text))):
-                plain.append((word, match[1].lower(), match[2]))
+        plain, runs, signs, rest = [], [], [], []
+        for word in self.missing(words):
+            body = word.rstrip(_SIGNS)
+            if body.isalpha():  # ASCII letters only
+                parts = body.lower(), word[len(body) :]
+            else:
+                parts = self._parts(word)
+            if parts:
+                plain.append(word)
+                runs.append(parts[0])
+                signs.append(parts[1])
             else:
-                rest.append((word, text))
-        self._add(self.letters, {letters for _, letters, _ in plain}, self._encode_letters)
-        self._add(self.others, {signs for _, _, signs in plain if signs} | {text for _, text in rest}, self._encode)
+                rest.append(word)
+        self._add(self.letters, set(runs), self._encode_letters)
+        self._add(self.others, {s for s in signs if s}.union(rest), self._encode)
         letters, others = self.letters, self.others
-        others[""] = b""
-        self.update((word, letters[run] + others[signs]) for word, run, signs in plain)
-        self.update((word, others[text]) for word, text in rest)
+        others[b""] = b""
+        self.update(zip(plain, map(bytes.__add__, map(letters.__getitem__, runs), map(others.__getitem__, signs))))
+        self.update(zip(rest, map(others.__getitem__, rest)))
 
     def of_all(self, texts: list[str | None]) -> list[bytes]:
         """Ids of some texts; null ones are empty."""
@@ -115,7 +142,10 @@ _WORD_IDS: dict[int, WordIds] = {}
 
 
 def tokenized(docs: DataFrame, vocabulary: str, end_id: int, id_column: str, text_column: str) -> tuple[DataFrame, int]:
-    """(rows of doc_id and ids with the end id, bytes per id)."""
+    """(rows of doc_id and ids with the end id, bytes per id); of every task a last row with ``counts`` instead.
+
+    ``counts`` are its documents, its tokens, and its documents with each id, 64 bits each.
+    """
     with open(vocabulary, encoding="utf-8") as file:
         text = file.read()
     content = docs.sparkSession.sparkContext.broadcast(text)
@@ -127,42 +157,41 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int, id_column: str, tex
             _WORD_IDS[key] = WordIds(content.value)
         words = _WORD_IDS[key]
         end = np.array([end_id], words.dtype).tobytes()
+        counts = np.zeros(2 + max(len(words.ends), end_id + 1), np.int64)
+        frequency, names = counts[2:], ["doc_id", "ids", "counts"]
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
                 ids = [own + end for own in words.of_all(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+                for own in ids:
+                    frequency[np.unique(np.frombuffer(own, words.dtype))] += 1
+                counts[:2] += len(ids), sum(map(len, ids)) // words.dtype.itemsize
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names)
+        if counts[0]:
+            last = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts.tobytes()])]
+            yield pa.RecordBatch.from_arrays(last, names)
 
     rows = columns(docs, doc_id=id_column, text=text_column).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(task, "doc_id long, ids binary"), width
+    return rows.mapInArrow(task, "doc_id long, ids binary, counts binary"), width
 
 
-def _statistics(rows: DataFrame, width: int) -> tuple[np.ndarray, int, int]:
+def _statistics(rows: DataFrame) -> tuple[np.ndarray, int, int]:
     """(document frequency of every id, documents, tokens): one number per id of the vocabulary."""
-    dtype = f"<u{width}"
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequency = np.zeros(1 << 16, np.int64)
-        documents = tokens = 0
+        total = 0
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                own = np.frombuffer(ids, dtype)
-                documents, tokens = documents + 1, tokens + len(own)
-                seen = np.unique(own)
-                if seen[-1] >= len(frequency):
-                    frequency = np.concatenate((frequency, np.zeros(int(seen[-1]) + 1 - len(frequency), np.int64)))
-                frequency[seen] += 1
-        used = np.flatnonzero(frequency)
-        keys = np.concatenate(([-1, -2], used))
-        values = np.concatenate(([documents, tokens], frequency[used]))
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(values)], ["id", "n"])
-
-    counted = rows.select("ids").mapInArrow(task, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    found = dict(counted.collect())  # one row per id of the vocabulary
-    documents, tokens = found.pop(-1, 0), found.pop(-2, 0)
-    frequency = np.zeros(max(found, default=0) + 1, np.int64)
+            total = sum((np.frombuffer(own, np.int64) for own in batch.column(0).to_pylist()), total)
+        used = np.flatnonzero(total)
+        if len(used):
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
+
+    counts = rows.filter("counts is not null").select("counts").mapInArrow(task, "id long, n long")
+    found = dict(counts.groupBy("id").agg(F.sum("n").alias("n")).collect())  # one row per id of the vocabulary
+    documents, tokens = found.pop(0, 0), found.pop(1, 0)
+    frequency = np.zeros(max(max(found, default=0) - 1, 1), np.int64)
     for key, n in found.items():
-        frequency[key] = n
+        frequency[key - 2] = n
     return frequency, documents, tokens
 
 
@@ -326,7 +355,8 @@ def pack(
     """
     rows, width = tokenized(docs, vocabulary, end_id, id_column, text_column)
     rows = stored(rows)
-    frequency, documents, tokens = _statistics(rows, width)
+    frequency, documents, tokens = _statistics(rows)
+    rows = rows.filter("counts is null").select("doc_id", "ids")
     idf = np.log1p((documents - frequency + 0.5) / (frequency + 0.5))
     sent = docs.sparkSession.sparkContext.broadcast((idf, tokens / max(documents, 1), frequency))
     dtype = f"<u{width}"

@@ -83,6 +83,62 @@ def test_packing(documents, rows):
         assert got == collections.Counter((i, v) for ids in wanted[key] for i, v in enumerate(ids))
 
 
+def test_packing_with_further_columns_and_other_partitions(documents, crowded):
+    """Where documents are cut depends on the partitions, what the pieces add up to does not."""
+
+    def whole(docs):
+        parts = collections.defaultdict(collections.Counter)
+        for p in packing.pack(docs, WORD_FILE, 2, window=1024, shard_tokens=30_000).collect():
+            parts[p.doc_id, p.doc_tokens].update((p.start + i, int(v)) for i, v in enumerate(np.frombuffer(p.ids, "<u4")))
+        return parts
+
+    assert whole(crowded) == whole(documents.repartition(7))
+
+
+def test_statistics_of_packing(documents, rows):
+    frame, _ = packing.tokenized(documents, WORD_FILE, 2, "doc_id", "text")
+    frequency, count, tokens = packing._statistics(frame)
+    ids = [Tokenizer.from_file(WORD_FILE).encode(r.text or "", add_special_tokens=False).ids + [2] for r in rows]
+    expected = collections.Counter(i for own in ids for i in set(own))
+    assert {i: int(n) for i, n in enumerate(frequency) if n} == expected
+    assert (count, tokens) == (len(ids), sum(map(len, ids)))
+
+
+def test_neighbours_are_in_the_order_of_bm25():
+    """Every score by hand, term after term."""
+    draw = np.random.default_rng(3)
+    ids = [draw.zipf(1.3, int(n)).clip(0, 299) for n in draw.integers(5, 200, 80)]
+    frequency = np.bincount(np.concatenate([np.unique(own) for own in ids]), minlength=300)
+    idf = np.log1p((80 - frequency + 0.5) / (frequency + 0.5))
+    mean = float(np.mean([len(own) for own in ids]))
+    shard = packing.Shard(list(range(80)), ids, idf, mean, None, 1.2, 0.75)
+    for seed in range(80):
+        scores = {}
+        for other in range(80):
+            tf = collections.Counter(ids[other].tolist())
+            terms = [t for t in set(ids[seed].tolist()) if t in tf]
+            if other != seed and other % 7 and terms:
+                norm = 1.2 * (0.25 + 0.75 * len(ids[other]) / mean)
+                scores[other] = sum(idf[t] * tf[t] * 2.2 / (tf[t] + norm) for t in terms)
+        unused = np.array([i != seed and i % 7 > 0 for i in range(80)])
+        found = shard.neighbours(seed, unused).tolist()
+        assert set(found) == set(scores)
+        assert np.allclose([scores[i] for i in found], sorted(scores.values(), reverse=True))
+
+
+def test_a_full_table_of_words_keeps_what_is_asked_for_again(monkeypatch):
+    monkeypatch.setattr(packing, "_KEEP_WORDS", 40)
+    tokenizer, ids = Tokenizer.from_file(WORD_FILE), packing.WordIds(open(WORD_FILE).read())
+    asked = []
+    encode = ids._encode_letters
+    monkeypatch.setattr(ids, "_encode_letters", lambda runs: asked.extend(runs) or encode(runs))
+    for i in range(60):
+        text = "the same Words, again (and again) " + prose(i, 25, 2000) + " É\u00e9n \u0130x don't <|endoftext|> a1 \x1f ... ''"
+        assert np.frombuffer(ids.of(text), ids.dtype).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(ids) <= 40 + len(text.split()) and len(ids.letters) <= 40 + len(text.split())
+    assert asked.count(b"again") == 1
+
+
 def test_packing_puts_related_documents_together(spark):
     topics = [[prose(100 + t, 300, 60) for _ in range(1)][0].split() for t in range(8)]
     docs = []
