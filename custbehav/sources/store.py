@@ -17,7 +17,7 @@ import uuid
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from custbehav.schema import EVENTS, MANIFEST, QUALITY_LOG, REGISTRY, RUN_LOG
 from custbehav.sources import versions
@@ -78,7 +78,7 @@ class EventStore:
 
     def events(self) -> DataFrame:
         """Events of all current loads. Their folders are named by the manifest, one row per source."""
-        schema = StructType(EVENTS.fields).add("load_id", LongType())
+        schema = StructType([*EVENTS.fields, StructField("load_id", LongType())])
         paths = [self.load_path(row["source_file"], row["load_id"]) for row in self.current_loads().collect()]
         if not paths:
             return self.spark.createDataFrame([], EVENTS)
@@ -92,7 +92,7 @@ class EventStore:
         """
         if not self.has_events():
             return self.spark.createDataFrame([], "source_file string, load_id long, rows long, state string")
-        schema = StructType(EVENTS.fields).add("load_id", LongType())
+        schema = StructType([*EVENTS.fields, StructField("load_id", LongType())])
         folders = self.spark.read.schema(schema).parquet(self.path("events")).groupBy("source_file", "load_id")
         loads = folders.agg(F.count(F.lit(1)).alias("rows"))
         committed = self.log("manifest").select("source_file", "load_id", F.lit(True).alias("_committed"))

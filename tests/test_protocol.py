@@ -13,7 +13,7 @@ from custbehav.config import PipelineConfig
 from custbehav.operators import quality, readiness, silhouette
 from custbehav.plans import models, snapshots
 from custbehav.plans.ingest import judge_loads, persist_reports
-from custbehav.schema import RAW
+from custbehav.schema import EVENTS, RAW
 from custbehav.sources.raw_files import NULL_TOKENS, read_csv
 from custbehav.sources.store import EventStore
 from tests.fixtures import made, raw_frame
@@ -121,6 +121,12 @@ def test_states_of_loads(spark, tmp_path):
     assert states == [(1, 3, "SUPERSEDED"), (2, 2, "CURRENT"), (3, 4, "ORPHAN")] and store.events().count() == 2
 
 
+def test_reading_events_leaves_the_schema_alone(spark, tmp_path):
+    fields = list(EVENTS.fields)
+    EventStore(spark, str(tmp_path)).events()
+    assert EVENTS.fields == fields
+
+
 def test_loads_judged_in_one_job(spark):
     good = [made(who=i, price=5.0) for i in range(20)]
     cheap = [made(who=i, price=0.005) for i in range(20)]
