@@ -13,14 +13,17 @@ into sequences whose lengths are powers of two and need no padding.
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 import zlib
-from collections.abc import Iterator
-from itertools import chain
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -28,9 +31,13 @@ from pyspark.sql import DataFrame, functions as F
 from custbehav.llm.common import columns, stored
 
 # Entries of a table of known words before it becomes the older of two.
-_KEEP_WORDS = 400_000
+_KEEP_WORDS = 800_000
 # Key terms of a document, and the strongest terms they are taken from.
 _KEYS, _STRONG = 4, 24
+# Rows whose keys limit a range of documents.
+_LIMIT_ROWS = 100
+# A term is common in a shard if more than this share of the documents have it.
+_COMMON = 0.2
 # Letters whose lower case is not one letter, or depends on what follows.
 _SPECIAL_CASES = frozenset("\u0130\u03a3")
 PIECES = (
@@ -41,19 +48,47 @@ PIECES = (
 # One run of letters, then signs only; the vocabulary cuts such a word between the two.
 _PLAIN = regex.compile(r"(\p{L}+)([^\s\p{L}\p{N}'<]*)")
 # The signs of ASCII among them.
-_SIGNS = b"!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
+_SIGNS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
+# The white space of bytes.split, and for every byte whether it is that.
+_SPACES = b" \t\n\r\x0b\x0c"
+_IS_SPACE = bytes(b in _SPACES for b in range(256))
+# Latin letters up to U+024F: NFC leaves them alone, and each but U+0130 has one letter in lower case. Their bytes are below this.
+_LATIN, _LATIN_END = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+$", 0xCA
+# The letters that vocabularies of bytes write for bytes; the space between words stays.
+_BYTE_LETTERS = np.arange(256, dtype="<u2")
+_BYTE_LETTERS[[*range(0x20), *range(0x7F, 0xA1), 0xAD]] = [*range(0x100, 0x120), *range(0x121, 0x144)]
+# Text whose words are looked up at a time; a longer text is taken alone.
+_SLICE_BYTES = 8 << 20
 _WORD_END = "</w>"
 
 
+def _listed(words: pa.Array) -> list[bytes]:
+    return words.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+
+
 class Kept(dict):
     """A table of bounded size. When it is full it becomes the older one, and what is asked for again comes back from there."""
 
     def __init__(self):
         self.older: dict = {}
 
-    def missing(self, keys: set[bytes]) -> list[bytes]:
+    def missing(self, keys: Iterable[bytes]) -> list[bytes]:
         """The keys that neither table has; all others are in this one afterwards."""
-        new = [key for key in keys if key not in self]
+        return self._new(keys, [key for key in keys if key not in self])
+
+    def of_all(self, keys: list[bytes], encode) -> list[bytes]:
+        """The values of different keys; those that neither table has are encoded."""
+        values = [*map(self.get, keys)]
+        if None in values:
+            unknown = [key for key, value in zip(keys, values) if value is None]
+            new = self._new(keys, unknown)
+            if new:
+                self.update(zip(new, encode(new)))
+            values = [self[key] if value is None else value for key, value in zip(keys, values)]
+        return values
+
+    def _new(self, keys: Iterable[bytes], new: list[bytes]) -> list[bytes]:
+        """``new`` are those of the keys that this table does not have."""
         if self and len(self) + len(new) > _KEEP_WORDS:
             self.older = dict(self)
             self.clear()
@@ -68,7 +103,8 @@ class WordIds(Kept):
 
     The vocabulary's pre-tokens never reach across white space, so the ids of a text are those of its words. The
     ids of a plain word are those of its letters in lower case and of its signs; new letter runs are encoded
-    many at a time, the last token of each tells where it ends.
+    many at a time, the last token of each tells where it ends. Plain words of Latin letters are told apart by column and
+    looked up by their letters; this table has the others.
     """
 
     def __init__(self, vocabulary: str):
@@ -81,19 +117,33 @@ class WordIds(Kept):
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith(_WORD_END) for i in range(size)])
         self.letters, self.others = Kept(), Kept()
+        # For letters in lower case the normalizer and the patterns of the vocabulary change nothing, only its letters for bytes.
+        plain = {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
+        self.of_letters = Tokenizer.from_str(json.dumps(json.loads(vocabulary) | plain))
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch([word.decode("utf-8") for word in words], add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
 
-    def _encode_letters(self, runs: list[bytes]) -> list[bytes]:
-        ids = np.array(self.tokenizer.encode(b" ".join(runs).decode("utf-8"), add_special_tokens=False).ids, self.dtype)
+    def _encode_runs(self, runs: list[bytes], latin: bool) -> list[bytes]:
+        raw = b" ".join(runs)
+        text = _BYTE_LETTERS[np.frombuffer(raw, np.uint8)].tobytes().decode("utf-16-le") if latin else raw.decode("utf-8")
+        tokenizer = self.of_letters if latin else self.tokenizer
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(runs):
             return self._encode(runs)
         width, raw, ends = ids.itemsize, ids.tobytes(), cuts.tolist()
         return [raw[a * width : b * width] for a, b in zip([0, *ends], ends)]
 
+    def _encode_letters(self, runs: list[bytes]) -> list[bytes]:
+        if max(b"".join(runs)) < _LATIN_END:
+            return self._encode_runs(runs, True)
+        latin = [max(run) < _LATIN_END for run in runs]
+        quick = iter(self._encode_runs([*compress(runs, latin)], True)) if any(latin) else iter(())
+        others = iter(self._encode_runs([run for run, own in zip(runs, latin) if not own], False))
+        return [next(quick if own else others) for own in latin]
+
     def _add(self, known: Kept, words: set[bytes], encode) -> None:
         new = known.missing(words)
         if new:
@@ -107,14 +157,24 @@ class WordIds(Kept):
             return match[1].lower().encode("utf-8"), match[2].encode("utf-8")
         return None
 
-    def learn(self, words: set[bytes]) -> None:
+    def _of_latin(self, words: pa.Array, bodies: pa.Array) -> list[bytes]:
+        """Ids of words of Latin letters, given without their signs as well."""
+        runs = pc.utf8_lower(bodies).dictionary_encode()
+        distinct = _listed(runs.dictionary)
+        own = pa.array(self.letters.of_all(distinct, self._encode_letters), pa.large_binary())
+        found = _listed(own.take(runs.indices))
+        cuts = pc.binary_length(bodies).to_numpy()
+        signed = np.flatnonzero(cuts < pc.binary_length(words).to_numpy())
+        signs = [word[cut:] for word, cut in zip(_listed(words.take(signed)), cuts[signed].tolist())]
+        self._add(self.others, set(signs), self._encode)
+        for i, own in zip(signed.tolist(), signs):
+            found[i] += self.others[own]
+        return found
+
+    def learn(self, words: list[bytes]) -> None:
         plain, runs, signs, rest = [], [], [], []
         for word in self.missing(words):
-            body = word.rstrip(_SIGNS)
-            if body.isalpha():  # ASCII letters only
-                parts = body.lower(), word[len(body) :]
-            else:
-                parts = self._parts(word)
+            parts = self._parts(word)
             if parts:
                 plain.append(word)
                 runs.append(parts[0])
@@ -128,19 +188,57 @@ class WordIds(Kept):
         self.update(zip(plain, map(bytes.__add__, map(letters.__getitem__, runs), map(others.__getitem__, signs))))
         self.update(zip(rest, map(others.__getitem__, rest)))
 
-    def of_all(self, texts: list[str | None]) -> list[bytes]:
+    def of_distinct(self, words: pa.Array) -> pa.Array:
+        """Ids of different words."""
+        bodies = pc.ascii_rtrim(words, _SIGNS)
+        latin = pc.match_substring_regex(bodies, _LATIN)
+        other = pc.invert(latin)
+        rest = _listed(words.filter(other))
+        self.learn(rest)
+        found = self._of_latin(words.filter(latin), bodies.filter(latin)) + [*map(self.__getitem__, rest)]
+        order = np.concatenate([np.flatnonzero(latin), np.flatnonzero(other)])
+        return pa.array(found, pa.large_binary()).take(pa.array(np.argsort(order)))
+
+    def of_all(self, texts: pa.Array) -> list[bytes]:
         """Ids of some texts; null ones are empty."""
-        split = [(text or "").encode("utf-8", "replace").split() for text in texts]
-        self.learn(set(chain.from_iterable(split)))
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
+        limits = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        held = texts.buffers()[2].slice(limits[0], limits[-1] - limits[0]).to_pybytes() if limits[-1] > limits[0] else b""
+        if not held.strip():
+            return [b""] * len(texts)
+        limits = limits - limits[0]
+        first = np.zeros(len(held) + 1, bool)
+        first[limits] = True
+        space = np.frombuffer(held.translate(_IS_SPACE), bool)
+        # A word begins after white space or with a text, and ends before white space or with a text.
+        starts = np.flatnonzero(~space & (first[:-1] | np.concatenate([[True], space[:-1]])))
+        ends = np.flatnonzero(~space & (first[1:] | np.concatenate([space[1:], [True]]))) + 1
+        offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(held.translate(None, _SPACES))]
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+        ids = self.of_distinct(words.dictionary.cast(pa.large_string())).take(words.indices)
+        places = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset :]
+        cuts = places[np.searchsorted(starts, limits)].tolist()
+        raw = ids.buffers()[2].to_pybytes()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def of(self, text: str) -> bytes:
-        return self.of_all([text])[0]
+        return self.of_all(pa.array([text.encode("utf-8", "replace")], pa.large_binary()))[0]
 
 
 _WORD_IDS: dict[int, WordIds] = {}
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with texts of bounded size, or one text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64)
+    until, low = np.cumsum(sizes), 0
+    while low < len(until):
+        high = int(np.searchsorted(until, until[low] - sizes[low] + _SLICE_BYTES, side="right"))
+        yield batch.slice(low, max(high - low, 1))
+        low = max(high, low + 1)
+
+
 def tokenized(docs: DataFrame, vocabulary: str, end_id: int, id_column: str, text_column: str) -> tuple[DataFrame, int]:
     """(rows of doc_id and ids with the end id, bytes per id); of every task a last row with ``counts`` instead.
 
@@ -160,11 +258,10 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int, id_column: str, tex
         counts = np.zeros(2 + max(len(words.ends), end_id + 1), np.int64)
         frequency, names = counts[2:], ["doc_id", "ids", "counts"]
         for batch in batches:
-            for low in range(0, batch.num_rows, 512):
-                part = batch.slice(low, 512)
-                ids = [own + end for own in words.of_all(part.column(1).to_pylist())]
+            for part in _slices(batch):
+                ids = [own + end for own in words.of_all(part.column(1))]
                 for own in ids:
-                    frequency[np.unique(np.frombuffer(own, words.dtype))] += 1
+                    frequency[_distinct(np.frombuffer(own, words.dtype))[0]] += 1
                 counts[:2] += len(ids), sum(map(len, ids)) // words.dtype.itemsize
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names)
         if counts[0]:
@@ -195,38 +292,68 @@ def _statistics(rows: DataFrame) -> tuple[np.ndarray, int, int]:
     return frequency, documents, tokens
 
 
+def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids, ascending, and how often each stands there."""
+    ids = np.sort(ids)
+    first = np.ones(len(ids) + 1, bool)
+    np.not_equal(ids[1:], ids[:-1], out=first[1:-1])
+    starts = first.nonzero()[0]
+    return ids[starts[:-1]], starts[1:] - starts[:-1]
+
+
 def _weighed(ids: np.ndarray, idf: np.ndarray, mean_length: float, k1: float, b: float) -> tuple[np.ndarray, np.ndarray]:
     """The distinct terms of a document and their BM25 weights."""
-    term, tf = np.unique(ids, return_counts=True)
+    term, tf = _distinct(ids)
     norm = k1 * (1 - b + b * len(ids) / mean_length)
     return term.astype(np.int64), idf[term] * (tf * (k1 + 1) / (tf + norm))
 
 
+def _place(row) -> tuple:
+    """Keys, doc_id and mark in their order; a null id comes first."""
+    *keys, name, mark = row
+    return *keys, name is not None, name or 0, mark
+
+
 def key_terms(term: np.ndarray, weight: np.ndarray, frequency: np.ndarray) -> np.ndarray:
     """Of the strongest terms that other documents have too, those that most documents have."""
     shared = frequency[term] > 1
-    term, weight = term[shared], weight[shared]
+    if not shared.all():
+        term, weight = term[shared], weight[shared]
     strongest = term[np.argsort(-weight, kind="stable")[: min(_STRONG, (len(term) + 1) // 2)]]
     return strongest[np.lexsort((strongest, -frequency[strongest]))][:_KEYS]
 
 
-def _in_order(rows: DataFrame, width: int, sent, k1: float, b: float) -> DataFrame:
-    """The documents of the whole corpus by their key terms; ranges of keys, so no key is bound to one task."""
-    dtype, names = f"<u{width}", [f"key{i}" for i in range(_KEYS)]
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf, mean_length, frequency = sent.value
-        for batch in batches:
-            keys = np.full((_KEYS, batch.num_rows), -1, np.int32)
-            for row, raw in enumerate(batch.column(1).to_pylist()):
-                found = key_terms(*_weighed(np.frombuffer(raw, dtype), idf, mean_length, k1, b), frequency)
-                keys[: len(found), row] = found
-            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, keys)], ["doc_id", "ids", *names])
+def _in_order(rows: DataFrame, width: int, sent, documents: int, parts: int, k1: float, b: float) -> DataFrame:
+    """The documents of the whole corpus by their key terms, in up to ``parts`` ranges of keys, so no key is bound to one task.
 
-    keyed = rows.mapInArrow(task, "doc_id long, ids binary, " + ", ".join(f"{n} int" for n in names))
-    order = [*names, "doc_id", "mark"]
-    keyed = keyed.withColumn("mark", F.xxhash64("ids")).repartitionByRange(*order).sortWithinPartitions(*order)
-    return keyed.select("doc_id", "ids")
+    The limits of the ranges are keys of some rows (about ``_LIMIT_ROWS`` a range), so the terms of the others are
+    counted once.
+    """
+    dtype, names = f"<u{width}", [f"key{i}" for i in range(_KEYS)]
+    context, order = rows.sparkSession.sparkContext, [*names, "doc_id", "mark"]
+
+    def keyed(rows: DataFrame, limits) -> DataFrame:
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            (idf, mean_length, frequency), bounds = sent.value, limits.value
+            for batch in batches:
+                keys = np.full((_KEYS, batch.num_rows), -1, np.int32)
+                marks, part = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int32)
+                for row, (name, raw) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                    found = key_terms(*_weighed(np.frombuffer(raw, dtype), idf, mean_length, k1, b), frequency)
+                    keys[: len(found), row], marks[row] = found, zlib.crc32(raw)
+                    part[row] = bisect_right(bounds, _place((*keys[:, row].tolist(), name, int(marks[row]))))
+                yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, (*keys, marks, part))], ["doc_id", "ids", *order[:-2], "mark", "part"])
+
+        fields = "doc_id long, ids binary, " + ", ".join(f"{n} int" for n in names) + ", mark long, part int"
+        return rows.mapInArrow(task, fields)
+
+    bounds = []
+    if parts > 1:
+        some = rows.sample(min(1.0, parts * _LIMIT_ROWS / documents), seed=1)
+        found = sorted({_place(row) for row in keyed(some, context.broadcast([])).select(*order).collect()})
+        bounds = [found[len(found) * i // parts] for i in range(1, parts) if found]
+    dealt = keyed(rows, context.broadcast(bounds)).repartitionById(parts, "part")
+    return dealt.sortWithinPartitions(*order).select("doc_id", "ids")
 
 
 class Shard:
@@ -234,31 +361,57 @@ class Shard:
 
     def __init__(self, names, ids, idf, mean_length, query_terms, k1, b):
         self.names, self.ids = names, ids
-        self.lengths = np.array([len(x) for x in ids])
-        terms, docs, weights = [], [], []
-        for number, own in enumerate(ids):
-            term, weight = _weighed(own, idf, mean_length, k1, b)
-            terms.append(term)
-            docs.append(np.full(len(term), number, np.int64))
-            weights.append(weight)
+        self.lengths, codes = np.array([len(x) for x in ids]), {}
+        self.codes = np.array([codes.setdefault(name, len(codes)) for name in names])
+        self.copies = len(codes) < len(names)
+        terms, weights = zip(*(_weighed(own, idf, mean_length, k1, b) for own in ids))
         self.strongest = []
         for term, weight in zip(terms, weights):
             if query_terms is not None and len(term) > query_terms:
                 term = term[np.argpartition(-weight, query_terms - 1)[:query_terms]]
             self.strongest.append(term)
-        term, self.docs, self.weights = map(np.concatenate, (terms, docs, weights))
-        order = np.argsort(term, kind="stable")
-        self.docs, self.weights = self.docs[order], self.weights[order]
-        self.starts = np.searchsorted(term[order], np.arange(len(idf) + 1))
+        term, docs = np.concatenate(terms), np.repeat(np.arange(len(ids)), [len(own) for own in terms])
+        order = np.argsort(term.astype(np.min_scalar_type(len(idf))), kind="stable")
+        self.docs, self.weights = docs[order], np.concatenate(weights)[order]
+        sizes = np.bincount(term, minlength=len(idf))
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        # The documents in the index; terms that many of them have are rows with a weight for each.
+        self.members = np.arange(len(ids))
+        common = np.flatnonzero(sizes > _COMMON * len(ids))
+        self.row = np.full(len(idf), -1)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), len(ids)))
+        for own, a, b in zip(self.rows, self.starts[common].tolist(), self.starts[common + 1].tolist()):
+            own[self.docs[a:b]] = self.weights[a:b]
+        self._choose(np.repeat(self.row < 0, sizes))
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused documents with a term of the seed, best first."""
-        spans = [(self.starts[t], self.starts[t + 1]) for t in self.strongest[seed]]
-        docs = np.concatenate([self.docs[a:b] for a, b in spans])
-        weights = np.concatenate([self.weights[a:b] for a, b in spans])
-        scores = np.bincount(docs, weights, len(self.names)) * unused
+        terms = self.strongest[seed]
+        rows = self.row[terms]
+        terms, rows = terms[rows < 0], rows[rows >= 0].tolist()
+        spans = [*zip(self.starts[terms].tolist(), self.starts[terms + 1].tolist())]
+        docs = np.concatenate([self.docs[:0], *(self.docs[a:b] for a, b in spans)])
+        weights = np.concatenate([self.weights[:0], *(self.weights[a:b] for a, b in spans)])
+        scores = np.bincount(docs, weights, len(self.members)).astype(float, copy=False)
+        for row in rows:
+            scores += self.rows[row]
+        scores *= unused[self.members]
         found = np.flatnonzero(scores)
-        return found[np.argsort(-scores[found], kind="stable")]
+        return self.members[found[np.argsort(-scores[found], kind="stable")]]
+
+    def _choose(self, kept: np.ndarray) -> None:
+        """Only some of the index's single entries remain."""
+        self.starts = np.concatenate([[0], np.cumsum(kept)])[self.starts]
+        self.docs, self.weights = self.docs[kept], self.weights[kept]
+
+    def _keep(self, unused: np.ndarray) -> None:
+        """Take the documents that are used out of the index once they are a fifth of it."""
+        kept = unused[self.members]
+        if np.count_nonzero(kept) < 0.8 * len(kept):
+            self._choose(kept[self.docs])
+            self.docs = (np.cumsum(kept) - 1)[self.docs]
+            self.rows, self.members = self.rows[:, kept], self.members[kept]
 
     def windows(self, size: int) -> Iterator[list[tuple[int, int, int]]]:
         """Lists of (document, start, length) that add up to ``size``, the last one to less."""
@@ -289,22 +442,27 @@ class Shard:
 
     def _fill(self, seed, unused, window, room):
         """Add the neighbours that fit; returns the best that does not, to be cut."""
-        here = {self.names[piece[0]] for piece in window}
-        too_long = None
-        for number in self.neighbours(seed, unused):
-            number = int(number)
-            if self.names[number] in here:
-                continue  # a copy of what the window holds
-            length = int(self.lengths[number])
-            if length <= room:
-                window.append((number, 0, length))
-                unused[number] = False
-                here.add(self.names[number])
-                room -= length
-                if not room:
-                    return None
-            elif too_long is None:
-                too_long = number
+        self._keep(unused)
+        order, too_long = self.neighbours(seed, unused), None
+        # A copy of what the window holds is left out.
+        if self.copies:
+            order = order[~np.isin(self.codes[order], self.codes[[piece[0] for piece in window]])]
+        while len(order):
+            fits = self.lengths[order] <= room
+            first = int(np.argmax(fits))
+            if too_long is None and not fits[0]:
+                too_long = int(order[0])
+            if not fits[first]:
+                break
+            number = int(order[first])
+            window.append((number, 0, int(self.lengths[number])))
+            unused[number] = False
+            room -= int(self.lengths[number])
+            if not room:
+                return None
+            order = order[first + 1 :]
+            if self.copies:
+                order = order[self.codes[order] != self.codes[number]]
         if too_long is None:
             return None
         unused[too_long] = False
@@ -393,5 +551,8 @@ def pack(
             for sequence, out in packed(names, ids, sequence):
                 yield out
 
-    pieces = _in_order(rows, width, sent, k1, b).mapInArrow(task, PIECES)
+    # A task gets a whole shard at least.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(min(tasks, tokens // shard_tokens), 1)
+    pieces = _in_order(rows, width, sent, documents, parts, k1, b).mapInArrow(task, PIECES)
     return pieces if with_ids else pieces.drop("ids")

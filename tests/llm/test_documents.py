@@ -9,8 +9,10 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from custbehav.llm import bpe, lm, mixing, packing, passages, quality, secrets, simhash
@@ -172,6 +174,58 @@ def test_a_seed_asks_with_all_its_terms():
     assert shard.neighbours(0, np.array([False, True, True])).tolist() == [1]
 
 
+def test_latin_words_are_encoded_as_the_library_does():
+    tokenizer, ids = Tokenizer.from_file(WORD_FILE), packing.WordIds(open(WORD_FILE).read())
+    letters = [chr(c) for c in range(0xC0, 0x250)]
+    texts = [f"{c}a B{c}{c}. \u0394{c}\n{c}" for c in letters] + ["", " \n", "H\u0331a A\u0301, \u212a \u00e9(", "\u00aa \u00d7 a\u00adb"]
+    for text, found in zip([*texts, ""], ids.of_all(pa.array([*texts, None]))):
+        assert np.frombuffer(found, ids.dtype).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    runs = [c.lower().encode() for c in letters if len(c.lower()) == 1] + [b"plain"]
+    assert ids._encode_letters(runs) == ids._encode(runs)
+    assert len(ids) < 20 + 2 * len(letters) and b"B\xc3\xa9\xc3\xa9." not in ids  # plain words are looked up by their letters
+
+
+def test_used_documents_leave_the_index(monkeypatch):
+    draw = np.random.default_rng(5)
+    ids = [draw.zipf(1.4, int(n)).clip(0, 199) for n in draw.integers(5, 150, 300)]
+    names = [None if i % 41 == 0 else i // 2 if i % 17 == 0 else i for i in range(300)]
+    idf = np.log1p(300 / (1 + np.bincount(np.concatenate([np.unique(own) for own in ids]), minlength=200)))
+
+    def windows():
+        shard = packing.Shard(names, ids, idf, 75.0, None, 1.2, 0.75)
+        entries = len(shard.docs)
+        return list(shard.windows(256)), len(shard.docs) / max(entries, 1), len(shard.rows)
+
+    found, left, rows = windows()
+    assert left < 0.5 and rows > 0
+    monkeypatch.setattr(packing, "_COMMON", 2)
+    monkeypatch.setattr(packing.Shard, "_keep", lambda self, unused: None)
+    assert windows() == (found, 1, 0)
+    assert sorted(n for own in found for n, start, _ in own if not start) == list(range(300))
+
+
+def test_ranges_of_key_terms_follow_each_other(spark):
+    """Terms of a row are counted once; without a job that reads all rows for the limits."""
+    draw = np.random.default_rng(8)
+    rows = [(None if i % 50 == 0 else i, (draw.zipf(1.3, 30).clip(0, 99)).astype("<u2").tobytes()) for i in range(2000)]
+    rows += [(7, rows[7][1])] * 400
+    frame = spark.createDataFrame(rows, "doc_id long, ids binary").repartition(5)
+    frequency = np.bincount(np.concatenate([np.unique(np.frombuffer(r[1], "<u2")) for r in rows]), minlength=100)
+    idf = np.log1p(2400 / (1 + frequency))
+    sent = spark.sparkContext.broadcast((idf, 30.0, frequency))
+    dealt = packing._in_order(frame, 2, sent, 2400, 6, 1.2, 0.75)
+    assert "rangepartitioning" not in dealt._jdf.queryExecution().toString().lower()
+    parts = dealt.select("*", F.spark_partition_id().alias("part")).collect()
+    assert sorted(map(repr, ((r.doc_id, bytes(r.ids)) for r in parts))) == sorted(map(repr, rows))
+
+    def place(r):
+        keys = packing.key_terms(*packing._weighed(np.frombuffer(r.ids, "<u2"), idf, 30.0, 1.2, 0.75), frequency).tolist()
+        return *keys, *[-1] * (4 - len(keys)), r.doc_id is not None, r.doc_id or 0, zlib.crc32(r.ids)
+
+    placed = [(r.part, place(r)) for r in parts]
+    assert placed == sorted(placed) and len({part for part, _ in placed}) > 3
+
+
 def test_lm_base_score(documents, rows):
     counts = collections.Counter()
     held = lambda r: zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 10 == 0
