@@ -177,14 +177,18 @@ def _pieces(docs: DataFrame, met: DataFrame, size: int) -> DataFrame:
     return stored(texts.select("doc_id", "text", "wanted").mapInArrow(task, PIECES))
 
 
-def similar_stretch(a, b, start, size, shift, shingle, threshold, least_words):
+def _loss(threshold: float) -> int:
+    """What a shingle that only one side has costs, in shingles that both have."""
+    return round(2 * threshold / (1 - threshold)) if threshold < 1 else 10**6
+
+
+def similar_stretch(grams_a, grams_b, shared, start, size, shift, shingle, threshold, least_words):
     """The longest similar stretch around the ``size`` words at ``start``: (low, high) in ``a`` and in ``b``, or None.
 
-    ``shift`` is how far the words stand later in ``a``. A shingle counts 1 if the other side has it, else the
+    The sides are given by their shingles; ``shared`` tells which of ``a`` the other side has. ``shift`` is how far the words stand later in ``a``. A shingle counts 1 if the other side has it, else the
     loss that its like on both sides costs at the threshold; the stretch is the longest one with a sum of 0 or more
     that passes the exact test; failing that, the same along equal places, and the equal words around the key.
     """
-    grams_a, grams_b = _grams(a, shingle), _grams(b, shingle)
     low, high = start, start + size - shingle + 1
     if low < 0 or high > len(grams_a):
         return None
@@ -194,8 +198,8 @@ def similar_stretch(a, b, start, size, shift, shingle, threshold, least_words):
         beside[first:last] = grams_a[first:last] == grams_b[first - shift : last - shift]
     if not beside[low:high].all():
         return None
-    loss = round(2 * threshold / (1 - threshold)) if threshold < 1 else 10**6
-    for equal, cost in ((np.isin(grams_a, grams_b), loss), (beside, loss), (beside, 10**6)):
+    loss = _loss(threshold)
+    for equal, cost in ((shared, loss), (beside, loss), (beside, 10**6)):
         sums = np.concatenate([[0], np.cumsum(np.where(equal, 1, -cost))])
         ahead = np.maximum.accumulate(sums[high:][::-1])[::-1]
         ends = high + np.searchsorted(-ahead, -sums[: low + 1], side="right") - 1
@@ -216,6 +220,24 @@ def similar_stretch(a, b, start, size, shift, shingle, threshold, least_words):
 COMPARED = "doc_id long, start int, end int, to_id long, to_start int, to_end int, key long"
 
 
+def _wider_keys(words: np.ndarray, starts: np.ndarray, row: int) -> tuple[np.ndarray, np.ndarray]:
+    """``wider_keys`` of many places: the number of the place in ``starts``, and the key."""
+    own, wide, beyond = _grams(words, row), _grams(words, row + 3), _grams(words, 14)
+    number, places, out = np.flatnonzero(starts < len(own)), [], []
+    starts, own = starts[number], own[starts[number]]
+    for back in range(4):
+        at = starts - back
+        here = (at >= 0) & (at < len(wide))
+        places.append(number[here])
+        out.append(wide[at[here]] + np.uint64(back))
+    for side, first in ((5, row + 3), (6, -14 - 5)):
+        for at in (starts + first, starts + first + 1, starts + first + 2):
+            here = (at >= 0) & (at < len(beyond))
+            places.append(number[here])
+            out.append(own[here] * _ORDER[20] + beyond[at[here]] * _ORDER[21] + np.uint64(side))
+    return np.concatenate(places), _mixed(np.concatenate(out)).view(np.int64)
+
+
 def wider_keys(words: np.ndarray, start: int, row: int) -> list[int]:
     """Keys of the ``row`` = 22 words at ``start`` together with what stands beside them.
 
@@ -223,13 +245,7 @@ def wider_keys(words: np.ndarray, start: int, row: int) -> list[int]:
     beyond it at least 19 words are equal, and stand at most one word nearer or farther. So the keys are the four stretches of
     25 words, and the words with 14 others on either side in three places; similar passages share one of them.
     """
-    own, wide, beyond = _grams(words, row)[start : start + 1], _grams(words, row + 3), _grams(words, 14)
-    places = np.array([t for t in range(start, start - 4, -1) if 0 <= t < len(wide)], np.int64)
-    out = [wide[places] + (start - places).astype(np.uint64)]
-    for side, first in ((5, start + row + 3), (6, start - 14 - 5)):
-        places = np.array([t for t in range(first, first + 3) if 0 <= t < len(beyond)], np.int64)
-        out.append(own * _ORDER[20] + beyond[places] * _ORDER[21] + np.uint64(side))
-    return _mixed(np.concatenate(out)).view(np.int64).tolist()
+    return _wider_keys(words, np.array([start]), row)[1].tolist()
 
 
 def _compared(
@@ -241,48 +257,73 @@ def _compared(
     replaced by wider ones (``widen``).
     """
 
-    def rows_of(r):
-        a, b = (np.frombuffer(r[n], np.uint32).astype(np.uint64) for n in ("words", "to_words"))
+    # A similar stretch has so many shingles that stand on the other side as well.
+    least = -(-(least_words - shingle + 1) * _loss(threshold) // (_loss(threshold) + 1))
+
+    def rows_of(r, other):
+        """Similar stretches, and the places and keys for the next round."""
+        a, (b, grams_b) = np.frombuffer(r["words"], np.uint32).astype(np.uint64), other
         shift = r["shift"] - r["base"] + r["to_base"]
         equal, first, last = np.zeros(len(a), np.int64), max(shift, 0), min(len(a), len(b) + shift)
         if last > first:
             equal[first:last] = a[first:last] == b[first - shift : last - shift]
         sums, until = np.concatenate([[0], np.cumsum(equal)]), -1
-        rows, next_keys = [], set()
+        grams_a = _grams(a, shingle)
+        shared = np.isin(grams_a, grams_b)
+        hopeless = np.count_nonzero(shared) < least
+        rows, next_keys, same, widened = [], set(), [], []
         for seed in sorted(r["seeds"], key=lambda s: s["start"]):
             start, failed = seed["start"] - r["base"], False
             if start + size > until:
-                found = similar_stretch(a, b, start, size, shift, shingle, threshold, least_words)
+                found = None
+                if not hopeless:
+                    found = similar_stretch(grams_a, grams_b, shared, start, size, shift, shingle, threshold, least_words)
                 failed = found is None
                 if found:
                     until = found[1]
                     own, to = (found[0] + r["base"], found[1] + r["base"]), (found[2] + r["to_base"], found[3] + r["to_base"])
-                    rows.append((r["doc_id"], *own, r["to_id"], *to, None))
+                    rows.append((r["doc_id"], *own, r["to_id"], *to))
             if size == row:
                 low, high = max(start - 2 * least_words, 0), min(start + row + 2 * least_words, len(a))
                 if failed and not widen:
-                    rows.append((r["doc_id"], seed["start"], None, None, None, None, seed["key"]))
+                    same.append((start, seed["key"]))
                 elif widen and (failed or sums[high] - sums[low] < high - low):
-                    keys = wider_keys(a[low:high], start - low, row)
-                    rows += [(r["doc_id"], seed["start"], None, None, None, None, key) for key in keys]
+                    widened.append(start)
                 continue
             low, high = max(start + size - row, 0), min(start + row, len(a))
             if failed or sums[high] - sums[low] < high - low:
                 differ = sums[low + row : high + 1] - sums[low : high + 1 - row] < row
-                next_keys.update(low + np.flatnonzero(differ | failed))
+                next_keys.update((low + np.flatnonzero(differ | failed)).tolist())
+        starts, keys = (np.array(x, np.int64) for x in (zip(*same) if same else ((), ())))
         if next_keys:
-            keys = _grams(a, row).view(np.int64)
-            rows += [(r["doc_id"], int(s) + r["base"], None, None, None, None, int(keys[s])) for s in sorted(next_keys)]
-        return rows
+            starts = np.array(sorted(next_keys))
+            keys = _grams(a, row).view(np.int64)[starts]
+        if widened:
+            number, keys = _wider_keys(a, np.array(widened), row)
+            starts = np.array(widened)[number]
+        return rows, starts + r["base"], keys
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
         names = ["doc_id", "start", "end", "to_id", "to_start", "to_end", "key"]
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
-                rows = [out for r in batch.slice(low, 256).to_pylist() for out in rows_of(r)]
-                values = list(zip(*rows)) or [()] * len(names)
-                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names)
+                part, others, rows, ids, starts, keys = batch.slice(low, 256), {}, [], [], [], []
+                for r in part.to_pylist():
+                    if r["to_words"] not in others:
+                        b = np.frombuffer(r["to_words"], np.uint32).astype(np.uint64)
+                        others[r["to_words"]] = b, _grams(b, shingle)
+                    found, own_starts, own_keys = rows_of(r, others[r["to_words"]])
+                    rows += found
+                    ids.append(np.full(len(own_keys), r["doc_id"], np.int64))
+                    starts.append(own_starts)
+                    keys.append(own_keys)
+                values = list(zip(*rows)) or [()] * len(kinds)
+                yield pa.RecordBatch.from_arrays([*(pa.array(v, k) for v, k in zip(values, kinds)), pa.nulls(len(rows), pa.int64())], names)
+                n = sum(map(len, keys))
+                columns = [np.concatenate(ids), np.concatenate(starts).astype(np.int32), np.concatenate(keys)]
+                empty = [pa.nulls(n, kind) for kind in kinds[2:]]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns[:2]), *empty, pa.array(columns[2])], names)
 
     centres = pieces.filter("doc_id is null").select(
         "to_id", "block", F.col("base").alias("to_base"), F.col("words").alias("to_words")

@@ -658,3 +658,33 @@ def test_wider_keys_meet_in_passages_without_25_equal_words_in_a_row(change):
                     first = int(np.flatnonzero(own == one[start + skip])[0])
                     keys.append(set(passages.wider_keys(own, first, 22)))
                 assert keys[0] & keys[1]
+
+
+def test_wider_keys_of_many_places_are_those_of_each():
+    draw = np.random.default_rng(2)
+    for n in (22, 24, 30, 60, 150):
+        words = draw.integers(0, 1 << 32, n).astype(np.uint64)
+        starts = np.array([*range(n - 21), n - 5, n + 9])  # the last ones do not fit
+        number, keys = passages._wider_keys(words, starts, 22)
+        for i, start in enumerate(starts.tolist()):
+            wanted = [passages.wider_keys(words[max(start - 50, 0) : start + 72], min(start, 50), 22)] if start + 22 <= n else [[]]
+            assert sorted(keys[number == i].tolist()) == sorted(wanted[0])
+
+
+def test_similar_stretches_have_the_shingles_that_are_asked_for():
+    """Rows with fewer shared shingles than that are not compared; none of them holds a similar stretch."""
+    draw, found = np.random.default_rng(4), []
+    least = -(-21 * passages._loss(0.8) // (passages._loss(0.8) + 1))
+    for _ in range(400):
+        a = draw.integers(0, 1 << 32, 90).astype(np.uint64)
+        b, n = draw.integers(0, 1 << 32, 300).astype(np.uint64), int(draw.integers(10, 60))
+        b[100 : 100 + n] = a[15 : 15 + n]
+        b[100 + 10 + draw.integers(0, n, 2)] = 7
+        one, two = passages._grams(a, 5), passages._grams(b, 5)
+        shared = np.isin(one, two)
+        for start in range(15, 15 + n - 9):
+            stretch = passages.similar_stretch(one, two, shared, start, 10, start - (start + 85), 5, 0.8, 25)
+            if stretch:
+                found.append(np.count_nonzero(shared))
+                assert stretch[1] - stretch[0] >= 25
+    assert len(found) > 100 and min(found) >= least
