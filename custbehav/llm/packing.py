@@ -53,12 +53,18 @@ _SIGNS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 _SPACES = b" \t\n\r\x0b\x0c"
 _IS_SPACE = bytes(b in _SPACES for b in range(256))
 # Latin letters up to U+024F: NFC leaves them alone, and each but U+0130 has one letter in lower case. Their bytes are below this.
-_LATIN, _LATIN_END = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+$", 0xCA
+_LATIN = "".join(chr(c) for c in range(0x250) if chr(c).isalpha() and (c < 0x80 or c >= 0xC0) and c != 0x130)
+_LATIN_END = 0xCA
 # The letters that vocabularies of bytes write for bytes; the space between words stays.
 _BYTE_LETTERS = np.arange(256, dtype="<u2")
 _BYTE_LETTERS[[*range(0x20), *range(0x7F, 0xA1), 0xAD]] = [*range(0x100, 0x120), *range(0x121, 0x144)]
-# Text whose words are looked up at a time; a longer text is taken alone.
-_SLICE_BYTES = 8 << 20
+# Text whose words are looked up at a time, each different one once; a longer text is taken alone.
+_SLICE_BYTES = 32 << 20
+# Runs of letters that the library encodes as one text. It holds some hundred bytes for each; thousands are
+# slower, as their memory goes back to the system after every text.
+_RUNS = 100
+# Text whose words are told apart at a time.
+_BLOCK_BYTES = 4 << 20
 _WORD_END = "</w>"
 
 
@@ -66,6 +72,15 @@ def _listed(words: pa.Array) -> list[bytes]:
     return words.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
 
 
+def _changes(held: bytes) -> np.ndarray:
+    """The places before a word's first byte and of its last, one after the other; white space begins and ends ``held``."""
+    space, found = held.translate(_IS_SPACE), []
+    for low in range(0, max(len(held) - 1, 1), _BLOCK_BYTES):
+        own = np.frombuffer(space, bool, min(_BLOCK_BYTES + 1, len(held) - low), low)
+        found.append((np.flatnonzero(own[1:] != own[:-1]) + low).astype(np.int32))
+    return np.concatenate(found)
+
+
 class Kept(dict):
     """A table of bounded size. When it is full it becomes the older one, and what is asked for again comes back from there."""
 
@@ -79,12 +94,21 @@ class Kept(dict):
     def of_all(self, keys: list[bytes], encode) -> list[bytes]:
         """The values of different keys; those that neither table has are encoded."""
         values = [*map(self.get, keys)]
-        if None in values:
-            unknown = [key for key, value in zip(keys, values) if value is None]
-            new = self._new(keys, unknown)
+        places = [i for i, value in enumerate(values) if value is None]
+        if places:
+            unknown = [keys[i] for i in places]
+            if self and len(self) + len(unknown) > _KEEP_WORDS:
+                self.older = dict(self)
+                self.clear()
+                self.update((key, value) for key, value in zip(keys, values) if value is not None)
+            found = [*map(self.older.get, unknown)]
+            new = [key for key, value in zip(unknown, found) if value is None]
             if new:
-                self.update(zip(new, encode(new)))
-            values = [self[key] if value is None else value for key, value in zip(keys, values)]
+                encoded = iter(encode(new))
+                found = [next(encoded) if value is None else value for value in found]
+            self.update(zip(unknown, found))
+            for i, value in zip(places, found):
+                values[i] = value
         return values
 
     def _new(self, keys: Iterable[bytes], new: list[bytes]) -> list[bytes]:
@@ -125,11 +149,17 @@ class WordIds(Kept):
         found = self.tokenizer.encode_batch([word.decode("utf-8") for word in words], add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
 
-    def _encode_runs(self, runs: list[bytes], latin: bool) -> list[bytes]:
+    def _encode_text(self, runs: list[bytes], latin: bool) -> list[int]:
         raw = b" ".join(runs)
         text = _BYTE_LETTERS[np.frombuffer(raw, np.uint8)].tobytes().decode("utf-16-le") if latin else raw.decode("utf-8")
         tokenizer = self.of_letters if latin else self.tokenizer
-        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+        return tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _encode_runs(self, runs: list[bytes], latin: bool) -> list[bytes]:
+        found: list[int] = []
+        for low in range(0, len(runs), _RUNS):
+            found.extend(self._encode_text(runs[low : low + _RUNS], latin))
+        ids = np.array(found, self.dtype)
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(runs):
             return self._encode(runs)
@@ -137,7 +167,7 @@ class WordIds(Kept):
         return [raw[a * width : b * width] for a, b in zip([0, *ends], ends)]
 
     def _encode_letters(self, runs: list[bytes]) -> list[bytes]:
-        if max(b"".join(runs)) < _LATIN_END:
+        if np.frombuffer(b"".join(runs), np.uint8).max() < _LATIN_END:
             return self._encode_runs(runs, True)
         latin = [max(run) < _LATIN_END for run in runs]
         quick = iter(self._encode_runs([*compress(runs, latin)], True)) if any(latin) else iter(())
@@ -157,19 +187,15 @@ class WordIds(Kept):
             return match[1].lower().encode("utf-8"), match[2].encode("utf-8")
         return None
 
-    def _of_latin(self, words: pa.Array, bodies: pa.Array) -> list[bytes]:
-        """Ids of words of Latin letters, given without their signs as well."""
+    def _of_latin(self, bodies: pa.Array, signs: pa.Array) -> pa.Array:
+        """Ids of words of Latin letters, cut into letters and signs."""
         runs = pc.utf8_lower(bodies).dictionary_encode()
-        distinct = _listed(runs.dictionary)
-        own = pa.array(self.letters.of_all(distinct, self._encode_letters), pa.large_binary())
-        found = _listed(own.take(runs.indices))
-        cuts = pc.binary_length(bodies).to_numpy()
-        signed = np.flatnonzero(cuts < pc.binary_length(words).to_numpy())
-        signs = [word[cut:] for word, cut in zip(_listed(words.take(signed)), cuts[signed].tolist())]
-        self._add(self.others, set(signs), self._encode)
-        for i, own in zip(signed.tolist(), signs):
-            found[i] += self.others[own]
-        return found
+        own = pa.array(self.letters.of_all(_listed(runs.dictionary), self._encode_letters), pa.large_binary())
+        signs = signs.dictionary_encode()
+        distinct = _listed(signs.dictionary)
+        self._add(self.others, {*distinct} - {b""}, self._encode)
+        signed = pa.array([self.others[sign] if sign else b"" for sign in distinct], pa.large_binary())
+        return pc.binary_join_element_wise(own.take(runs.indices), signed.take(signs.indices), pa.scalar(b"", pa.large_binary()))
 
     def learn(self, words: list[bytes]) -> None:
         plain, runs, signs, rest = [], [], [], []
@@ -190,37 +216,37 @@ class WordIds(Kept):
 
     def of_distinct(self, words: pa.Array) -> pa.Array:
         """Ids of different words."""
-        bodies = pc.ascii_rtrim(words, _SIGNS)
-        latin = pc.match_substring_regex(bodies, _LATIN)
+        # Without the signs at their end, and without the Latin letters at their beginning.
+        bodies, signs = pc.ascii_rtrim(words, _SIGNS), pc.utf8_ltrim(words, _LATIN)
+        size, left, right = (pc.binary_length(part).to_numpy() for part in (words, bodies, signs))
+        latin = pa.array((left > 0) & (left + right == size))
         other = pc.invert(latin)
         rest = _listed(words.filter(other))
         self.learn(rest)
-        found = self._of_latin(words.filter(latin), bodies.filter(latin)) + [*map(self.__getitem__, rest)]
-        order = np.concatenate([np.flatnonzero(latin), np.flatnonzero(other)])
-        return pa.array(found, pa.large_binary()).take(pa.array(np.argsort(order)))
+        others = pa.array([*map(self.__getitem__, rest)], pa.large_binary())
+        found = pa.concat_arrays([self._of_latin(bodies.filter(latin), signs.filter(latin)), others])
+        places = np.empty(len(words), np.int64)
+        places[np.concatenate([np.flatnonzero(latin), np.flatnonzero(other)])] = np.arange(len(words))
+        return found.take(pa.array(places))
 
     def of_all(self, texts: pa.Array) -> list[bytes]:
         """Ids of some texts; null ones are empty."""
         texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
-        limits = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        held = texts.buffers()[2].slice(limits[0], limits[-1] - limits[0]).to_pybytes() if limits[-1] > limits[0] else b""
-        if not held.strip():
+        held = b" ".join([b"", *texts.to_pylist(), b""])
+        limits = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy() + 1)])
+        changes = _changes(held)
+        if not len(changes):
             return [b""] * len(texts)
-        limits = limits - limits[0]
-        first = np.zeros(len(held) + 1, bool)
-        first[limits] = True
-        space = np.frombuffer(held.translate(_IS_SPACE), bool)
-        # A word begins after white space or with a text, and ends before white space or with a text.
-        starts = np.flatnonzero(~space & (first[:-1] | np.concatenate([[True], space[:-1]])))
-        ends = np.flatnonzero(~space & (first[1:] | np.concatenate([space[1:], [True]]))) + 1
-        offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+        offsets = np.zeros(len(changes) // 2 + 1, np.int32)
+        np.cumsum(changes[1::2] - changes[::2], out=offsets[1:])
         buffers = [None, pa.py_buffer(offsets), pa.py_buffer(held.translate(None, _SPACES))]
-        words = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
-        ids = self.of_distinct(words.dictionary.cast(pa.large_string())).take(words.indices)
+        words = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, buffers).dictionary_encode()
+        del held, buffers, offsets
+        ids = self.of_distinct(words.dictionary.cast(pa.string())).take(words.indices)
         places = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset :]
-        cuts = places[np.searchsorted(starts, limits)].tolist()
-        raw = ids.buffers()[2].to_pybytes()
-        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+        cuts = places[np.searchsorted(changes[::2], limits)].tolist()
+        raw = memoryview(ids.buffers()[2])
+        return [bytes(raw[a:b]) for a, b in zip(cuts, cuts[1:])]
 
     def of(self, text: str) -> bytes:
         return self.of_all(pa.array([text.encode("utf-8", "replace")], pa.large_binary()))[0]
@@ -260,8 +286,8 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int, id_column: str, tex
         for batch in batches:
             for part in _slices(batch):
                 ids = [own + end for own in words.of_all(part.column(1))]
-                for own in ids:
-                    frequency[_distinct(np.frombuffer(own, words.dtype))[0]] += 1
+                distinct = np.concatenate([_distinct(np.frombuffer(own, words.dtype))[0] for own in ids])
+                frequency += np.bincount(distinct, minlength=len(frequency))
                 counts[:2] += len(ids), sum(map(len, ids)) // words.dtype.itemsize
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names)
         if counts[0]:
@@ -283,7 +309,9 @@ def _statistics(rows: DataFrame) -> tuple[np.ndarray, int, int]:
         if len(used):
             yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
-    counts = rows.filter("counts is not null").select("counts").mapInArrow(task, "id long, n long")
+    # A file holds a row or two: a task a core adds those of many.
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    counts = rows.filter("counts is not null").select("counts").coalesce(cores).mapInArrow(task, "id long, n long")
     found = dict(counts.groupBy("id").agg(F.sum("n").alias("n")).collect())  # one row per id of the vocabulary
     documents, tokens = found.pop(0, 0), found.pop(1, 0)
     frequency = np.zeros(max(max(found, default=0) - 1, 1), np.int64)
@@ -294,8 +322,10 @@ def _statistics(rows: DataFrame) -> tuple[np.ndarray, int, int]:
 
 def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ids, ascending, and how often each stands there."""
-    ids = np.sort(ids)
-    first = np.ones(len(ids) + 1, bool)
+    ids = ids.copy()
+    ids.sort()
+    first = np.empty(len(ids) + 1, bool)
+    first[0] = first[-1] = True
     np.not_equal(ids[1:], ids[:-1], out=first[1:-1])
     starts = first.nonzero()[0]
     return ids[starts[:-1]], starts[1:] - starts[:-1]
@@ -319,7 +349,12 @@ def key_terms(term: np.ndarray, weight: np.ndarray, frequency: np.ndarray) -> np
     shared = frequency[term] > 1
     if not shared.all():
         term, weight = term[shared], weight[shared]
-    strongest = term[np.argsort(-weight, kind="stable")[: min(_STRONG, (len(term) + 1) // 2)]]
+    number = min(_STRONG, (len(term) + 1) // 2)
+    if len(term) > 2 * _STRONG:
+        # Only those that reach the last of the strongest are put in order.
+        most = weight >= np.partition(weight, len(weight) - number)[len(weight) - number]
+        term, weight = term[most], weight[most]
+    strongest = term[np.argsort(-weight, kind="stable")[:number]]
     return strongest[np.lexsort((strongest, -frequency[strongest]))][:_KEYS]
 
 
@@ -387,6 +422,12 @@ class Shard:
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused documents with a term of the seed, best first."""
+        scores = self._scores(seed, unused)
+        found = np.flatnonzero(scores)
+        return self.members[found[np.argsort(-scores[found], kind="stable")]]
+
+    def _scores(self, seed: int, unused: np.ndarray) -> np.ndarray:
+        """Scores of the documents in the index; zero for one without a term of the seed and for used ones."""
         terms = self.strongest[seed]
         rows = self.row[terms]
         terms, rows = terms[rows < 0], rows[rows >= 0].tolist()
@@ -397,8 +438,7 @@ class Shard:
         for row in rows:
             scores += self.rows[row]
         scores *= unused[self.members]
-        found = np.flatnonzero(scores)
-        return self.members[found[np.argsort(-scores[found], kind="stable")]]
+        return scores
 
     def _choose(self, kept: np.ndarray) -> None:
         """Only some of the index's single entries remain."""
@@ -443,26 +483,27 @@ class Shard:
     def _fill(self, seed, unused, window, room):
         """Add the neighbours that fit; returns the best that does not, to be cut."""
         self._keep(unused)
-        order, too_long = self.neighbours(seed, unused), None
+        scores, too_long = self._scores(seed, unused), None
+        lengths = self.lengths[self.members]
         # A copy of what the window holds is left out.
         if self.copies:
-            order = order[~np.isin(self.codes[order], self.codes[[piece[0] for piece in window]])]
-        while len(order):
-            fits = self.lengths[order] <= room
-            first = int(np.argmax(fits))
-            if too_long is None and not fits[0]:
-                too_long = int(order[0])
-            if not fits[first]:
-                break
-            number = int(order[first])
-            window.append((number, 0, int(self.lengths[number])))
+            codes = self.codes[self.members]
+            scores[np.isin(codes, self.codes[[piece[0] for piece in window]])] = 0
+        while len(scores) and scores[best := int(scores.argmax())] > 0:
+            number, length = int(self.members[best]), int(lengths[best])
+            if length > room:
+                if too_long is None:
+                    too_long = number
+                scores[lengths > room] = 0
+                continue
+            window.append((number, 0, length))
             unused[number] = False
-            room -= int(self.lengths[number])
+            room -= length
             if not room:
                 return None
-            order = order[first + 1 :]
+            scores[best] = 0
             if self.copies:
-                order = order[self.codes[order] != self.codes[number]]
+                scores[codes == codes[best]] = 0
         if too_long is None:
             return None
         unused[too_long] = False

@@ -204,6 +204,80 @@ def test_used_documents_leave_the_index(monkeypatch):
     assert sorted(n for own in found for n, start, _ in own if not start) == list(range(300))
 
 
+def test_a_batch_looks_up_each_of_its_words_once(monkeypatch):
+    """A batch of 12 MB; the library gets new words in texts of bounded size."""
+    tokenizer, ids = Tokenizer.from_file(WORD_FILE), packing.WordIds(open(WORD_FILE).read())
+    texts = [prose(1, 1500, 900) + f" n\u00e9 \u0130 {i} \u2c65B(" for i in range(40)]
+    expected = [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1600)), pa.array(texts * 40)], ["doc_id", "text"])
+    assert batch.nbytes > 12 << 20
+    asked, given, find, encode = [], [], packing.Kept.of_all, packing.WordIds._encode_text
+    monkeypatch.setattr(packing.Kept, "of_all", lambda self, keys, how: asked.extend(keys) or find(self, keys, how))
+    monkeypatch.setattr(packing.WordIds, "_encode_text", lambda self, runs, latin: given.append(len(runs)) or encode(self, runs, latin))
+    found = [own for part in packing._slices(batch) for own in ids.of_all(part.column(1))]
+    assert [np.frombuffer(own, ids.dtype).tolist() for own in found] == expected * 40
+    assert len(asked) == len(set(asked)) > 300
+    assert max(given) <= packing._RUNS <= 1000 and sum(given) >= len(asked)
+
+
+def test_words_across_the_blocks_of_a_text(monkeypatch):
+    tokenizer, ids = Tokenizer.from_file(WORD_FILE), packing.WordIds(open(WORD_FILE).read())
+    texts = ["", "a", " ", "one two  three ", "\tx", "", "longer words here\n", "end"]
+    for size in range(1, 12):
+        monkeypatch.setattr(packing, "_BLOCK_BYTES", size)
+        found = [np.frombuffer(own, ids.dtype).tolist() for own in ids.of_all(pa.array([*texts, None]))]
+        assert found == [tokenizer.encode(text, add_special_tokens=False).ids for text in [*texts, ""]]
+    assert ids.of_all(pa.array([], pa.string())) == []
+
+
+def test_a_window_takes_the_neighbours_in_their_order_without_sorting_all(monkeypatch):
+    draw = np.random.default_rng(11)
+    ids = [draw.zipf(1.4, int(n)).clip(0, 199) for n in draw.integers(5, 150, 300)]
+    ids[200:220] = ids[100:120]
+    names = [None if i % 41 == 0 else i // 2 if i % 17 == 0 else i for i in range(300)]
+    idf = np.log1p(300 / (1 + np.bincount(np.concatenate([np.unique(own) for own in ids]), minlength=200)))
+    shard = packing.Shard(names, ids, idf, 75.0, None, 1.2, 0.75)
+    neighbours = shard.neighbours
+    fill, seen = packing.Shard._fill, []
+
+    def checked(self, seed, unused, window, room):
+        """All neighbours in order; what fits is taken, the first that does not is cut."""
+        self._keep(unused)
+        held, wanted, cut, left = {names[piece[0]] for piece in window}, [], None, room
+        for number in neighbours(seed, unused).tolist():
+            if names[number] in held or not left:
+                continue
+            if len(ids[number]) > left:
+                cut = number if cut is None else cut
+                continue
+            wanted.append((number, 0, len(ids[number])))
+            held.add(names[number])
+            left -= len(ids[number])
+        before = len(window)
+        rest = fill(self, seed, unused, window, room)
+        assert window[before:] == wanted
+        assert rest == ((cut, 0) if left and cut is not None else None)
+        seen.append(len(wanted))
+        return rest
+
+    monkeypatch.setattr(packing.Shard, "_fill", checked)
+    monkeypatch.setattr(shard, "neighbours", None)
+    windows = list(shard.windows(256))
+    assert sorted(n for own in windows for n, start, _ in own if not start) == list(range(300)) and sum(seen) > 50
+
+
+def test_key_terms_are_the_strongest_of_all():
+    draw = np.random.default_rng(2)
+    for n in [*range(1, 60), 200, 900]:
+        term, weight = np.arange(n) * 3, draw.integers(1, 9, n) / 4.0
+        frequency = np.full(3 * n, 5)
+        frequency[term] = draw.integers(1, 6, n)
+        shared = [t for t in range(n) if frequency[term[t]] > 1]
+        strongest = sorted(shared, key=lambda t: (-weight[t], t))[: min(24, (len(shared) + 1) // 2)]
+        wanted = sorted(strongest, key=lambda t: (-frequency[term[t]], t))[:4]
+        assert packing.key_terms(term, weight, frequency).tolist() == [3 * t for t in wanted]
+
+
 def test_ranges_of_key_terms_follow_each_other(spark):
     """Terms of a row are counted once; without a job that reads all rows for the limits."""
     draw = np.random.default_rng(8)
